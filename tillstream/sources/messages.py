@@ -60,8 +60,10 @@ def _messages(reader, format: str, path: str | None, options: Mapping[str, str])
         return reader.load().select("key", "value")
     if path is None:
         raise ValueError(f"format {format!r} needs a path")
-    schema = TEXT_MESSAGE_SCHEMA if format == "json" else MESSAGE_SCHEMA
-    return reader.schema(schema).load(path)
+    if format == "json":
+        text = reader.schema(TEXT_MESSAGE_SCHEMA).load(path)
+        return text.select(F.col("key").cast("binary"), F.col("value").cast("binary"))
+    return reader.schema(MESSAGE_SCHEMA).load(path)
 
 
 def encode_orders(orders: DataFrame) -> DataFrame:

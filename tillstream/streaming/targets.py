@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Called with the payload, the name of its stream, and the batch id.
@@ -20,26 +20,25 @@ def to_files(out: str) -> Deliver:
     return deliver
 
 
-def payload_records(document: DataFrame, name: str) -> DataFrame:
-    """Payloads as ``stream, batch_id, body``, the body being the JSON document."""
-    return document.select(
-        F.to_json(F.struct("*")).alias("body"),
-        F.lit(name).alias("stream"),
-        F.col("batch_id"),
-    )
+def to_table(prefix: str) -> Deliver:
+    """A table ``<prefix>_<stream>`` of JSON documents, partitioned by batch.
 
-
-def to_table(table: str) -> Deliver:
-    """A table partitioned by stream and batch. A replayed batch replaces its own."""
+    A replayed batch replaces its own partition. Each stream has a table to itself,
+    since two jobs that write files into one table at once would clear each other's
+    temporary files.
+    """
 
     def deliver(document: DataFrame, name: str, batch_id: int) -> None:
-        records = payload_records(document, name)
-        if not document.sparkSession.catalog.tableExists(table):
-            records.limit(0).write.partitionBy("stream", "batch_id").mode("ignore").saveAsTable(table)
-        (
-            records.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(table)
+        spark = document.sparkSession
+        table = f"{prefix}_{name}"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} (body STRING, batch_id BIGINT) "
+            "USING parquet PARTITIONED BY (batch_id)"
+        )
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+            "SELECT body FROM {bodies}",
+            bodies=document.select(_body().alias("body")),
         )
 
     return deliver
@@ -49,9 +48,13 @@ def to_topic(**options: str) -> Deliver:
     """A Kafka topic, keyed by stream. At least once: readers skip a repeated batch id."""
 
     def deliver(document: DataFrame, name: str, batch_id: int) -> None:
-        payload_records(document, name).select(
-            F.col("stream").cast("binary").alias("key"),
-            F.col("body").cast("binary").alias("value"),
+        document.select(
+            F.lit(name).cast("binary").alias("key"),
+            _body().cast("binary").alias("value"),
         ).write.format("kafka").options(**options).save()
 
     return deliver
+
+
+def _body() -> Column:
+    return F.to_json(F.struct("*"))
