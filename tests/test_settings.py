@@ -8,6 +8,7 @@ from tillstream.sources.messages import (
     kafka_read_options,
     read_messages,
     stream_messages,
+    write_messages,
 )
 from tillstream.streaming import Intervals, trigger_seconds
 
@@ -78,6 +79,19 @@ def test_parquet_messages(spark, tmp_path):
     assert encode_orders(got.sparkSession.createDataFrame([order()])).count() == 1
 
 
+def test_stream_of_messages_is_written(spark, tmp_path):
+    messages(spark, order("A"), "junk").write.parquet(str(tmp_path / "in"))
+    source = stream_messages(spark, "parquet", str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        write_messages(source, "json", str(tmp_path / "out"))
+    query = write_messages(source, "json", str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.processAllAvailable()
+    query.stop()
+    got = read_messages(spark, "json", str(tmp_path / "out"))
+    assert sorted(r.value for r in got.collect())[0] == b"junk"
+    assert got.count() == 2
+
+
 def test_shared_folder_is_under_the_sessions(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)

@@ -140,6 +140,10 @@ ORACLES: dict[str, str] = {
     "parse_roundtrip_events": f"select {PARSED} from {EVENTS}",
     "encoded_messages": f"""select order_id message_key, order_id, product_name, quantity,
   "timestamp", 8 field_count from {EVENTS}""",
+    "wire_product_sales": product_sales(LINEITEM),
+    "wire_top_products": f"select * from {TOP_10.format(product_sales(LINEITEM))}",
+    "wire_category_sales": category_sales(LINEITEM),
+    "wire_latest_orders": published_orders(LINEITEM, 50),
     "batch_row_count": f"select count(*) row_count from {LINEITEM}",
     "order_time_texts": f"""select order_id,
   case when product_number >= 60 then {iso("timestamp_parsed")} end iso_time,
@@ -180,7 +184,7 @@ ORACLES: dict[str, str] = {
   count(order_id) order_count, {money("total_value")} total_revenue from {EVENTS} group by 1, 2""",
     "avg_order_value": f"select category, {AVG_VALUE} from {EVENTS} group by 1",
     "avg_order_value_overall": f"select {AVG_VALUE} from {EVENTS}",
-    "running_revenue": f"""select "day", cents / 100.0 revenue,
+    "running_revenue": f"""select "day"::timestamp "day", cents / 100.0 revenue,
   cast(sum(cents) over (order by "day") as bigint) / 100.0 running_revenue
   from (select cast(timestamp_parsed as date) "day", cast(round(sum(total_value) * 100) as bigint) cents
     from {EVENTS} group by 1)""",

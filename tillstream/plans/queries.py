@@ -1,9 +1,9 @@
 """The named queries over the sample tables.
 
-The wide feed goes through the wire format: encoded, then parsed. The queries about
-time read the event feed as a table of typed orders, so that only the columns they use
-are scanned; it goes through the wire format where messages are the subject, and in the
-streaming queries. Zoned times are shown as plain ones, read in the session zone.
+Most read a feed as a table of typed orders, so that only the columns they use are
+scanned. Those about messages, those named ``wire_``, and all streams go through the wire
+format: every order is encoded as a message first, and parsed from it. Zoned times are
+shown as plain ones, read in the session zone.
 """
 
 from __future__ import annotations
@@ -47,20 +47,16 @@ def plain_times(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
-def _lineitem(spark: SparkSession, folder: str, fields: Sequence[str] | None = None) -> DataFrame:
-    return parse.parse_orders(encode_orders(lineitem_orders(spark, folder)), fields)
-
-
-def _events(spark: SparkSession, folder: str, fields: Sequence[str] | None = None) -> DataFrame:
-    return parse.parse_orders(encode_orders(event_orders(spark, folder)), fields)
+def _by_wire(orders: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    return parse.parse_orders(encode_orders(orders), fields)
 
 
 def _product_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return sales.product_sales(_lineitem(spark, folder, parse.SALES_FIELDS))
+    return sales.product_sales(lineitem_orders(spark, folder))
 
 
 def _category_sales(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
-    return sales.category_sales(_lineitem(spark, folder, parse.CATEGORY_FIELDS), exact)
+    return sales.category_sales(lineitem_orders(spark, folder), exact)
 
 
 # Wire format -----------------------------------------------------------------------
@@ -69,12 +65,12 @@ def _category_sales(spark: SparkSession, folder: str, exact: bool = False) -> Da
 @query
 def parse_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Every order of the wide feed after encoding and parsing."""
-    return plain_times(_lineitem(spark, folder))
+    return plain_times(_by_wire(lineitem_orders(spark, folder)))
 
 
 @query
 def parse_roundtrip_events(spark: SparkSession, folder: str) -> DataFrame:
-    return plain_times(_events(spark, folder))
+    return plain_times(_by_wire(event_orders(spark, folder)))
 
 
 @query
@@ -91,6 +87,30 @@ def encoded_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def wire_product_sales(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _by_wire(lineitem_orders(spark, folder), parse.SALES_FIELDS)
+    return plain_times(sales.product_sales(orders))
+
+
+@query
+def wire_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _by_wire(lineitem_orders(spark, folder), parse.SALES_FIELDS)
+    return plain_times(ranking.top_products(sales.product_sales(orders)))
+
+
+@query
+def wire_category_sales(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _by_wire(lineitem_orders(spark, folder), parse.CATEGORY_FIELDS)
+    return plain_times(sales.category_sales(orders, exact=True))
+
+
+@query
+def wire_latest_orders(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _by_wire(lineitem_orders(spark, folder))
+    return serving.order_rows(ranking.latest_orders(orders))
+
+
 @query
 def batch_row_count(spark: SparkSession, folder: str) -> DataFrame:
     return encode_orders(lineitem_orders(spark, folder)).agg(
@@ -174,10 +194,9 @@ def category_sales_approx(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def category_distinct_bound(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the estimate of distinct products is within 15 %, for each category."""
-    products = _lineitem(spark, folder, ["category", "product_id"])
     approx = F.approx_count_distinct("product_id")
     exact = F.count_distinct("product_id")
-    return products.groupBy("category").agg(
+    return lineitem_orders(spark, folder).groupBy("category").agg(
         (F.abs(approx - exact) <= exact * 0.15).alias("within_bound")
     )
 
@@ -219,8 +238,7 @@ def category_details(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def latest_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The 50 newest orders as published."""
-    return serving.order_rows(ranking.latest_orders(_lineitem(spark, folder)))
+    return serving.order_rows(ranking.latest_orders(lineitem_orders(spark, folder)))
 
 
 @query
@@ -283,7 +301,8 @@ def avg_order_value_overall(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def running_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.running_revenue(event_orders(spark, folder))
+    days = trends.running_revenue(event_orders(spark, folder))
+    return days.withColumn("day", F.col("day").cast("timestamp_ntz"))
 
 
 @query

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.schema import MESSAGE_SCHEMA, ORDER_FIELDS, TEXT_MESSAGE_SCHEMA
 
@@ -77,10 +78,28 @@ def encode_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def write_messages(messages: DataFrame, format: str = "kafka", path: str | None = None, **options: str) -> None:
-    """Write encoded orders to a topic, or as JSON or parquet files under ``path``."""
+def write_messages(
+    messages: DataFrame,
+    format: str = "kafka",
+    path: str | None = None,
+    checkpoint: str | None = None,
+    **options: str,
+) -> StreamingQuery | None:
+    """Write encoded orders to a topic, or as JSON or parquet files under ``path``.
+
+    A stream of them is written from then on, and needs a ``checkpoint``; the running
+    query is returned.
+    """
     if format == "json":
         messages = messages.select(
             F.col("key").cast("string"), F.col("value").cast("string")
         )
-    messages.write.format(format).mode("append").options(**options).save(path)
+    if path is not None:
+        options["path"] = path
+    if not messages.isStreaming:
+        messages.write.format(format).mode("append").options(**options).save()
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream of messages needs a checkpoint")
+    options["checkpointLocation"] = checkpoint
+    return messages.writeStream.format(format).outputMode("append").options(**options).start()

@@ -22,25 +22,32 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def lineitem_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """One order per lineitem: the ten columns of a parsed order, without the JSON."""
+    """One order per lineitem: the ten columns of a parsed order, without the JSON.
+
+    Text is made on the side of the join that has fewer rows: once for each part and
+    each order, not once for each line.
+    """
     lines = _table(spark, folder, "lineitem")
-    orders = _table(spark, folder, "orders")
-    parts = _table(spark, folder, "part")
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey).join(
-        orders, lines.l_orderkey == orders.o_orderkey
-    )
-    quantity = F.col("l_quantity").cast("int")
-    return joined.select(
-        F.format_string("ORDER-%06d", "l_orderkey").alias("order_id"),
-        F.format_string("PROD-%03d", "l_partkey").alias("product_id"),
+    parts = _table(spark, folder, "part").select(
+        "p_partkey",
+        F.format_string("PROD-%03d", "p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_retailprice").alias("price"),
-        quantity.alias("quantity"),
+    )
+    orders = _table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.format_string("ORDER-%06d", "o_orderkey").alias("order_id"),
         F.format_string("CUST-%04d", "o_custkey").alias("customer_id"),
         F.date_format("o_orderdate", _SECONDS).alias("timestamp"),
         F.col("o_orderdate").alias("timestamp_parsed"),
-        (F.col("p_retailprice") * quantity).alias("total_value"),
+    )
+    return (
+        lines.join(parts, lines.l_partkey == parts.p_partkey)
+        .join(orders, lines.l_orderkey == orders.o_orderkey)
+        .withColumn("quantity", F.col("l_quantity").cast("int"))
+        .withColumn("total_value", F.col("price") * F.col("quantity"))
+        .select(*ORDER_FIELDS, "timestamp_parsed", "total_value")
     )
 
 
