@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.helpers import at, dicts, order, orders
 from tillstream.operators import ranking, sales, serving, trends
 from tillstream.operators.parse import parse_orders
+from tillstream.plans.queries import QUERIES
 from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.sources.messages import (
     encode_orders,
@@ -323,6 +324,13 @@ def test_timed_streams_start_and_stop(spark, feed_files, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
+def test_event_stream_over_a_table_of_many_files(spark, tmp_path):
+    events = spark.read.parquet(f"{FOLDER}/events.parquet")
+    events.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["stream_totals"](spark, str(tmp_path))
+    assert dicts(got) == dicts(sales.order_totals(event_orders(spark, FOLDER)))
+
+
 def test_unknown_stream_is_refused(spark, tmp_path):
     empty = spark.createDataFrame([], MESSAGE_SCHEMA)
     with pytest.raises(ValueError, match="nonsense"):

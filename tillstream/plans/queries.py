@@ -29,6 +29,7 @@ from tillstream.streaming import (
     latest_view,
     live_snapshot,
     run_streams,
+    state_partitions_set,
     with_lateness,
 )
 
@@ -185,20 +186,28 @@ def category_sales_exact(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(_category_sales(spark, folder, exact=True))
 
 
+def _estimate_checked(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """Put, for the estimated ``unique_products``, whether it is within 15 % of the count."""
+    counted = orders.groupBy("category").agg(F.count_distinct("product_id").alias("_exact"))
+    close = F.abs(F.col("unique_products") - F.col("_exact")) <= F.col("_exact") * 0.15
+    return (
+        rows.join(counted, "category")
+        .withColumn("distinct_within_bound", close)
+        .drop("unique_products", "_exact")
+    )
+
+
 @query
 def category_sales_approx(spark: SparkSession, folder: str) -> DataFrame:
-    """The event feed has 100 products to a category, few enough to be estimated exactly."""
-    return plain_times(sales.category_sales(event_orders(spark, folder)))
+    orders = event_orders(spark, folder)
+    return plain_times(_estimate_checked(sales.category_sales(orders), orders))
 
 
 @query
 def category_distinct_bound(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether the estimate of distinct products is within 15 %, for each category."""
-    approx = F.approx_count_distinct("product_id")
-    exact = F.count_distinct("product_id")
-    return lineitem_orders(spark, folder).groupBy("category").agg(
-        (F.abs(approx - exact) <= exact * 0.15).alias("within_bound")
-    )
+    orders = lineitem_orders(spark, folder)
+    estimated = sales.category_sales(orders).select("category", "unique_products")
+    return _estimate_checked(estimated, orders)
 
 
 @query
@@ -233,7 +242,9 @@ def top6_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def category_details(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.category_details(sales.category_sales(event_orders(spark, folder)))
+    return serving.category_details(
+        sales.category_sales(event_orders(spark, folder), exact=True)
+    )
 
 
 @query
@@ -342,7 +353,7 @@ def payload_products(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def payload_categories(spark: SparkSession, folder: str) -> DataFrame:
-    rows = serving.category_rows(sales.category_sales(event_orders(spark, folder)))
+    rows = serving.category_rows(sales.category_sales(event_orders(spark, folder), exact=True))
     return _unfold(serving.payload(rows, "categories", 0), "categories")
 
 
@@ -395,6 +406,12 @@ def dashboard_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 # Streams ---------------------------------------------------------------------------
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partitions, but no more than it has cores to run them."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(wanted, spark.sparkContext.defaultParallelism)
+
+
 def _streamed(spark: SparkSession, folder: str, *streams: str, spoiled: bool = False) -> str:
     """Run streams over all events to their end; return where the results are."""
     orders = stream_event_orders(spark, folder)
@@ -402,7 +419,14 @@ def _streamed(spark: SparkSession, folder: str, *streams: str, spoiled: bool = F
     root = shared_folder(spark)
     out = f"{root}/out"
     await_streams(
-        run_streams(messages, out, f"{root}/checkpoints", streams=streams, available_now=True)
+        run_streams(
+            messages,
+            out,
+            f"{root}/checkpoints",
+            streams=streams,
+            available_now=True,
+            state_partitions=_state_partitions(spark),
+        )
     )
     return out
 
@@ -411,9 +435,16 @@ def _appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     """Run a windowed stream to its end and read the windows that were closed."""
     root = shared_folder(spark)
     out = f"{root}/out"
-    result.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", f"{root}/checkpoints"
-    ).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    with state_partitions_set(spark, _state_partitions(spark)):
+        stream = (
+            result.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", f"{root}/checkpoints")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    stream.awaitTermination()
     return spark.read.schema(result.schema).parquet(out)
 
 
@@ -429,7 +460,8 @@ def stream_top_products(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_categories(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_view(spark, _streamed(spark, folder, "categories"), "categories")
+    view = latest_view(spark, _streamed(spark, folder, "categories"), "categories")
+    return _estimate_checked(view, event_orders(spark, folder))
 
 
 @query

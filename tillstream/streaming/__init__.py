@@ -5,6 +5,7 @@ from tillstream.streaming.runner import (
     batch_sizes,
     live_snapshot,
     run_streams,
+    state_partitions_set,
     stop_streams,
     trigger_seconds,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "latest_view",
     "live_snapshot",
     "run_streams",
+    "state_partitions_set",
     "stop_streams",
     "trigger_seconds",
     "with_lateness",

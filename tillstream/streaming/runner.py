@@ -53,8 +53,8 @@ STREAMS = ("raw_orders", "top_products", "categories", "totals", "tempo", "rejec
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
-    """Start streams with ``count`` state partitions; they keep it from then on."""
+def state_partitions_set(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Start streams within this to give them ``count`` state partitions for good."""
     name = "spark.sql.shuffle.partitions"
     if count is None:
         yield
@@ -129,7 +129,7 @@ def run_streams(
             case _:
                 return start(name, rejected(judge_orders(messages)), "append", None)
 
-    with _shuffle_partitions(messages.sparkSession, state_partitions):
+    with state_partitions_set(messages.sparkSession, state_partitions):
         return [start_named(name) for name in streams]
 
 
