@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tests.helpers import at, dicts, order, orders
 from tillstream.operators import ranking
 
@@ -58,8 +60,10 @@ def test_positions_are_those_of_one_sort(spark):
     amounts = [None, 0.0, -3.0, -3.5, 0.99, 1.0, 1e15, 1.1] + [
         round(10 ** chance.uniform(-2, 9), chance.choice([0, 2])) for _ in range(3000)
     ]
+    amounts += [9.99] * 1500  # and one amount with a third of the rows
     rows = spark.createDataFrame([(f"c{i:05d}", 1, a) for i, a in enumerate(amounts)], CATEGORIES)
-    got = {r.category: r.position for r in ranking.with_position(rows.repartition(7), "total_revenue", ["category"]).collect()}
+    place = ranking.with_position(rows.repartition(7), "total_revenue", ["category"])
+    got = {r.category: r.position for r in place.collect()}
     order_ = sorted(
         range(len(amounts)),
         key=lambda i: (amounts[i] is None, -(amounts[i] or 0.0), f"c{i:05d}"),
@@ -71,6 +75,31 @@ def test_positions_are_those_of_one_sort(spark):
             assert ranks[f"c{i:05d}"] == 1 + sum(a is not None and a > amounts[i] for a in amounts)
 
 
+def test_few_rows_are_numbered_in_one_task_alike(spark):
+    rows = categories(spark, ("b", 1, 5.0), ("a", 1, 5.0), ("c", 1, None), ("d", 1, 8.0))
+    numbered = [
+        sorted(map(tuple, ranking.with_position(rows, "total_revenue", ["category"], at_most=n).collect()))
+        for n in (4, None, 10**9)
+    ]
+    assert numbered[0] == numbered[1] == numbered[2]
+    assert [r[1] for r in numbered[0]] == ["d", "a", "b", "c"]
+
+
+def test_equal_amounts_are_spread_over_tasks(spark):
+    rows = spark.range(40_000).selectExpr(
+        "concat('c', id) category", "1L order_count", "if(id % 3 = 0, 9.99d, double(id)) total_revenue"
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")  # or it would make one task of so few rows
+    try:
+        placed = ranking.with_position(rows, "total_revenue", ["category"])
+    finally:
+        spark.conf.unset(setting)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 20_000
+    assert placed.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()[:] == (1, 40_000, 40_000)
+
+
 def test_latest_orders(spark):
     rows = orders(
         spark,

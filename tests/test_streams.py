@@ -283,6 +283,8 @@ def test_repeats_within_the_delay_are_dropped(spark, tmp_path, spread):
         [("a", "2024-05-01T10:00:00"), ("a", "2024-05-01T10:00:01"), ("b", "2024-05-01T10:00:02")],
         [("a", "2024-05-01T10:03:00"), ("c", "2024-05-01T10:00:00")],
     )
+    (tmp_path / "in" / "0.json").write_text((tmp_path / "in" / "0.json").read_text() * 50)
+    os.utime(tmp_path / "in" / "0.json", (1_700_000_000,) * 2)
     kept = deduplicate(parse_orders(stream(spark, tmp_path / "in")), "10 minutes", spread)
     assert sorted(r.order_id for r in appended(kept, tmp_path).collect()) == ["a", "b", "c"]
 

@@ -11,6 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.session import durable
+
+# Rows that may be numbered in one task.
+ONE_TASK_ROWS = 1000
+
+# Spark's layout of monotonically_increasing_id.
+_PLACE_BITS = 33
+
 PRODUCT_KEY = ["product_id", "product_name", "category"]
 
 
@@ -64,38 +72,46 @@ def merge_latest(previous: DataFrame, batch: DataFrame, k: int = 20) -> DataFram
 
 
 def with_position(
-    rows: DataFrame, amount: str, ties: Sequence[str], name: str = "position"
+    rows: DataFrame,
+    amount: str,
+    ties: Sequence[str],
+    name: str = "position",
+    at_most: int | None = None,
 ) -> DataFrame:
     """Number all rows from 1 by ``amount`` descending, then ``ties``.
 
-    ``row_number`` over an unpartitioned window would do the same in one task. Here
-    the rows are partitioned by the magnitude of the amount instead, sixteen steps to
-    a power of two; a row's position is its place within its step, plus the rows in
-    the steps above. The steps are a property of DOUBLE: there are at most 16,400,
-    which bounds the second window and the broadcast, however many rows there are.
+    A caller that has counted the rows says so in ``at_most``; up to ``ONE_TASK_ROWS``
+    they are numbered by a window in one task. Otherwise they are sorted by range over
+    all tasks, which the ties keep even where many amounts are equal, and written to a
+    checkpoint, so that the division into ranges stands. A row's position is its place
+    in its range plus the rows of the ranges before; there is one size for each task.
     """
-    numbered = _in_steps(rows, amount)
-    within = Window.partitionBy("_step").orderBy(F.desc(amount), *ties)
-    return numbered.select(
-        (F.row_number().over(within) + F.col("_above")).cast("bigint").alias(name), *rows.columns
+    order = [F.desc(amount), *ties]
+    if at_most is not None and at_most <= ONE_TASK_ROWS:
+        place = F.row_number().over(Window.orderBy(*order))
+        return rows.select(place.cast("bigint").alias(name), *rows.columns)
+    ordered = durable(
+        rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    )
+    # The id is the number of the task in the upper bits, and the place in it below.
+    task = F.shiftright("_id", _PLACE_BITS)
+    place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ordered.groupBy(task.alias("_task"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_task", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    )
+    return ordered.join(F.broadcast(before), task == F.col("_task")).select(
+        (F.col("_before") + place + 1).alias(name), *rows.columns
     )
 
 
 def category_rank(categories: DataFrame, name: str = "revenue_rank") -> DataFrame:
     """Categories ranked by revenue. Equal revenues share a rank and leave a gap."""
-    stepped = _in_steps(categories, "total_revenue")
-    within = Window.partitionBy("_step").orderBy(F.desc("total_revenue"))
-    return stepped.select(
-        (F.rank().over(within) + F.col("_above")).cast("bigint").alias(name),
-        *categories.columns,
+    placed = with_position(categories, "total_revenue", ["category"], "_position")
+    first = placed.groupBy(F.col("total_revenue").alias("_revenue")).agg(
+        F.min("_position").alias(name)
     )
-
-
-def _in_steps(rows: DataFrame, amount: str) -> DataFrame:
-    """Add ``_step``, the magnitude of the amount, and ``_above``, the rows above it."""
-    step = F.when(F.col(amount) >= 1, F.floor(F.log2(amount) * 16)).otherwise(-1)
-    stepped = rows.withColumn("_step", step)
-    sizes = stepped.groupBy("_step").agg(F.count(F.lit(1)).alias("_size"))
-    higher = Window.orderBy(F.desc("_step")).rowsBetween(Window.unboundedPreceding, -1)
-    above = sizes.select("_step", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_above"))
-    return stepped.join(F.broadcast(above), "_step")
+    same = F.col("total_revenue").eqNullSafe(F.col("_revenue"))
+    return placed.join(first, same).select(name, *categories.columns)

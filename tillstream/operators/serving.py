@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.times import iso_text, order_time_text, within_trailing
 from tillstream.functions.money import money_sum, two_places, zero_if_missing
+from tillstream.functions.times import iso_text, order_time_text, within_trailing
 from tillstream.operators.ranking import (
     PRODUCT_KEY,
     busiest_categories,
@@ -39,10 +39,13 @@ def product_rows(top: DataFrame) -> DataFrame:
     )
 
 
-def category_rows(categories: DataFrame) -> DataFrame:
-    """All categories as published, most revenue first in ``position``."""
+def category_rows(categories: DataFrame, at_most: int | None = None) -> DataFrame:
+    """All categories as published, most revenue first in ``position``.
+
+    ``at_most`` is their number, if it has been counted.
+    """
     return (
-        with_position(categories, "total_revenue", ["category"])
+        with_position(categories, "total_revenue", ["category"], at_most=at_most)
         .withColumn("last_order_time", iso_text(F.col("last_order_time")))
         .select("position", *CATEGORY_ROW)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -32,6 +32,8 @@ def build_session(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Checkpoints of intermediate results go when the results do.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         config["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -53,3 +55,11 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tillstream-")
     return f"{root.rstrip('/')}/tillstream-{uuid.uuid4().hex}"
+
+
+def durable(rows: DataFrame) -> DataFrame:
+    """The same rows from a checkpoint, which outlives the executors that wrote it."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows.checkpoint()

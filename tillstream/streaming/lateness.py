@@ -22,9 +22,8 @@ def deduplicate(orders: DataFrame, delay: str = "10 minutes", spread: int = 1) -
     """
     late = with_lateness(orders, delay)
     if spread > 1:
-        slice_of = F.pmod(F.hash(*[c for c in orders.columns if c != "order_id"]), F.lit(spread))
         late = (
-            late.withColumn("_slice", slice_of)
+            late.withColumn("_slice", F.floor(F.rand(seed=0) * spread))
             .dropDuplicatesWithinWatermark(["order_id", "_slice"])
             .drop("_slice")
         )

@@ -47,8 +47,8 @@ def category_sink(base: str, deliver: Deliver) -> BatchFunction:
 
     def write(categories: DataFrame, batch_id: int) -> None:
         with _held(categories) as held:
-            if not held.isEmpty():
-                rows = category_rows(held)
+            if count := held.count():
+                rows = category_rows(held, at_most=count)
                 deliver(payload(rows, "categories", batch_id), "categories", batch_id)
                 write_view(rows, f"{base}/categories", batch_id)
 
