@@ -3,8 +3,10 @@ from tillstream.operators.parse import parse_orders
 from tillstream.operators.sales import (
     avg_order_value,
     category_sales,
+    category_sales_for_totals,
     order_totals,
     product_sales,
+    totals_of_categories,
 )
 
 
@@ -79,6 +81,12 @@ def test_totals_count_every_order(spark):
     assert dicts(order_totals(feed(spark).limit(0))) == [{"total_orders": 0, "total_revenue": None}]
 
 
+def test_totals_from_categories(spark):
+    with_ids = feed(spark).where("order_id is not null")
+    categories = category_sales_for_totals(with_ids)
+    assert dicts(totals_of_categories(categories)) == dicts(order_totals(with_ids))
+
+
 def test_avg_order_value(spark):
     got = by(avg_order_value(feed(spark), "category"), "category")
     assert got[("Books",)]["avg_order_value"] == 0.2

@@ -6,10 +6,10 @@ category that holds a third of all orders adds no more to the shuffle than any o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import money_sum
+from tillstream.functions.money import exact_total, money_sum
 
 
 def product_sales(orders: DataFrame) -> DataFrame:
@@ -30,12 +30,12 @@ def product_sales(orders: DataFrame) -> DataFrame:
     )
 
 
-def category_sales(orders: DataFrame, exact: bool = False) -> DataFrame:
+def category_sales(orders: DataFrame, exact: bool = False, *further: Column) -> DataFrame:
     """Sales of each category, with its number of distinct products.
 
     That number is an estimate with a relative standard deviation of 5 %.
     ``exact=True`` counts instead, which costs a shuffle of every (category, product)
-    pair and is not available on a stream.
+    pair and is not available on a stream. ``further`` aggregates are added as columns.
     """
     distinct = F.count_distinct if exact else F.approx_count_distinct
     return orders.groupBy("category").agg(
@@ -44,6 +44,24 @@ def category_sales(orders: DataFrame, exact: bool = False) -> DataFrame:
         money_sum(F.col("total_value")).alias("total_revenue"),
         distinct("product_id").alias("unique_products"),
         F.max("timestamp_parsed").alias("last_order_time"),
+        *further,
+    )
+
+
+def category_sales_for_totals(orders: DataFrame) -> DataFrame:
+    """Sales of each category with what :func:`totals_of_categories` needs."""
+    revenue = exact_total(F.col("total_value"))
+    return category_sales(orders, False, revenue.alias("exact_revenue"))
+
+
+def totals_of_categories(categories: DataFrame) -> DataFrame:
+    """The running totals from the sales of all categories, without the orders.
+
+    The same as :func:`order_totals` over orders that all have an id.
+    """
+    return categories.agg(
+        F.sum("order_count").alias("total_orders"),
+        F.sum("exact_revenue").cast("double").alias("total_revenue"),
     )
 
 

@@ -26,6 +26,9 @@ from tillstream.sources.tables import (
 )
 from tillstream.streaming import (
     await_streams,
+    land_orders,
+    landed_orders,
+    landed_rejects,
     latest_view,
     live_snapshot,
     run_streams,
@@ -431,6 +434,15 @@ def _streamed(spark: SparkSession, folder: str, *streams: str, spoiled: bool = F
     return out
 
 
+def _landed(spark: SparkSession, folder: str) -> str:
+    """Land all messages of the spoiled feed; return where they are."""
+    messages = spoiled_event_messages(stream_event_orders(spark, folder))
+    root = shared_folder(spark)
+    out = f"{root}/out"
+    await_streams([land_orders(messages, out, f"{root}/checkpoints", available_now=True)])
+    return out
+
+
 def _appended(spark: SparkSession, result: DataFrame) -> DataFrame:
     """Run a windowed stream to its end and read the windows that were closed."""
     root = shared_folder(spark)
@@ -473,7 +485,7 @@ def stream_recent_20(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_view(spark, _streamed(spark, folder, "totals"), "totals")
+    return latest_view(spark, _streamed(spark, folder, "categories"), "totals")
 
 
 @query
@@ -489,6 +501,19 @@ def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def landed_product_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Product sales of the accepted orders, read from the columns a stream has landed."""
+    out = _landed(spark, folder)
+    return plain_times(sales.product_sales(landed_orders(spark, out, stream=False)))
+
+
+@query
+def landed_reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rejects = landed_rejects(spark, _landed(spark, folder))
+    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query
 def stream_orders_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     counts = trends.orders_per_minute(_streamed_events(spark, folder))
@@ -503,8 +528,6 @@ def stream_trend_hourly(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The dashboard document from five streams run side by side."""
-    out = _streamed(
-        spark, folder, "raw_orders", "top_products", "categories", "totals", "tempo"
-    )
+    """The dashboard document from four streams run side by side."""
+    out = _streamed(spark, folder, "raw_orders", "top_products", "categories", "tempo")
     return _unfold_snapshot(live_snapshot(spark, out))

@@ -3,6 +3,9 @@ from tillstream.streaming.runner import (
     Intervals,
     await_streams,
     batch_sizes,
+    land_orders,
+    landed_orders,
+    landed_rejects,
     live_snapshot,
     run_streams,
     state_partitions_set,
@@ -16,6 +19,9 @@ __all__ = [
     "await_streams",
     "batch_sizes",
     "deduplicate",
+    "land_orders",
+    "landed_orders",
+    "landed_rejects",
     "latest_view",
     "live_snapshot",
     "run_streams",

@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from tillstream.operators.parse import CATEGORY_FIELDS, SALES_FIELDS, accepted, judge_orders, rejected
-from tillstream.operators.sales import category_sales, order_totals, product_sales
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from tillstream.operators.parse import (
+    CATEGORY_FIELDS,
+    SALES_FIELDS,
+    accepted,
+    judge_orders,
+    parse_orders,
+    rejected,
+)
+from tillstream.operators.sales import category_sales_for_totals, product_sales
 from tillstream.operators.serving import order_rows, snapshot
 from tillstream.operators.trends import hopping_counts
+from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.streaming import sinks
 from tillstream.streaming.lateness import with_lateness
 from tillstream.streaming.targets import Deliver, to_files
@@ -44,12 +52,12 @@ class Intervals:
     top_products: int = 10
     categories: int = 15
     raw_orders: int = 5
-    totals: int = 10
     tempo: int = 10
     rejected: int = 60
+    landing: int = 10
 
 
-STREAMS = ("raw_orders", "top_products", "categories", "totals", "tempo", "rejected")
+STREAMS = ("raw_orders", "top_products", "categories", "tempo", "rejected")
 
 
 @contextmanager
@@ -68,69 +76,124 @@ def state_partitions_set(spark: SparkSession, count: int | None) -> Iterator[Non
 
 
 def run_streams(
-    messages: DataFrame,
+    source: DataFrame,
     out: str,
     checkpoints: str,
     *,
-    streams: Sequence[str] = STREAMS,
+    streams: Sequence[str] | None = None,
     intervals: Intervals = Intervals(),
     available_now: bool = False,
     lateness: str = "10 minutes",
     state_partitions: int | None = None,
     deliver: Deliver | None = None,
 ) -> list[StreamingQuery]:
-    """Start the named streams over ``messages`` and return them.
+    """Start the named streams, or all, over ``source`` and return them.
+
+    ``source`` is a stream of messages, each of which every stream decodes for itself,
+    or of the orders that :func:`land_orders` has decoded and set apart for all.
 
-    Each has its own query name and its own checkpoint under ``checkpoints``, which
-    must outlive the process: started again, every stream goes on where it stopped.
-    Results are written under ``out``: payloads (unless ``deliver`` sends them
-    elsewhere), the latest views, and the rejected messages. ``available_now`` works
-    off what is there and ends.
+    Each stream has its own query name and its own checkpoint under ``checkpoints``,
+    which must outlive the process: started again, it goes on where it stopped. Results
+    are written under ``out``: payloads (unless ``deliver`` sends them elsewhere), the
+    latest views, and the rejected messages. ``available_now`` works off what is there
+    and ends.
     """
-    unknown = set(streams) - set(STREAMS)
-    if unknown:
-        raise ValueError(f"no such streams: {sorted(unknown)}")
+    from_messages = "value" in source.columns
+    possible = STREAMS if from_messages else tuple(s for s in STREAMS if s != "rejected")
+    streams = possible if streams is None else streams
+    if unknown := set(streams) - set(possible):
+        raise ValueError(f"no such streams of this source: {sorted(unknown)}")
     deliver = deliver or to_files(f"{out}/payloads")
     views = f"{out}/views"
 
     def orders(fields: Sequence[str] | None = None) -> DataFrame:
-        return accepted(judge_orders(messages, fields))
+        return accepted(judge_orders(source, fields)) if from_messages else source
 
-    def start(name: str, result: DataFrame, mode: str, write: Callable | None) -> StreamingQuery:
-        writer = (
-            result.writeStream.queryName(name)
-            .outputMode(mode)
-            .option("checkpointLocation", f"{checkpoints}/{name}")
-        )
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        else:
-            writer = writer.trigger(processingTime=f"{getattr(intervals, name)} seconds")
-        if write is None:
-            return writer.format("parquet").option("path", f"{out}/{name}").start()
-        return writer.foreachBatch(write).start()
-
-    def start_named(name: str) -> StreamingQuery:
+    def start(name: str) -> StreamingQuery:
         match name:
             case "raw_orders":
-                return start(name, orders(), "append", sinks.order_sink(views, deliver))
+                result, mode = orders(), "append"
+                write = sinks.order_sink(views, deliver)
             case "top_products":
-                sales = product_sales(orders(SALES_FIELDS))
-                return start(name, sales, "complete", sinks.product_sink(views, deliver))
+                result, mode = product_sales(orders(SALES_FIELDS)), "complete"
+                write = sinks.product_sink(views, deliver)
             case "categories":
-                sales = category_sales(orders(CATEGORY_FIELDS))
-                return start(name, sales, "complete", sinks.category_sink(views, deliver))
-            case "totals":
-                totals = order_totals(orders(CATEGORY_FIELDS))
-                return start(name, totals, "complete", sinks.totals_sink(views))
+                result, mode = category_sales_for_totals(orders(CATEGORY_FIELDS)), "complete"
+                write = sinks.category_sink(views, deliver)
             case "tempo":
-                counts = hopping_counts(with_lateness(orders(CATEGORY_FIELDS), lateness))
-                return start(name, counts, "update", sinks.tempo_sink(views))
+                timely = with_lateness(orders(CATEGORY_FIELDS), lateness)
+                result, mode = hopping_counts(timely), "update"
+                write = sinks.tempo_sink(views)
             case _:
-                return start(name, rejected(judge_orders(messages)), "append", None)
+                result = rejected(judge_orders(source))
+                return _to_parquet(result, name, out, checkpoints, intervals, available_now).start()
+        writer = _writer(result, name, checkpoints, intervals, available_now)
+        return writer.outputMode(mode).foreachBatch(write).start()
+
+    with state_partitions_set(source.sparkSession, state_partitions):
+        return [start(name) for name in streams]
+
+
+def _writer(
+    result: DataFrame, name: str, checkpoints: str, intervals: Intervals, available_now: bool
+) -> DataStreamWriter:
+    writer = result.writeStream.queryName(name).option(
+        "checkpointLocation", f"{checkpoints}/{name}"
+    )
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=f"{getattr(intervals, name)} seconds")
+
+
+def _to_parquet(
+    result: DataFrame, name: str, out: str, checkpoints: str, intervals: Intervals, available_now: bool
+) -> DataStreamWriter:
+    writer = _writer(result, name, checkpoints, intervals, available_now)
+    return writer.format("parquet").option("path", f"{out}/{name}").outputMode("append")
 
-    with state_partitions_set(messages.sparkSession, state_partitions):
-        return [start_named(name) for name in streams]
+
+def land_orders(
+    messages: DataFrame,
+    out: str,
+    checkpoints: str,
+    *,
+    intervals: Intervals = Intervals(),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Decode each message once and keep it as columns, accepted or rejected.
+
+    Decoding JSON costs many times what reading the columns again does. Where the load
+    is large, run the other streams on :func:`landed_orders`; they then show an order
+    one landing interval later. Orders are the ``status=accepted`` part of the table,
+    and the reasons of rejection are its other values of ``status``.
+    """
+    judged = judge_orders(messages)
+    is_rejected = F.col("reject_reason").isNotNull()
+    table = judged.withColumns(
+        {
+            "key": F.when(is_rejected, F.col("key")),
+            "value": F.when(is_rejected, F.col("value")),
+            "status": F.coalesce("reject_reason", F.lit("accepted")),
+        }
+    ).drop("reject_reason")
+    landing = _to_parquet(table, "landing", out, checkpoints, intervals, available_now)
+    return landing.partitionBy("status").start()
+
+
+def landed_orders(spark: SparkSession, out: str, stream: bool = True, **options: str) -> DataFrame:
+    """The accepted orders that :func:`land_orders` has written under ``out``."""
+    schema = parse_orders(spark.createDataFrame([], MESSAGE_SCHEMA)).schema
+    reader = (spark.readStream if stream else spark.read).schema(schema.add("status", "string"))
+    table = reader.options(**options).parquet(f"{out}/landing")
+    return table.where(F.col("status") == "accepted").drop("status")
+
+
+def landed_rejects(spark: SparkSession, out: str) -> DataFrame:
+    """The messages that :func:`land_orders` has rejected: ``key, value`` and the reason."""
+    table = spark.read.parquet(f"{out}/landing")
+    return table.where(F.col("status") != "accepted").select(
+        "key", "value", F.col("status").alias("reject_reason")
+    )
 
 
 def await_streams(queries: Sequence[StreamingQuery], poll_seconds: int = 1) -> None:

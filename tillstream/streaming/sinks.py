@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.ranking import latest_orders, merge_latest, top_products
+from tillstream.operators.sales import totals_of_categories
 from tillstream.operators.serving import category_rows, order_rows, payload, product_rows
 from tillstream.streaming.targets import Deliver
 from tillstream.streaming.views import newest_view, write_view
@@ -43,7 +44,7 @@ def product_sink(base: str, deliver: Deliver, k: int = 10) -> BatchFunction:
 
 
 def category_sink(base: str, deliver: Deliver) -> BatchFunction:
-    """Publish all categories so far, most revenue first."""
+    """Publish all categories so far, most revenue first, and keep the totals of all."""
 
     def write(categories: DataFrame, batch_id: int) -> None:
         with _held(categories) as held:
@@ -51,6 +52,7 @@ def category_sink(base: str, deliver: Deliver) -> BatchFunction:
                 rows = category_rows(held, at_most=count)
                 deliver(payload(rows, "categories", batch_id), "categories", batch_id)
                 write_view(rows, f"{base}/categories", batch_id)
+                write_view(totals_of_categories(held).coalesce(1), f"{base}/totals", batch_id)
 
     return write
 
@@ -74,15 +76,6 @@ def order_sink(base: str, deliver: Deliver, k: int = 50, ring: int = 20) -> Batc
     return write
 
 
-def totals_sink(base: str) -> BatchFunction:
-    """Keep the running totals, one row."""
-
-    def write(totals: DataFrame, batch_id: int) -> None:
-        write_view(totals.coalesce(1), f"{base}/totals", batch_id)
-
-    return write
-
-
 def tempo_sink(base: str) -> BatchFunction:
     """Keep the current orders per minute, one row, from the hopping counts that changed.
 
