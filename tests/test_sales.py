@@ -3,10 +3,11 @@ from tillstream.operators.parse import parse_orders
 from tillstream.operators.sales import (
     avg_order_value,
     category_sales,
-    category_sales_for_totals,
+    category_sales_of_products,
     order_totals,
     product_sales,
-    totals_of_categories,
+    rollup_columns,
+    totals_of_sales,
 )
 
 
@@ -81,10 +82,16 @@ def test_totals_count_every_order(spark):
     assert dicts(order_totals(feed(spark).limit(0))) == [{"total_orders": 0, "total_revenue": None}]
 
 
-def test_totals_from_categories(spark):
-    with_ids = feed(spark).where("order_id is not null")
-    categories = category_sales_for_totals(with_ids)
-    assert dicts(totals_of_categories(categories)) == dicts(order_totals(with_ids))
+def test_coarser_results_from_finer_ones(spark):
+    rows = feed(spark)
+    products = product_sales(rows, *rollup_columns())
+    for exact in (False, True):
+        got = by(category_sales_of_products(products, exact), "category")
+        assert got == by(category_sales(rows, exact), "category")
+    categories = category_sales(rows, False, *rollup_columns())
+    for finer in (products, categories):
+        assert dicts(totals_of_sales(finer)) == dicts(order_totals(rows))
+    assert dicts(totals_of_sales(products.limit(0))) == dicts(order_totals(rows.limit(0)))
 
 
 def test_avg_order_value(spark):

@@ -94,32 +94,37 @@ def test_category_details(spark):
     }
 
 
-def snapshot_of(rows, part_rows=serving.PART_ROWS):
-    return serving.snapshot(
-        serving.product_rows(ranking.top_products(product_sales(rows))),
-        serving.category_rows(category_sales(rows)),
-        serving.order_rows(ranking.latest_orders(rows, 20)),
-        serving.kpi_status(rows),
-        part_rows,
-    )
-
-
 def test_snapshot_is_one_document(spark):
-    (document,) = as_json(snapshot_of(feed(spark)))
+    (document,) = as_json(serving.snapshot_of_orders(feed(spark)))
     assert [p["product_id"] for p in document["top_products"]] == ["PROD-001", "PROD-002", "PROD-003"]
     assert [c["category"] for c in document["categories"]] == ["Home", "Books"]
     assert [o["order_id"] for o in document["recent_orders"]] == ["2", "1", "4", "3"]
     assert document["metrics"] == {"total_orders": 4, "total_revenue": 134.0, "orders_per_minute": 3}
+    assert list(document["categories"][0]) == CATEGORY_ROW
 
 
 def test_snapshot_before_the_first_order(spark):
-    (document,) = as_json(snapshot_of(feed(spark).limit(0)))
+    (document,) = as_json(serving.snapshot_of_orders(feed(spark).limit(0)))
     assert document["metrics"] == {"total_orders": 0, "total_revenue": 0.0, "orders_per_minute": 0}
     assert "top_products" not in document
 
 
+def test_long_lists_make_further_parts_of_a_snapshot(spark):
+    rows = feed(spark)
+    parts = serving.snapshot(
+        serving.product_rows(ranking.top_products(product_sales(rows))),
+        serving.category_rows(category_sales(rows)),
+        serving.order_rows(ranking.latest_orders(rows)),
+        serving.kpi_status(rows),
+        part_rows=3,
+    ).orderBy("part")
+    first, second = as_json(parts)
+    assert len(first["recent_orders"]) == 3 and "metrics" in first
+    assert [o["order_id"] for o in second["recent_orders"]] == ["3"] and "metrics" not in second
+
+
 def test_no_cross_join(spark):
-    plan = snapshot_of(feed(spark))._jdf.queryExecution().optimizedPlan().toString()
-    assert "Cross" not in plan
-    plan = snapshot_of(feed(spark))._jdf.queryExecution().executedPlan().toString()
+    execution = serving.snapshot_of_orders(feed(spark))._jdf.queryExecution()
+    assert "Cross" not in execution.optimizedPlan().toString()
+    plan = execution.executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan

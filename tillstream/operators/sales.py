@@ -12,21 +12,20 @@ from pyspark.sql import functions as F
 from tillstream.functions.money import exact_total, money_sum
 
 
-def product_sales(orders: DataFrame) -> DataFrame:
+def product_sales(orders: DataFrame, *further: Column) -> DataFrame:
     """Sales of each product, from the start of the data.
 
     ``avg_price`` is the mean over orders, not weighted by quantity. Name and category
-    are keys too: a renamed product is counted apart from its former self.
+    are keys too: a renamed product is counted apart from its former self. ``further``
+    aggregates are added as columns.
     """
-    return (
-        orders.groupBy("product_id", "product_name", "category")
-        .agg(
-            F.count("order_id").alias("order_count"),
-            F.sum("quantity").alias("total_quantity"),
-            money_sum(F.col("total_value")).alias("total_revenue"),
-            F.try_divide(money_sum(F.col("price")), F.count("price")).alias("avg_price"),
-            F.max("timestamp_parsed").alias("last_order_time"),
-        )
+    return orders.groupBy("product_id", "product_name", "category").agg(
+        F.count("order_id").alias("order_count"),
+        F.sum("quantity").alias("total_quantity"),
+        money_sum(F.col("total_value")).alias("total_revenue"),
+        F.try_divide(money_sum(F.col("price")), F.count("price")).alias("avg_price"),
+        F.max("timestamp_parsed").alias("last_order_time"),
+        *further,
     )
 
 
@@ -48,19 +47,33 @@ def category_sales(orders: DataFrame, exact: bool = False, *further: Column) ->
     )
 
 
-def category_sales_for_totals(orders: DataFrame) -> DataFrame:
-    """Sales of each category with what :func:`totals_of_categories` needs."""
-    revenue = exact_total(F.col("total_value"))
-    return category_sales(orders, False, revenue.alias("exact_revenue"))
+def rollup_columns() -> list[Column]:
+    """The further columns from which coarser results follow without the orders."""
+    return [
+        exact_total(F.col("total_value")).alias("exact_revenue"),
+        F.count(F.lit(1)).alias("records"),
+    ]
 
 
-def totals_of_categories(categories: DataFrame) -> DataFrame:
-    """The running totals from the sales of all categories, without the orders.
+def category_sales_of_products(products: DataFrame, exact: bool = False) -> DataFrame:
+    """:func:`category_sales` from product sales that have the rollup columns.
 
-    The same as :func:`order_totals` over orders that all have an id.
+    The estimate of distinct products is the very same, as repeats do not enter it.
     """
-    return categories.agg(
-        F.sum("order_count").alias("total_orders"),
+    distinct = F.count_distinct if exact else F.approx_count_distinct
+    return products.groupBy("category").agg(
+        F.sum("order_count").alias("order_count"),
+        F.sum("total_quantity").alias("total_quantity"),
+        F.sum("exact_revenue").cast("double").alias("total_revenue"),
+        distinct("product_id").alias("unique_products"),
+        F.max("last_order_time").alias("last_order_time"),
+    )
+
+
+def totals_of_sales(sales: DataFrame) -> DataFrame:
+    """:func:`order_totals` from product or category sales with the rollup columns."""
+    return sales.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("total_orders"),
         F.sum("exact_revenue").cast("double").alias("total_revenue"),
     )
 

@@ -12,10 +12,19 @@ from tillstream.functions.times import iso_text, order_time_text, within_trailin
 from tillstream.operators.ranking import (
     PRODUCT_KEY,
     busiest_categories,
+    latest_orders,
+    top_products,
     with_position,
 )
-from tillstream.operators.trends import TIME, latest_moment
+from tillstream.operators.sales import (
+    category_sales_of_products,
+    product_sales,
+    rollup_columns,
+    totals_of_sales,
+)
+from tillstream.operators.trends import TIME, latest_moment, orders_last_minute
 from tillstream.schema import CATEGORY_ROW, ORDER_ROW, PRODUCT_ROW
+from tillstream.session import durable
 
 # Rows in one payload document. A list longer than this is published in parts.
 PART_ROWS = 1000
@@ -146,6 +155,34 @@ def category_details(categories: DataFrame, k: int = 6) -> DataFrame:
     )
 
 
+def metrics_row(totals: DataFrame, minute: DataFrame) -> DataFrame:
+    """The KPI row from the totals and the orders per minute, one row each."""
+    both = totals.unionByName(minute, allowMissingColumns=True)
+    return both.agg(
+        *(
+            F.coalesce(F.max(c), F.lit(0)).alias(c)
+            for c in ("total_orders", "total_revenue", "orders_per_minute")
+        )
+    )
+
+
+def snapshot_of_orders(orders: DataFrame) -> DataFrame:
+    """The dashboard document of a table of orders.
+
+    Categories, totals and the newest time follow from the product sales, which are kept
+    in a checkpoint. The orders themselves are read for those, for the newest 20, and,
+    filtered by time at the scan, for the trailing minute.
+    """
+    products = durable(product_sales(orders, *rollup_columns()))
+    newest = products.agg(F.max("last_order_time")).scalar()
+    return snapshot(
+        product_rows(top_products(products)),
+        category_rows(category_sales_of_products(products)),
+        order_rows(latest_orders(orders, 20)),
+        metrics_row(totals_of_sales(products), orders_last_minute(orders, newest)),
+    )
+
+
 def snapshot(
     products: DataFrame,
     categories: DataFrame,

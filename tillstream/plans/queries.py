@@ -366,16 +366,6 @@ def payload_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _unfold(serving.payload(rows, "orders", 0), "orders")
 
 
-def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    orders = event_orders(spark, folder)
-    return serving.snapshot(
-        serving.product_rows(ranking.top_products(sales.product_sales(orders))),
-        serving.category_rows(sales.category_sales(orders)),
-        serving.order_rows(ranking.latest_orders(orders, 20)),
-        serving.kpi_status(orders),
-    )
-
-
 def _unfold_snapshot(document: DataFrame) -> DataFrame:
     """A snapshot as rows ``section, position, id, amount``."""
 
@@ -403,7 +393,7 @@ def _unfold_snapshot(document: DataFrame) -> DataFrame:
 
 @query
 def dashboard_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return _unfold_snapshot(_snapshot(spark, folder))
+    return _unfold_snapshot(serving.snapshot_of_orders(event_orders(spark, folder)))
 
 
 # Streams ---------------------------------------------------------------------------

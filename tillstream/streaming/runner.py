@@ -19,8 +19,8 @@ from tillstream.operators.parse import (
     parse_orders,
     rejected,
 )
-from tillstream.operators.sales import category_sales_for_totals, product_sales
-from tillstream.operators.serving import order_rows, snapshot
+from tillstream.operators.sales import category_sales, product_sales, rollup_columns
+from tillstream.operators.serving import metrics_row, order_rows, snapshot
 from tillstream.operators.trends import hopping_counts
 from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.streaming import sinks
@@ -118,7 +118,8 @@ def run_streams(
                 result, mode = product_sales(orders(SALES_FIELDS)), "complete"
                 write = sinks.product_sink(views, deliver)
             case "categories":
-                result, mode = category_sales_for_totals(orders(CATEGORY_FIELDS)), "complete"
+                result = category_sales(orders(CATEGORY_FIELDS), False, *rollup_columns())
+                mode = "complete"
                 write = sinks.category_sink(views, deliver)
             case "tempo":
                 timely = with_lateness(orders(CATEGORY_FIELDS), lateness)
@@ -223,15 +224,8 @@ def batch_sizes(query: StreamingQuery) -> dict[int, int]:
 
 def live_metrics(spark: SparkSession, out: str) -> DataFrame:
     """The KPI row from the latest views of the running streams."""
-    totals = latest_view(spark, out, "totals")
-    tempo = latest_view(spark, out, "tempo").select("orders_per_minute")
-    both = totals.unionByName(tempo, allowMissingColumns=True)
-    return both.agg(
-        *(
-            F.coalesce(F.max(c), F.lit(0)).alias(c)
-            for c in ("total_orders", "total_revenue", "orders_per_minute")
-        )
-    )
+    minute = latest_view(spark, out, "tempo").select("orders_per_minute")
+    return metrics_row(latest_view(spark, out, "totals"), minute)
 
 
 def live_snapshot(spark: SparkSession, out: str) -> DataFrame:

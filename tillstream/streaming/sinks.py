@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.ranking import latest_orders, merge_latest, top_products
-from tillstream.operators.sales import totals_of_categories
+from tillstream.operators.sales import totals_of_sales
 from tillstream.operators.serving import category_rows, order_rows, payload, product_rows
 from tillstream.streaming.targets import Deliver
 from tillstream.streaming.views import newest_view, write_view
@@ -52,7 +52,7 @@ def category_sink(base: str, deliver: Deliver) -> BatchFunction:
                 rows = category_rows(held, at_most=count)
                 deliver(payload(rows, "categories", batch_id), "categories", batch_id)
                 write_view(rows, f"{base}/categories", batch_id)
-                write_view(totals_of_categories(held).coalesce(1), f"{base}/totals", batch_id)
+                write_view(totals_of_sales(held).coalesce(1), f"{base}/totals", batch_id)
 
     return write
 
