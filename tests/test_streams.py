@@ -4,6 +4,7 @@ import json
 import os
 import shutil
 from pathlib import Path
+from threading import Event
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -167,6 +168,34 @@ def test_batch_that_failed_half_way_is_done_again(spark, feed_files, tmp_path):
     assert dicts(ranking.latest_orders(latest_view(spark, out, "recent_orders"), 99)) == dicts(ranking.latest_orders(whole, 20))
 
 
+def test_failure_of_one_stream_ends_the_running_others(spark, feed_files, tmp_path):
+    arrive(feed_files[:1], tmp_path / "in")
+
+    def failing(document, name, batch_id):
+        if name == "raw_orders":
+            raise RuntimeError("no space left")
+
+    queries = run_streams(
+        stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"),
+        streams=["top_products", "raw_orders"], deliver=failing,
+    )
+    with pytest.raises(StreamingQueryException, match="no space left"):
+        await_streams(queries)
+    assert not any(q.isActive for q in queries)
+
+
+def test_waiting_ends_when_told_to(spark, feed_files, tmp_path):
+    arrive(feed_files[:1], tmp_path / "in")
+    queries = run_streams(
+        stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"), streams=["raw_orders"]
+    )
+    queries[0].processAllAvailable()
+    stop = Event()
+    stop.set()
+    await_streams(queries, stop)
+    assert not queries[0].isActive
+
+
 def test_replayed_batch_changes_nothing(spark, feed_files, tmp_path):
     arrive(feed_files, tmp_path / "in")
     whole = batch(spark, tmp_path / "in")

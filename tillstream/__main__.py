@@ -8,6 +8,7 @@ import os
 import signal
 from collections.abc import Mapping
 from dataclasses import dataclass
+from threading import Event
 
 from tillstream.session import build_session
 from tillstream.sources.messages import DEFAULT_TOPIC, kafka_read_options, stream_messages
@@ -15,7 +16,6 @@ from tillstream.streaming import (
     Intervals,
     await_streams,
     run_streams,
-    stop_streams,
     trigger_seconds,
 )
 
@@ -55,6 +55,7 @@ def main() -> None:
     parser.add_argument("--state-partitions", type=int)
     arguments = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
+    logging.getLogger("py4j").setLevel(logging.WARNING)
 
     settings = settings_from(os.environ)
     spark = build_session(master=os.environ.get("SPARK_MASTER_URL"))
@@ -65,10 +66,12 @@ def main() -> None:
         intervals=settings.intervals,
         state_partitions=arguments.state_partitions,
     )
+    # The handler only sets a flag: the main thread may be in a call to the JVM.
+    stop = Event()
     for number in (signal.SIGTERM, signal.SIGINT):
-        signal.signal(number, lambda *_: stop_streams(queries))
+        signal.signal(number, lambda *_: stop.set())
     try:
-        await_streams(queries)
+        await_streams(queries, stop)
     finally:
         spark.stop()
 

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,19 +198,28 @@ def landed_rejects(spark: SparkSession, out: str) -> DataFrame:
     )
 
 
-def await_streams(queries: Sequence[StreamingQuery], poll_seconds: int = 1) -> None:
-    """Wait until all have ended. If one fails, stop the others and raise its error."""
+def await_streams(
+    queries: Sequence[StreamingQuery], stop: Event | None = None, poll_seconds: float = 0.2
+) -> None:
+    """Wait until all have ended, or ``stop`` is set; then stop those that still run.
+
+    As soon as one fails, the others are stopped and its error is raised.
+    """
+    stop = stop or Event()
     try:
-        while running := [q for q in queries if q.isActive]:
-            for query in running:
-                query.awaitTermination(poll_seconds)
-        for query in queries:
-            if error := query.exception():
-                raise error
+        while any(q.isActive for q in queries) and not stop.wait(poll_seconds):
+            _raise_errors(queries)
+        _raise_errors(queries)
     finally:
         stop_streams(queries)
 
 
+def _raise_errors(queries: Sequence[StreamingQuery]) -> None:
+    for query in queries:
+        if error := query.exception():
+            raise error
+
+
 def stop_streams(queries: Sequence[StreamingQuery]) -> None:
     """Stop those that still run. Their checkpoints let them go on later."""
     for query in queries:
