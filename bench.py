@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import tempfile
 import time
 from collections.abc import Callable
@@ -130,6 +131,20 @@ def main() -> None:
         2,
     )
 
+    # Small batches, as of a shop with a few orders a second: seconds from trigger to result.
+    few = messages.limit(1000).repartition(12)
+    few.write.parquet(f"{work}/few")
+    source = stream_messages(spark, "parquet", f"{work}/few", maxFilesPerTrigger="1")
+    latency = {}
+    for name in ("raw_orders", "top_products", "categories"):
+        root = tempfile.mkdtemp(dir=work)
+        queries = run_streams(
+            source, f"{root}/out", f"{root}/checkpoints", streams=[name], available_now=True
+        )
+        await_streams(queries)
+        batches = [p["durationMs"]["triggerExecution"] / 1000 for p in queries[0].recentProgress]
+        latency[name] = round(statistics.median(batches), 3)
+
     per_second = {
         name: round(rows / seconds[name])
         for name in ("encode", *over_messages, "stream_top_products", "stream_three", "stream_three_landed")
@@ -144,6 +159,7 @@ def main() -> None:
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "orders": rows,
                 "orders_per_second": per_second,
+                "small_batch_seconds": latency,
                 "cpus": CPUS,
             }
         )

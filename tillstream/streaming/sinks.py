@@ -68,9 +68,13 @@ def order_sink(base: str, deliver: Deliver, k: int = 50, ring: int = 20) -> Batc
         with _held(latest_orders(orders, max(k, ring))) as newest:
             if newest.isEmpty():
                 return
-            deliver(payload(order_rows(latest_orders(newest, k)), "orders", batch_id), "raw_orders", batch_id)
-            previous = newest_view(orders.sparkSession, view, before=batch_id)
-            merged = latest_orders(newest, ring) if previous is None else merge_latest(previous, newest, ring)
+            shown = newest if k >= ring else latest_orders(newest, k)
+            deliver(payload(order_rows(shown), "orders", batch_id), "raw_orders", batch_id)
+            previous = newest_view(orders.sparkSession, view, batch_id, newest.schema)
+            if previous is None:
+                merged = latest_orders(newest, ring)
+            else:
+                merged = merge_latest(previous, newest, ring)
             write_view(merged.coalesce(1), view, batch_id)
 
     return write
@@ -90,7 +94,7 @@ def tempo_sink(base: str) -> BatchFunction:
             current = held.where(
                 F.col("window_end") == newest + F.expr("INTERVAL 10 SECONDS")
             ).select("window_start", "window_end", F.col("order_count").alias("orders_per_minute"))
-            previous = newest_view(changed.sparkSession, view, before=batch_id)
+            previous = newest_view(changed.sparkSession, view, batch_id, current.schema)
             if previous is not None:
                 current = current.unionByName(previous)
             current = current.orderBy(F.desc("window_end"), F.desc("orders_per_minute")).limit(1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -43,14 +44,22 @@ def write_view(rows: DataFrame, base: str, batch_id: int, keep: int = 5) -> None
         files.delete(path, True)
 
 
-def newest_view(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
-    """The newest finished result under ``base``, of the batches before ``before``."""
+def newest_view(
+    spark: SparkSession, base: str, before: int | None = None, schema: StructType | None = None
+) -> DataFrame | None:
+    """The newest finished result under ``base``, of the batches before ``before``.
+
+    A given ``schema`` spares the job that reads it from the files.
+    """
     finished = [
         b
         for b, done in batch_folders(spark, base).items()
         if done and (before is None or b < before)
     ]
-    return spark.read.parquet(_folder(base, max(finished))) if finished else None
+    if not finished:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(_folder(base, max(finished)))
 
 
 def latest_view(spark: SparkSession, out: str, name: str) -> DataFrame:
