@@ -386,6 +386,18 @@ def test_landed_orders_give_the_same_results(spark, feed_files, tmp_path):
         run_streams(source, out, str(tmp_path / "checkpoints"), streams=["rejected"])
 
 
+def test_stream_that_cannot_start_leaves_none_running(spark, feed_files, tmp_path):
+    arrive(feed_files[:1], tmp_path / "in")
+    source = stream(spark, tmp_path / "in")
+    running = run_streams(source, str(tmp_path / "a"), str(tmp_path / "c"), streams=["raw_orders"])
+    with pytest.raises(Exception, match="raw_orders"):  # the name is taken
+        run_streams(source, str(tmp_path / "b"), str(tmp_path / "d"), streams=["categories", "raw_orders"])
+    assert [q.name for q in spark.streams.active] == ["raw_orders"]
+    others = run_streams(source, str(tmp_path / "b"), str(tmp_path / "e"), streams=["raw_orders"], name_prefix="b-")
+    assert others[0].name == "b-raw_orders"
+    stop_streams([*running, *others])
+
+
 def test_unknown_stream_is_refused(spark, tmp_path):
     empty = spark.createDataFrame([], MESSAGE_SCHEMA)
     with pytest.raises(ValueError, match="nonsense"):

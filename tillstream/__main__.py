@@ -26,25 +26,27 @@ class Settings:
     intervals: Intervals
 
 
+# The environment variables, and the intervals that three of them set.
+SERVERS = "KAFKA_BOOTSTRAP_SERVERS"
+TOPIC = "KAFKA_TOPIC"
+MASTER = "SPARK_MASTER_URL"
+INTERVALS = {
+    "top_products": "TOP_PRODUCTS_INTERVAL_SECONDS",
+    "categories": "CATEGORIES_INTERVAL_SECONDS",
+    "raw_orders": "RAW_ORDERS_INTERVAL_SECONDS",
+}
+
+
 def settings_from(env: Mapping[str, str]) -> Settings:
     """Topic and intervals from environment variables, each with its default."""
-    defaults = Intervals()
+    servers = env.get(SERVERS, "localhost:9092")
+    chosen = {
+        stream: trigger_seconds(env.get(variable), getattr(Intervals, stream))
+        for stream, variable in INTERVALS.items()
+    }
     return Settings(
-        kafka=kafka_read_options(
-            env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"),
-            env.get("KAFKA_TOPIC", DEFAULT_TOPIC),
-        ),
-        intervals=Intervals(
-            top_products=trigger_seconds(
-                env.get("TOP_PRODUCTS_INTERVAL_SECONDS"), defaults.top_products
-            ),
-            categories=trigger_seconds(
-                env.get("CATEGORIES_INTERVAL_SECONDS"), defaults.categories
-            ),
-            raw_orders=trigger_seconds(
-                env.get("RAW_ORDERS_INTERVAL_SECONDS"), defaults.raw_orders
-            ),
-        ),
+        kafka=kafka_read_options(servers, env.get(TOPIC, DEFAULT_TOPIC)),
+        intervals=Intervals(**chosen),
     )
 
 
@@ -58,7 +60,7 @@ def main() -> None:
     logging.getLogger("py4j").setLevel(logging.WARNING)
 
     settings = settings_from(os.environ)
-    spark = build_session(master=os.environ.get("SPARK_MASTER_URL"))
+    spark = build_session(master=os.environ.get(MASTER))
     queries = run_streams(
         stream_messages(spark, "kafka", **settings.kafka),
         arguments.out,

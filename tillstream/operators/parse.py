@@ -47,19 +47,15 @@ def judge_orders(messages: DataFrame, fields: Sequence[str] | None = None) -> Da
     A time that cannot be read is no reason to reject; signs are not checked.
     ``fields`` must hold the ones that are judged.
     """
-    amount = F.col("total_value")
+    no_text = F.coalesce(F.trim(F.col("value").cast("string")), F.lit("")) == ""
+    no_key = F.col("order_id").isNull() | F.col("product_id").isNull() | F.col("category").isNull()
+    # units() is NULL for a missing or infinite amount and for one too large to be summed.
+    no_amount = units(F.col("price")).isNull() | units(F.col("total_value")).isNull()
     reason = (
-        F.when(F.trim(F.col("value").cast("string")).isNull(), "null_value")
-        .when(F.trim(F.col("value").cast("string")) == "", "null_value")
-        .when(
-            F.col("order_id").isNull()
-            | F.col("product_id").isNull()
-            | F.col("category").isNull(),
-            "missing_key",
-        )
+        F.when(no_text, "null_value")
+        .when(no_key, "missing_key")
         .when(F.isnan("price"), "nan_price")
-        # units() is NULL for infinite amounts and for those too large to be summed.
-        .when(amount.isNull() | units(amount).isNull() | units(F.col("price")).isNull(), "bad_number")
+        .when(no_amount, "bad_number")
     )
     return parse_orders(messages, fields, keep=("key", "value")).withColumn(
         "reject_reason", reason

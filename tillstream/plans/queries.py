@@ -8,6 +8,7 @@ shown as plain ones, read in the session zone.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -419,6 +420,7 @@ def _streamed(spark: SparkSession, folder: str, *streams: str, spoiled: bool = F
             streams=streams,
             available_now=True,
             state_partitions=_state_partitions(spark),
+            name_prefix=f"{os.path.basename(root)}-",
         )
     )
     return out
@@ -429,7 +431,11 @@ def _landed(spark: SparkSession, folder: str) -> str:
     messages = spoiled_event_messages(stream_event_orders(spark, folder))
     root = shared_folder(spark)
     out = f"{root}/out"
-    await_streams([land_orders(messages, out, f"{root}/checkpoints", available_now=True)])
+    prefix = f"{os.path.basename(root)}-"
+    landing = land_orders(
+        messages, out, f"{root}/checkpoints", available_now=True, name_prefix=prefix
+    )
+    await_streams([landing])
     return out
 
 

@@ -32,6 +32,9 @@ def build_session(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Landing writes a file for each status, of which there are five; with a writer
+        # open for each, its rows need not be sorted by status first.
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
         # Checkpoints of intermediate results go when the results do.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

@@ -87,6 +87,7 @@ def run_streams(
     lateness: str = "10 minutes",
     state_partitions: int | None = None,
     deliver: Deliver | None = None,
+    name_prefix: str = "",
 ) -> list[StreamingQuery]:
     """Start the named streams, or all, over ``source`` and return them.
 
@@ -97,7 +98,8 @@ def run_streams(
     which must outlive the process: started again, it goes on where it stopped. Results
     are written under ``out``: payloads (unless ``deliver`` sends them elsewhere), the
     latest views, and the rejected messages. ``available_now`` works off what is there
-    and ends.
+    and ends. A session that runs several sets of streams at once tells their names apart
+    by ``name_prefix``.
     """
     from_messages = "value" in source.columns
     possible = STREAMS if from_messages else tuple(s for s in STREAMS if s != "rejected")
@@ -128,32 +130,33 @@ def run_streams(
                 write = sinks.tempo_sink(views)
             case _:
                 result = rejected(judge_orders(source))
-                return _to_parquet(result, name, out, checkpoints, intervals, available_now).start()
+                writer = _writer(result, name, checkpoints, intervals, available_now)
+                writer = writer.queryName(name_prefix + name).outputMode("append")
+                return writer.format("parquet").option("path", f"{out}/{name}").start()
         writer = _writer(result, name, checkpoints, intervals, available_now)
-        return writer.outputMode(mode).foreachBatch(write).start()
+        writer = writer.queryName(name_prefix + name).outputMode(mode)
+        return writer.foreachBatch(write).start()
 
-    with state_partitions_set(source.sparkSession, state_partitions):
-        return [start(name) for name in streams]
+    started: list[StreamingQuery] = []
+    try:
+        with state_partitions_set(source.sparkSession, state_partitions):
+            for name in streams:
+                started.append(start(name))
+    except BaseException:
+        stop_streams(started)
+        raise
+    return started
 
 
 def _writer(
     result: DataFrame, name: str, checkpoints: str, intervals: Intervals, available_now: bool
 ) -> DataStreamWriter:
-    writer = result.writeStream.queryName(name).option(
-        "checkpointLocation", f"{checkpoints}/{name}"
-    )
+    writer = result.writeStream.option("checkpointLocation", f"{checkpoints}/{name}")
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=f"{getattr(intervals, name)} seconds")
 
 
-def _to_parquet(
-    result: DataFrame, name: str, out: str, checkpoints: str, intervals: Intervals, available_now: bool
-) -> DataStreamWriter:
-    writer = _writer(result, name, checkpoints, intervals, available_now)
-    return writer.format("parquet").option("path", f"{out}/{name}").outputMode("append")
-
-
 def land_orders(
     messages: DataFrame,
     out: str,
@@ -161,6 +164,7 @@ def land_orders(
     *,
     intervals: Intervals = Intervals(),
     available_now: bool = False,
+    name_prefix: str = "",
 ) -> StreamingQuery:
     """Decode each message once and keep it as columns, accepted or rejected.
 
@@ -178,8 +182,9 @@ def land_orders(
             "status": F.coalesce("reject_reason", F.lit("accepted")),
         }
     ).drop("reject_reason")
-    landing = _to_parquet(table, "landing", out, checkpoints, intervals, available_now)
-    return landing.partitionBy("status").start()
+    writer = _writer(table, "landing", checkpoints, intervals, available_now)
+    writer = writer.queryName(f"{name_prefix}landing").outputMode("append")
+    return writer.format("parquet").partitionBy("status").option("path", f"{out}/landing").start()
 
 
 def landed_orders(spark: SparkSession, out: str, stream: bool = True, **options: str) -> DataFrame:
