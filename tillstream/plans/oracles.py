@@ -208,6 +208,7 @@ ORACLES: dict[str, str] = {
     "stream_totals": f"select count(*) total_orders, {money('total_value')} total_revenue from {EVENTS}",
     "stream_tempo": TEMPO,
     "stream_rejected": REJECTED,
+    "stream_deduplicated": f"select {PARSED} from {EVENTS}",
     "landed_product_sales": product_sales(ACCEPTED),
     "landed_reject_counts": f"select reject_reason, count(*) messages from ({REJECTED}) group by 1",
     # Windows are closed once the newest event is 10 minutes past their end.

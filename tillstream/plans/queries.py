@@ -27,6 +27,7 @@ from tillstream.sources.tables import (
 )
 from tillstream.streaming import (
     await_streams,
+    deduplicate,
     land_orders,
     landed_orders,
     landed_rejects,
@@ -497,6 +498,14 @@ def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def stream_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
+    """The event feed sent twice over, with the repeats dropped."""
+    messages = encode_orders(stream_event_orders(spark, folder))
+    orders = parse.parse_orders(messages.unionAll(messages))
+    return plain_times(_appended(spark, deduplicate(orders, spread=4)))
+
+
 @query
 def landed_product_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Product sales of the accepted orders, read from the columns a stream has landed."""

@@ -25,7 +25,9 @@ def lineitem_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One order per lineitem: the ten columns of a parsed order, without the JSON.
 
     Text is made on the side of the join that has fewer rows: once for each part and
-    each order, not once for each line.
+    each order, not once for each line. Parts come last: small, they are broadcast and
+    widen the rows after the large join only; large, they leave the lines of a product
+    together, so that grouping by product sends one row of it from a task.
     """
     lines = _table(spark, folder, "lineitem")
     parts = _table(spark, folder, "part").select(
@@ -43,8 +45,8 @@ def lineitem_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("timestamp_parsed"),
     )
     return (
-        lines.join(parts, lines.l_partkey == parts.p_partkey)
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .join(parts, lines.l_partkey == parts.p_partkey)
         .withColumn("quantity", F.col("l_quantity").cast("int"))
         .withColumn("total_value", F.col("price") * F.col("quantity"))
         .select(*ORDER_FIELDS, "timestamp_parsed", "total_value")
