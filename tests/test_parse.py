@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import at, dicts, messages, order, orders
+from tillstream.operators import serving, trends
 from tillstream.operators.parse import accepted, judge_orders, parse_orders, rejected
+from tillstream.operators.ranking import latest_orders
+from tillstream.operators.sales import product_sales
 from tillstream.schema import ORDER_FIELDS, order_schema
 from tillstream.sources.messages import encode_orders
 
@@ -74,6 +77,10 @@ def test_nan_price_and_repeated_key(spark):
         ("2024-13-01T00:00:00", None),
         ("2024-05-01T10:00:00+02:00", "2024-05-01T08:00:00"),
         ("2024-05-01T10:00:00", "2024-05-01T10:00:00"),
+        ("+294247-01-10T04:00:54.775807", None),
+        ("-290308-12-21T19:59:05.224192", None),
+        ("+10000-01-01T00:00:00", None),
+        ("9999-12-31T23:59:59.999999", "9999-12-31T23:59:59.999999"),
         ("2024-05-01T10:00:00.123456789", "2024-05-01T10:00:00.123456"),
     ],
 )
@@ -152,3 +159,31 @@ def test_pruned_judging_sees_the_same(spark):
     wide = judge_orders(feed)
     key = F.col("key").cast("string")
     assert narrow.select(key, "reject_reason").collect() == wide.select(key, "reject_reason").collect()
+
+
+def test_no_message_stops_a_query(spark):
+    whole = json.dumps(order("Z")).encode()
+    hostile = [
+        b"\xff\xfe" + whole,
+        json.dumps(order(category="QQ")).encode().replace(b"QQ", b"\xff\xc3"),
+        b"[" * 3000,
+        b'{"order_id":' + b'{"a":' * 3000,
+        whole.replace(b"10.0", b"9" * 2000),
+        whole.replace(b"10.0", b"1e400"),
+        json.dumps(order(timestamp="+294247-01-10T04:00:54.775807")),
+        json.dumps(order(timestamp="-290308-12-21T19:59:05.224192")),
+        json.dumps(order(quantity=2**31 - 1, price=1e5)),
+        json.dumps(order(product_name="a\0b", order_id="\ud800")),
+        '{"order_id":"A"}'.encode("utf-16"),
+        b"[" + whole + b"]",
+        whole + b" and more",
+    ]
+    judged = judge_orders(messages(spark, *hostile))
+    assert accepted(judged).count() + rejected(judged).count() == len(hostile)
+    for rows in (parse_orders(messages(spark, *hostile)), accepted(judged)):
+        product_sales(rows).collect()
+        trends.orders_per_minute(rows).collect()
+        trends.hopping_counts(rows).collect()
+        trends.running_revenue(rows).collect()
+        serving.kpi_status(rows).collect()
+        serving.payload(serving.order_rows(latest_orders(rows)), "orders", 0).toJSON().collect()

@@ -307,6 +307,19 @@ def test_current_tempo_is_not_turned_back_by_late_orders(spark, tmp_path):
     assert row.orders_per_minute == 3
 
 
+def test_an_order_from_the_far_future_does_not_close_the_present(spark, tmp_path):
+    late_files(
+        spark,
+        tmp_path,
+        [("a", "9000-01-01T00:00:00"), ("b", "2024-05-01T10:00:41")],
+        [("c", "2024-05-01T10:00:45")],
+        [("d", "2024-05-01T10:00:50")],
+    )
+    run(spark, tmp_path, "tempo")
+    row = latest_view(spark, str(tmp_path / "out"), "tempo").first()
+    assert (row.window_end, row.orders_per_minute) == (at("2024-05-01T10:01:00"), 3)
+
+
 @pytest.mark.parametrize("spread", [1, 4])
 def test_repeats_within_the_delay_are_dropped(spark, tmp_path, spread):
     late_files(

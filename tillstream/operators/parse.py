@@ -32,10 +32,16 @@ def parse_orders(
 
 
 def with_derived_columns(orders: DataFrame) -> DataFrame:
-    """Add the event time and the line value, where the fields they need are present."""
+    """Add the event time and the line value, where the fields they need are present.
+
+    A time outside the years 1 to 9999 is taken as unreadable: it has no ISO text, and
+    at the far ends of the type a window around it cannot be computed.
+    """
     columns = set(orders.columns)
     if "timestamp" in columns:
-        orders = orders.withColumn("timestamp_parsed", F.try_to_timestamp("timestamp"))
+        moment = F.try_to_timestamp("timestamp")
+        year = F.year(moment)
+        orders = orders.withColumn("timestamp_parsed", F.when(year.between(1, 9999), moment))
     if {"price", "quantity"} <= columns:
         orders = orders.withColumn("total_value", F.col("price") * F.col("quantity"))
     return orders

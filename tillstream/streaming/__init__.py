@@ -1,4 +1,4 @@
-from tillstream.streaming.lateness import deduplicate, with_lateness
+from tillstream.streaming.lateness import deduplicate, not_ahead, with_lateness
 from tillstream.streaming.runner import (
     Intervals,
     await_streams,
@@ -24,6 +24,7 @@ __all__ = [
     "landed_rejects",
     "latest_view",
     "live_snapshot",
+    "not_ahead",
     "run_streams",
     "state_partitions_set",
     "stop_streams",

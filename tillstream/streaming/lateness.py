@@ -13,6 +13,15 @@ def with_lateness(orders: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return orders.withWatermark(TIME, delay)
 
 
+def not_ahead(orders: DataFrame, by: str = "10 minutes") -> DataFrame:
+    """Orders dated no more than ``by`` after the present. For live streams.
+
+    A watermark follows the newest time it has met. One order dated years ahead would
+    make every order until then a late one.
+    """
+    return orders.where(F.col(TIME) <= F.current_timestamp() + F.expr(f"INTERVAL {by}"))
+
+
 def deduplicate(orders: DataFrame, delay: str = "10 minutes", spread: int = 1) -> DataFrame:
     """Keep the first order of each id within ``delay``. For streams only.
 

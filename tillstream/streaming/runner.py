@@ -25,7 +25,7 @@ from tillstream.operators.serving import metrics_row, order_rows, snapshot
 from tillstream.operators.trends import hopping_counts
 from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.streaming import sinks
-from tillstream.streaming.lateness import with_lateness
+from tillstream.streaming.lateness import not_ahead, with_lateness
 from tillstream.streaming.targets import Deliver, to_files
 from tillstream.streaming.views import latest_view
 
@@ -125,8 +125,9 @@ def run_streams(
                 mode = "complete"
                 write = sinks.category_sink(views, deliver)
             case "tempo":
-                timely = with_lateness(orders(CATEGORY_FIELDS), lateness)
-                result, mode = hopping_counts(timely), "update"
+                timely = not_ahead(orders(CATEGORY_FIELDS), lateness)
+                result = hopping_counts(with_lateness(timely, lateness))
+                mode = "update"
                 write = sinks.tempo_sink(views)
             case _:
                 result = rejected(judge_orders(source))
