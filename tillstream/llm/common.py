@@ -105,6 +105,32 @@ def emit(
     return rows.select(*(F.col(f"`{c}`") for c in inputs)).mapInArrow(run, schema)
 
 
+class Memo:
+    """What a function gives for each key, remembered for the keys in use of late.
+
+    Two generations of at most ``limit`` keys and those of one call: when the younger is full it
+    becomes the older, from which keys come back when they are asked for again.
+    """
+
+    def __init__(self, learn: Callable[[list], dict], limit: int):
+        self.learn, self.limit = learn, limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def of(self, keys: set) -> dict:
+        """A mapping that has all the keys."""
+        young = self.young
+        missing = keys.difference(young)
+        if missing:
+            back = {k: self.old[k] for k in missing if k in self.old}
+            young.update(back)
+            if len(back) < len(missing):
+                young.update(self.learn([k for k in missing if k not in back]))
+            if len(young) > self.limit:
+                self.old, self.young = young, {k: young[k] for k in keys}
+        return young
+
+
 def span_text(spans: Column) -> Column:
     """``kind:start:end`` of an array of structs with these fields, comma-joined, as ordered."""
     return F.array_join(

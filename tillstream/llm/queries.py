@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import decontamination, simhash
+from tillstream.llm import decontamination, packing, quality_rules, simhash
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,18 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_rules.quality(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(
