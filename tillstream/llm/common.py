@@ -36,7 +36,7 @@ def durable(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def _found_by_workers(rows: DataFrame) -> None:
+def found_by_workers(rows: DataFrame) -> None:
     """Workers on this machine look for this package where the driver found it.
 
     A cluster gets the package by ``--py-files`` or as an installed one.
@@ -75,7 +75,7 @@ def append(
             kept = [part.column(i) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*kept, *function(*values)], names=names)
 
-    _found_by_workers(rows)
+    found_by_workers(rows)
     schema = StructType([*(rows.schema[k] for k in keep), *fields])
     selected = rows.select(
         *(F.col(f"`{k}`") for k in keep),
@@ -101,7 +101,7 @@ def emit(
         for arrays in function(values):
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    _found_by_workers(rows)
+    found_by_workers(rows)
     return rows.select(*(F.col(f"`{c}`") for c in inputs)).mapInArrow(run, schema)
 
 

@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import decontamination, packing, quality_rules, simhash
+from tillstream.llm import (
+    decontamination,
+    packing,
+    quality_rules,
+    secrets,
+    simhash,
+    token_counts,
+)
 from tillstream.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +28,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -33,6 +45,12 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(
