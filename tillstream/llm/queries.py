@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
     decontamination,
+    licenses,
     packing,
+    pii,
     quality_rules,
     secrets,
     simhash,
@@ -51,6 +53,16 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(
