@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream.llm import (
     decontamination,
     licenses,
     packing,
     pii,
+    quality_classifier,
     quality_rules,
     secrets,
     simhash,
     token_counts,
+    toxicity,
 )
 from tillstream.llm.common import table
 
@@ -73,3 +76,19 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The source is the host, and a source's texts of one language are a path."""
+    return quality_classifier.quality_scores(
+        table(spark, folder, "documents"),
+        table(spark, folder, "labels"),
+        F.col("source"),
+        F.col("lang"),
+    )
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
