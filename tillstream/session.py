@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,18 +45,25 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, else the folder set for checkpoints, else one in the warehouse,
+    which every session has and the machines of a cluster share."""
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tillstream"
+    ).rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that every executor can reach, under ``spark.checkpoint.dir``.
+    """The name of a new folder that every executor can reach."""
+    return f"{_shared_root(spark)}/tillstream-{uuid.uuid4().hex}"
 
-    Only a local session may go without that setting; it then gets a temporary
-    folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tillstream-")
-    return f"{root.rstrip('/')}/tillstream-{uuid.uuid4().hex}"
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder made under ``shared_folder`` that is no longer needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(rows: DataFrame) -> DataFrame:
