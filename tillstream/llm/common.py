@@ -1,10 +1,8 @@
-"""What the operators share: the tables, reliable cuts of lineage, and work on Arrow batches."""
+"""What the operators share: the tables, and work on Arrow batches."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
@@ -12,6 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tillstream.session import durable
+
+__all__ = [
+    "Memo", "append", "durable", "emit", "found_by_workers", "span_text", "table",
+]
+
 #: Rows that a Python function gets at once.
 SLICE_ROWS = 256
 
@@ -20,22 +24,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def durable(rows: DataFrame) -> DataFrame:
-    """The same rows from a checkpoint in the shared folder.
-
-    The folder is that of ``spark.checkpoint.dir`` or of ``setCheckpointDir``; a session with
-    neither gets one under its warehouse, which a cluster shares too.
-    """
-    session = rows.sparkSession
-    context = session.sparkContext
-    if context.getCheckpointDir() is None:
-        root = session.conf.get("spark.checkpoint.dir", None) or (
-            session.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        )
-        context.setCheckpointDir(f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}")
-    return rows.checkpoint()
-
-
 def found_by_workers(rows: DataFrame) -> None:
     """Workers on this machine look for this package where the driver found it.
 
@@ -142,7 +130,3 @@ def span_text(spans: Column) -> Column:
         ),
         ",",
     )
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

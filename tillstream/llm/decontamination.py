@@ -209,6 +209,15 @@ def contamination(
     return append(rows, list(keep), ["text", *carried], whole, fields)
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with the same columns."""
+    prefix = "__benchmark_"
+    rows = contamination(docs, benchmark, tuple(docs.columns), prefix=prefix)
+    return rows.where(~F.col(prefix + "contaminated")).select(
+        *(F.col(f"`{c}`") for c in docs.columns)
+    )
+
+
 def _places(text: str) -> list[tuple[int, int]]:
     return [tuple(map(int, p.split(":"))) for p in text.split(",") if p]
 

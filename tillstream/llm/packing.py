@@ -11,7 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer, pre_tokenizers
@@ -312,8 +312,6 @@ def _ranked(rows: DataFrame) -> DataFrame:
     ranks are the place in the group and the sizes of the groups before, so one length may hold
     any share of the rows.
     """
-    from pyspark.sql import Window
-
     keys = ["doc_id", "piece", "start", "ids_crc32"]
     most = rows.groupBy("length").count().agg(F.max("count")).first()[0] or 0
     groups = max(1, -(-most // NUMBERED))

@@ -296,4 +296,6 @@ def kept_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     prefix = "__quality_"
     measures = durable(measured(docs, vocabulary, (), prefix))
     rows = measured(docs, vocabulary, tuple(docs.columns), prefix)
-    return judged(rows, measures, prefix).where(F.col(prefix + "kept")).select(*docs.columns)
+    return judged(rows, measures, prefix).where(F.col(prefix + "kept")).select(
+        *(F.col(f"`{c}`") for c in docs.columns)
+    )

@@ -7,7 +7,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -157,6 +157,15 @@ def near_links(prints: DataFrame, most: int = MOST_BITS) -> DataFrame:
     return emit(pairs, ["fps"], forests, schema)
 
 
+def _classes(prints: DataFrame, most: int, id_column: str) -> DataFrame:
+    """``fp``, ``least_id`` of its rows, and ``root``, the same for all fingerprints in reach."""
+    distinct = durable(prints.groupBy("fp").agg(F.min(id_column).alias("least_id")))
+    roots = components(near_links(distinct.select("fp"), most))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, most: int = MOST_BITS, id_column: str = "doc_id"
 ) -> DataFrame:
@@ -168,15 +177,40 @@ def near_duplicates(
     group of copies of any size costs one entry in the index.
     """
     prints = durable(with_fingerprints(docs, shingle, id_column))
-    distinct = durable(prints.groupBy("fp").agg(F.min(id_column).alias("least_id")))
-    roots = components(near_links(distinct.select("fp"), most))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(
+    classes = _classes(prints, most, id_column)
+    least = classes.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = classes.join(least, "root").select("fp", "component_id")
+    return prints.join(named, "fp").select(
         F.col(id_column),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def kept_documents(docs: DataFrame, shingle: int = 3, most: int = MOST_BITS) -> DataFrame:
+    """One row of each component, the one with the least ``doc_id``, with the columns of ``docs``.
+
+    Of repeated rows one stays; of a component without ids any one. The fingerprints are computed
+    once to find the components and again to pick the rows, which are shuffled once, by
+    fingerprint and id, so that copies of one text are spread.
+    """
+    classes = _classes(durable(with_fingerprints(docs, shingle)), most, "doc_id")
+    first = F.min(F.struct(F.col("least_id").isNull(), "least_id", "fp")).alias("first")
+    chosen = classes.groupBy("root").agg(first).select(
+        F.col("first.fp").alias("__fp"),
+        F.coalesce(F.col("first.least_id").cast("string"), F.lit("")).alias("__id"),
+    )
+
+    def prints(texts: list) -> list[pa.Array]:
+        return [pa.array([fingerprint(t, shingle) for t in texts], pa.int64())]
+
+    rows = append(docs, docs.columns, ["text"], prints, [StructField("__fp", LongType())])
+    own = F.coalesce(F.col("`doc_id`").cast("string"), F.lit(""))
+    one = Window.partitionBy("__fp", "__id").orderBy(F.xxhash64("`text`"))
+    return (
+        rows.withColumn("__id", own)
+        .join(chosen, ["__fp", "__id"])
+        .withColumn("__n", F.row_number().over(one))
+        .where("__n = 1")
+        .select(*(F.col(f"`{c}`") for c in docs.columns))
+    )
