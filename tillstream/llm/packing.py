@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -19,8 +21,10 @@ from tokenizers import Tokenizer, pre_tokenizers
 from tillstream.llm.common import Memo, append, durable
 
 CAPACITY = 2048
-#: Fillings that are looked at around one largest piece, and in one search altogether.
-FILLINGS, NODES = 400, 20_000
+#: Fillings that are sought around one largest piece, steps of that search, and nodes altogether.
+FILLINGS, STEPS, NODES = 12, 240, 3_000
+#: Nodes from one best fit of the rest to the next.
+REFIT = 100
 #: Rows of one length that are numbered together.
 NUMBERED = 50_000
 #: Words whose ids a worker remembers.
@@ -169,121 +173,143 @@ class Filling:
     bins: int
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
-    """Best fit over the counts of lengths: each largest piece, then always the longest that fits.
-
-    Alike bins are filled at once, so there are at most as many fillings as lengths.
-    """
-    left = {n: c for n, c in counts.items() if c}
+class Left:
+    """How many pieces of each length are left; the lengths in order."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.counts = {n: c for n, c in counts.items() if c}
+        self.order = sorted(self.counts)
+
+    def copy(self) -> Left:
+        new = Left({})
+        new.counts, new.order = dict(self.counts), list(self.order)
+        return new
+
+    def total(self) -> int:
+        return sum(n * c for n, c in self.counts.items())
+
+    def fitting(self, room: int, used: Counter) -> int | None:
+        """The longest length up to ``room`` of which a piece is left beside those used."""
+        i = bisect_right(self.order, room) - 1
+        while i >= 0:
+            n = self.order[i]
+            if self.counts[n] > used[n]:
+                return n
+            i -= 1
+        return None
+
+    def fill(self, lengths: tuple[int, ...]) -> Filling:
+        """Fills as many bins this way as the counts allow, and takes the pieces out."""
+        need = Counter(lengths)
+        bins = min(self.counts[n] // k for n, k in need.items())
+        for n, k in need.items():
+            self.counts[n] -= k * bins
+            if not self.counts[n]:
+                del self.counts[n]
+                del self.order[bisect_left(self.order, n)]
+        return Filling(lengths, bins)
+
+
+def best_fit(left: Left, capacity: int) -> list[Filling]:
+    """Best fit of all that is left, which is used up: the longest piece, then always the longest
+    that fits. Alike bins are filled at once."""
     plan = []
-    while left:
-        order = sorted(left, reverse=True)
-        room, lengths = capacity, []
-        for n in order:
-            take = min(left[n], room // n)
-            lengths += [n] * take
-            room -= take * n
-        plan.append(_fill(left, lengths))
+    while left.order:
+        room, lengths, used = capacity, [], Counter()
+        while (n := left.fitting(room, used)) is not None:
+            lengths.append(n)
+            used[n] += 1
+            room -= n
+        plan.append(left.fill(tuple(lengths)))
     return plan
 
 
-def _fill(left: dict[int, int], lengths: list[int]) -> Filling:
-    """Fills as many bins this way as the counts allow, and takes the pieces out."""
-    need: dict[int, int] = {}
-    for n in lengths:
-        need[n] = need.get(n, 0) + 1
-    bins = min(left[n] // k for n, k in need.items())
-    for n, k in need.items():
-        left[n] -= k * bins
-        if not left[n]:
-            del left[n]
-    return Filling(tuple(lengths), bins)
-
+def fillings(left: Left, capacity: int, most_waste: int) -> list[tuple[int, ...]]:
+    """Undominated fillings around the longest piece that waste at most ``most_waste``, least first.
 
-def fillings(
-    left: dict[int, int], largest: int, capacity: int, most_waste: int, limit: int
-) -> list[tuple[int, ...]]:
-    """Undominated fillings around the largest piece that waste at most ``most_waste``, least first.
-
-    A filling is dominated if a piece that is left and longer than one of its pieces would fit in
-    that one's place, or if another piece would fit on top: the other filling leaves no harder a
-    rest. Lengths are tried from the longest on, so the first fillings found are the best fits.
+    A filling is dominated if another piece that is left fits on top, or one longer than one of its
+    pieces fits in that one's place: the other filling leaves no harder a rest. The longest pieces
+    are tried first, so the first filling is the best fit.
     """
-    order = sorted((n for n in left if n <= capacity - largest), reverse=True)
+    largest = left.order[-1]
     found: list[tuple[int, tuple[int, ...]]] = []
     steps = 0
 
-    def spare(n: int, chosen: list[int]) -> int:
-        return left.get(n, 0) - chosen.count(n) - (n == largest)
+    def dominated(chosen: list[int], used: Counter, room: int) -> bool:
+        for c in set(chosen):
+            i = bisect_right(left.order, c)
+            while i < len(left.order) and left.order[i] <= c + room:
+                if left.counts[left.order[i]] > used[left.order[i]]:
+                    return True
+                i += 1
+        return False
 
-    def search(i: int, room: int, chosen: list[int]) -> None:
+    def search(most: int, room: int, chosen: list[int], used: Counter) -> None:
         nonlocal steps
-        steps += 1
-        if len(found) >= limit or steps > 40 * limit:
+        n = left.fitting(min(most, room), used)
+        if n is None:
+            if room <= most_waste and left.fitting(room, used) is None:
+                if not dominated(chosen, used, room):
+                    found.append((room, (largest, *chosen)))
             return
-        fits = False
-        for j in range(i, len(order)):
-            n = order[j]
-            if n <= room and spare(n, chosen) > 0:
-                fits = True
-                search(j, room - n, [*chosen, n])
-                if found and found[-1][0] == 0 and len(found) >= limit // 8:
-                    return
-        if not fits and room <= most_waste:
-            # No shorter piece fits on top, or it would have been tried in an earlier branch.
-            if any(n <= room and spare(n, chosen) > 0 for n in order):
-                return
-            longer = (
-                any(c < n <= c + room and spare(n, chosen) > 0 for n in order) for c in chosen
-            )
-            if room == 0 or not any(longer):
-                found.append((room, (largest, *chosen)))
+        while n is not None and steps < STEPS and len(found) < FILLINGS:
+            steps += 1
+            used[n] += 1
+            search(n, room - n, [*chosen, n], used)
+            used[n] -= 1
+            n = left.fitting(min(n - 1, room), used)
 
-    search(0, capacity - largest, [])
-    unique = sorted(set(found), key=lambda f: (f[0], [-n for n in f[1]]))
-    return [f for _, f in unique]
+    search(capacity, capacity - largest, [], Counter([largest]))
+    return [lengths for _, lengths in sorted(found, key=lambda f: f[0])]
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Filling]:
     """A plan for all pieces with as few bins as the search finds.
 
-    Branch and bound: at each node the largest piece left is completed in every undominated way,
-    least waste first, for as many alike bins as the counts allow. Best fit gives the first
-    incumbent, and again the rest below every node. A node is pruned if its bins and the bound on
-    its rest, total length over capacity rounded up, reach the incumbent. The search ends at the
-    lower bound or after ``nodes`` nodes, and then returns the incumbent.
+    Branch and bound: at each node the longest piece left is completed in every undominated way
+    found, least waste first, for as many alike bins as the counts allow. Best fit gives the first
+    incumbent, and again and again the rest below a node. A node is pruned if its bins and the bound
+    on its rest, total length over capacity rounded up, reach the incumbent. The search ends at the
+    lower bound or after ``nodes`` nodes, and returns the incumbent. What it costs goes by the
+    number of lengths, at most ``capacity``, not by that of pieces.
     """
-    total = sum(n * c for n, c in counts.items())
-    bound = -(-total // capacity)
-    best = best_fit(counts, capacity)
+    bound = -(-sum(n * c for n, c in counts.items()) // capacity)
+    best = best_fit(Left(counts), capacity)
     best_bins = sum(f.bins for f in best)
-    #: An entry: the pieces left, the plan so far, its bins. The last one is searched first.
-    stack = [({n: c for n, c in counts.items() if c}, [], 0)]
+    #: An entry: what is left, the plan so far as a linked list, its bins. The last goes first.
+    stack: list[tuple[Left, tuple | None, int]] = [(Left(counts), None, 0)]
     seen = 0
     while stack and best_bins > bound and seen < nodes:
         left, plan, bins = stack.pop()
-        seen += 1
-        rest = sum(n * c for n, c in left.items())
+        rest = left.total()
         if bins + -(-rest // capacity) >= best_bins:
             continue
-        if not left:
-            best, best_bins = plan, bins
+        if not left.order:
+            best, best_bins = _unlinked(plan), bins
             continue
-        if seen % 16 == 1:
-            fitted = best_fit(left, capacity)
-            total_bins = bins + sum(f.bins for f in fitted)
-            if total_bins < best_bins:
-                best, best_bins = plan + fitted, total_bins
-        # Waste that all further bins together can bear, if the incumbent is to be beaten.
+        seen += 1
+        if seen % REFIT == 0:
+            fitted = best_fit(left.copy(), capacity)
+            total = bins + sum(f.bins for f in fitted)
+            if total < best_bins:
+                best, best_bins = _unlinked(plan) + fitted, total
+        # The waste that all further bins can bear together, if the incumbent is to be beaten.
         bearable = (best_bins - 1 - bins) * capacity - rest
-        options = fillings(left, max(left), capacity, max(0, bearable), FILLINGS if seen < 50 else 24)
-        for lengths in reversed(options[:4]):
-            after = dict(left)
-            filled = _fill(after, list(lengths))
-            stack.append((after, [*plan, filled], bins + filled.bins))
+        for lengths in reversed(fillings(left, capacity, bearable)[:4]):
+            after = left.copy()
+            filled = after.fill(lengths)
+            stack.append((after, (filled, plan), bins + filled.bins))
     return best
 
 
+def _unlinked(plan: tuple | None) -> list[Filling]:
+    fillings_so_far = []
+    while plan:
+        fillings_so_far.append(plan[0])
+        plan = plan[1]
+    return fillings_so_far[::-1]
+
+
 def slots(plan: list[Filling]) -> dict[int, np.ndarray]:
     """For each length, rows of first rank, first sequence and offset, by first rank.
 
