@@ -8,7 +8,9 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tillstream.plans.oracles import ORACLES
+from tillstream.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["lineitem", "orders", "part", "events"]
@@ -42,13 +44,13 @@ def rows_by_name(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
-    ours = queries()[name](spark, FOLDER)
-    cursor = duck.execute(oracle_sql()[name])
+    ours = QUERIES[name](spark, FOLDER)
+    cursor = duck.execute(ORACLES[name])
     names = [column[0] for column in cursor.description]
     expected = cursor.fetchall()
     assert sorted(ours.columns) == sorted(names)

@@ -5,36 +5,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are counted in ten-thousandths, two digits finer than a cent.
-UNITS_PER_ONE = 10_000
-_LOW_BITS = 20
+# Amounts below this are summed exactly, in whole ones and billionths.
+EXACT_BELOW = float(1 << 42)
+_BILLION = 1_000_000_000
+_WHOLE_BITS, _FRACTION_BITS = 21, 15
 
 
-def units(amount: Column) -> Column:
-    """``amount`` in whole ten-thousandths; NULL if NaN, infinite or beyond BIGINT."""
-    return F.rint(amount * UNITS_PER_ONE).try_cast("bigint")
+def is_finite(amount: Column) -> Column:
+    """True of a number that is neither missing nor NaN nor infinite."""
+    return F.coalesce(F.abs(amount) < float("inf"), F.lit(False))
 
 
 def exact_total(amount: Column) -> Column:
-    """Aggregate: the sum of ``amount`` as an exact ``DECIMAL(35,4)``.
+    """Aggregate: the sum of ``amount`` as a struct ``exact DECIMAL(38,9), other DOUBLE``.
 
-    A sum of doubles depends on the order in which partitions arrive, so a retried
-    task can change it, and over many rows the error reaches whole cents. Sums of
-    long integers are exact, and as fast. Each amount is split into high and low
-    bits that are summed apart: neither sum can overflow before 2**43 rows of the
-    largest amount allowed, where one sum of units could after a few thousand.
+    A sum of doubles depends on the order in which partitions arrive, so a retried task can
+    change it, and over many rows the error reaches whole cents. Sums of long integers are
+    exact, and as fast. The whole part and the billionths of each amount are each split into
+    high and low bits that are summed apart, so that no sum overflows before 2**42 rows.
+
+    Amounts of 2**42 and more, NaN and infinite ones are summed as doubles into ``other``, so
+    that they come through as they would in any sum; ``other`` is NULL if there are none, and
+    both are NULL if there are no amounts.
     """
-    whole = units(amount)
-    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    return ((high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)")) + low) * F.lit(
-        "0.0001"
-    ).cast("decimal(4,4)")
+    small = F.abs(amount) < EXACT_BELOW
+    value = F.when(small, amount)
+    whole = F.floor(value)
+    fraction = F.rint((value - whole) * _BILLION).cast("bigint")
+
+    def summed(part: Column, bits: int) -> Column:
+        high = F.sum(F.shiftright(part, bits)).cast("decimal(20,0)")
+        low = F.sum(part.bitwiseAND(F.lit((1 << bits) - 1))).cast("decimal(20,0)")
+        return high * F.lit(1 << bits).cast("decimal(8,0)") + low
+
+    billionths = F.lit("0.000000001").cast("decimal(9,9)")
+    wholes = summed(whole, _WHOLE_BITS).cast("decimal(28,0)")
+    fractions = summed(fraction, _FRACTION_BITS).cast("decimal(28,0)")
+    exact = (wholes + fractions * billionths).cast("decimal(38,9)")
+    return F.struct(exact.alias("exact"), F.sum(F.when(~small, amount)).alias("other"))
+
+
+def total_of(totals: Column) -> Column:
+    """Aggregate: the total of totals that :func:`exact_total` gave, in the same form."""
+    return F.struct(
+        F.sum(totals["exact"]).cast("decimal(38,9)").alias("exact"),
+        F.sum(totals["other"]).alias("other"),
+    )
+
+
+def as_double(total: Column) -> Column:
+    """A total of :func:`exact_total` as one number. NULL if there were no amounts."""
+    exact, other = total["exact"].cast("double"), total["other"]
+    return F.coalesce(exact + other, exact, other)
 
 
 def money_sum(amount: Column) -> Column:
-    """Aggregate: the exact sum of ``amount``, as DOUBLE. NULL if there is none."""
-    return exact_total(amount).cast("double")
+    """Aggregate: the sum of ``amount``, as DOUBLE. NULL if there is none."""
+    return as_double(exact_total(amount))
 
 
 def zero_if_missing(value: Column) -> Column:

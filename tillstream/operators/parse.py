@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import units
+from tillstream.functions.money import is_finite
 from tillstream.schema import ORDER_FIELDS, order_schema
 
 
@@ -55,8 +55,7 @@ def judge_orders(messages: DataFrame, fields: Sequence[str] | None = None) -> Da
     """
     no_text = F.coalesce(F.trim(F.col("value").cast("string")), F.lit("")) == ""
     no_key = F.col("order_id").isNull() | F.col("product_id").isNull() | F.col("category").isNull()
-    # units() is NULL for a missing or infinite amount and for one too large to be summed.
-    no_amount = units(F.col("price")).isNull() | units(F.col("total_value")).isNull()
+    no_amount = ~is_finite(F.col("price")) | ~is_finite(F.col("total_value"))
     reason = (
         F.when(no_text, "null_value")
         .when(no_key, "missing_key")

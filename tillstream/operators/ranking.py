@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from tillstream.session import durable
 
-# Rows that may be numbered in one task.
-ONE_TASK_ROWS = 1000
-
 # Spark's layout of monotonically_increasing_id.
 _PLACE_BITS = 33
 
@@ -26,12 +23,9 @@ def _by_orders() -> list[Column]:
     return [F.desc("order_count"), F.desc("total_revenue"), *map(F.col, PRODUCT_KEY)]
 
 
-def _newest_first(columns: Sequence[str]) -> list[Column]:
+def _newest_first(columns: Sequence[str], time: Column) -> list[Column]:
     ties = ["order_id", "product_id", "quantity", "customer_id", "price", "product_name", "category"]
-    return [
-        F.desc_nulls_last("timestamp_parsed"),
-        *(F.col(c) for c in ties if c in columns),
-    ]
+    return [F.desc_nulls_last(time), *(F.col(c) for c in ties if c in columns)]
 
 
 def top_products(sales: DataFrame, k: int = 10) -> DataFrame:
@@ -61,57 +55,102 @@ def busiest_categories(categories: DataFrame, k: int = 6) -> DataFrame:
     return categories.orderBy(F.desc("order_count"), "category").limit(k)
 
 
-def latest_orders(orders: DataFrame, k: int = 50) -> DataFrame:
-    """The ``k`` newest orders by event time; those without a time come last."""
-    return orders.orderBy(*_newest_first(orders.columns)).limit(k)
+def latest_orders(
+    orders: DataFrame, k: int = 50, now: Column | None = None, by: str = "timestamp_parsed"
+) -> DataFrame:
+    """The ``k`` newest orders by event time; those without a time come last.
+
+    With ``now``, later times count as that. ``by`` names another column of times.
+    """
+    time = F.col(by) if now is None else F.least(F.col(by), now)
+    return orders.orderBy(*_newest_first(orders.columns, time)).limit(k)
 
 
-def merge_latest(previous: DataFrame, batch: DataFrame, k: int = 20) -> DataFrame:
+def merge_latest(
+    previous: DataFrame, batch: DataFrame, k: int = 20, by: str = "timestamp_parsed"
+) -> DataFrame:
     """The ``k`` newest of the orders kept so far and those of a new batch."""
-    return latest_orders(previous.unionByName(batch), k)
+    return latest_orders(previous.unionByName(batch), k, by=by)
 
 
-def with_position(
-    rows: DataFrame,
-    amount: str,
-    ties: Sequence[str],
-    name: str = "position",
-    at_most: int | None = None,
-) -> DataFrame:
-    """Number all rows from 1 by ``amount`` descending, then ``ties``.
+def _in_ranges(rows: DataFrame, order: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
+    """The rows sorted by range over all tasks, each with ``_task`` and ``_place``; and the tasks.
 
-    A caller that has counted the rows says so in ``at_most``; up to ``ONE_TASK_ROWS``
-    they are numbered by a window in one task. Otherwise they are sorted by range over
-    all tasks, which the ties keep even where many amounts are equal, and written to a
-    checkpoint, so that the division into ranges stands. A row's position is its place
-    in its range plus the rows of the ranges before; there is one size for each task.
+    They are written to a checkpoint, so that the division into ranges stands. The ties keep even
+    rows of equal amounts apart. Of the tasks, one row each, ``_before`` is the number of rows in
+    the ranges before.
     """
-    order = [F.desc(amount), *ties]
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        place = F.row_number().over(Window.orderBy(*order))
-        return rows.select(place.cast("bigint").alias(name), *rows.columns)
     ordered = durable(
         rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
     )
     # The id is the number of the task in the upper bits, and the place in it below.
-    task = F.shiftright("_id", _PLACE_BITS)
-    place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    placed = ordered.select(
+        *rows.columns,
+        F.shiftright("_id", _PLACE_BITS).alias("_task"),
+        F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
+    )
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ordered.groupBy(task.alias("_task"))
+    tasks = (
+        placed.groupBy("_task")
         .agg(F.count(F.lit(1)).alias("_size"))
         .select("_task", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
     )
-    return ordered.join(F.broadcast(before), task == F.col("_task")).select(
-        (F.col("_before") + place + 1).alias(name), *rows.columns
+    return placed, tasks
+
+
+def with_position(
+    rows: DataFrame, amount: str, ties: Sequence[str], name: str = "position"
+) -> DataFrame:
+    """Number all rows from 1 by ``amount`` descending, then ``ties``.
+
+    A row's position is its place in its range plus the rows of the ranges before. What is
+    broadcast is one row for each task.
+    """
+    placed, tasks = _in_ranges(rows, [F.desc(amount), *ties])
+    return placed.join(F.broadcast(tasks), "_task").select(
+        (F.col("_before") + F.col("_place") + 1).alias(name), *rows.columns
+    )
+
+
+def with_rank(rows: DataFrame, amount: str, ties: Sequence[str], name: str) -> DataFrame:
+    """Rank all rows by ``amount`` descending. Equal amounts share a rank and leave a gap.
+
+    Within a range the rank is that of a window. Only the first amount of a range can have begun
+    in an earlier one; where it did follows from the first and last amounts of the ranges, two
+    rows for each task.
+    """
+    placed, tasks = _in_ranges(rows, [F.desc(amount), *ties])
+    in_task = Window.partitionBy("_task").orderBy(F.desc(amount))
+    ranked = placed.withColumn("_rank", F.rank().over(in_task))
+    first = F.min_by(amount, "_place").alias("_first")
+    last = F.max_by(amount, "_place").alias("_last")
+    ends = (
+        ranked.groupBy("_task")
+        .agg(first, last, F.max("_rank").alias("_last_rank"))
+        .join(F.broadcast(tasks), "_task")
+    )
+    begins = (
+        ends.select(F.col("_first").alias("_amount"), (F.col("_before") + 1).alias("_begin"))
+        .unionByName(
+            ends.select(
+                F.col("_last").alias("_amount"),
+                (F.col("_before") + F.col("_last_rank")).alias("_begin"),
+            )
+        )
+        .groupBy("_amount")
+        .agg(F.min("_begin").alias("_begin"))
+    )
+    carried = ends.join(
+        F.broadcast(begins), F.col("_first").eqNullSafe(F.col("_amount"))
+    ).select("_task", "_before", "_begin")
+    rank = F.when(F.col("_rank") == 1, F.col("_begin")).otherwise(
+        F.col("_before") + F.col("_rank")
+    )
+    return ranked.join(F.broadcast(carried), "_task").select(
+        rank.cast("bigint").alias(name), *rows.columns
     )
 
 
 def category_rank(categories: DataFrame, name: str = "revenue_rank") -> DataFrame:
     """Categories ranked by revenue. Equal revenues share a rank and leave a gap."""
-    placed = with_position(categories, "total_revenue", ["category"], "_position")
-    first = placed.groupBy(F.col("total_revenue").alias("_revenue")).agg(
-        F.min("_position").alias(name)
-    )
-    same = F.col("total_revenue").eqNullSafe(F.col("_revenue"))
-    return placed.join(first, same).select(name, *categories.columns)
+    return with_rank(categories, "total_revenue", ["category"], name)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import exact_total, money_sum
+from tillstream.functions.money import as_double, exact_total, money_sum, total_of
 
 
 def product_sales(orders: DataFrame, *further: Column) -> DataFrame:
@@ -64,7 +64,7 @@ def category_sales_of_products(products: DataFrame, exact: bool = False) -> Data
     return products.groupBy("category").agg(
         F.sum("order_count").alias("order_count"),
         F.sum("total_quantity").alias("total_quantity"),
-        F.sum("exact_revenue").cast("double").alias("total_revenue"),
+        as_double(total_of(F.col("exact_revenue"))).alias("total_revenue"),
         distinct("product_id").alias("unique_products"),
         F.max("last_order_time").alias("last_order_time"),
     )
@@ -74,7 +74,7 @@ def totals_of_sales(sales: DataFrame) -> DataFrame:
     """:func:`order_totals` from product or category sales with the rollup columns."""
     return sales.agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("total_orders"),
-        F.sum("exact_revenue").cast("double").alias("total_revenue"),
+        as_double(total_of(F.col("exact_revenue"))).alias("total_revenue"),
     )
 
 
@@ -95,3 +95,13 @@ def avg_order_value(orders: DataFrame, *by: str) -> DataFrame:
         revenue.alias("total_revenue"),
         F.try_divide(revenue, transactions).alias("avg_order_value"),
     )
+
+
+def avg_order_value_of_sales(categories: DataFrame) -> DataFrame:
+    """:func:`avg_order_value` by category, from category sales."""
+    return categories.select(
+        "category",
+        F.col("order_count").alias("transactions"),
+        "total_revenue",
+        F.try_divide("total_revenue", "order_count").alias("avg_order_value"),
+    )

@@ -37,24 +37,30 @@ def _positions(rows: DataFrame, *order: Column | str) -> DataFrame:
     )
 
 
-def product_rows(top: DataFrame) -> DataFrame:
-    """A product leaderboard as published, best first in ``position``.
+def published_products(sales: DataFrame) -> DataFrame:
+    """Product sales with the columns that are published, in no order.
 
     The published name of the last order's time is ``window_start``.
     """
-    ranked = _positions(top, F.desc("order_count"), F.desc("total_revenue"), *PRODUCT_KEY)
-    return ranked.withColumn("window_start", iso_text(F.col("last_order_time"))).select(
-        "position", *PRODUCT_ROW
-    )
+    return sales.withColumn("window_start", iso_text(F.col("last_order_time"))).select(*PRODUCT_ROW)
 
 
-def category_rows(categories: DataFrame, at_most: int | None = None) -> DataFrame:
-    """All categories as published, most revenue first in ``position``.
+def ranked_products(published: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` best of published products, best first in ``position``."""
+    return _positions(
+        top_products(published, k), F.desc("order_count"), F.desc("total_revenue"), *PRODUCT_KEY
+    ).select("position", *PRODUCT_ROW)
 
-    ``at_most`` is their number, if it has been counted.
-    """
+
+def product_rows(top: DataFrame, k: int = 10) -> DataFrame:
+    """A product leaderboard as published, best first in ``position``; at most ``k`` rows."""
+    return ranked_products(published_products(top), k)
+
+
+def category_rows(categories: DataFrame) -> DataFrame:
+    """All categories as published, most revenue first in ``position``."""
     return (
-        with_position(categories, "total_revenue", ["category"], at_most=at_most)
+        with_position(categories, "total_revenue", ["category"])
         .withColumn("last_order_time", iso_text(F.col("last_order_time")))
         .select("position", *CATEGORY_ROW)
     )
@@ -101,17 +107,40 @@ def payload(
     timestamp: Column | None = None,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """The document published for a batch: ``batch_id, timestamp, part, <field>``."""
+    """The document published for a batch: ``batch_id, timestamp, part, parts, <field>``.
+
+    ``parts`` is the number of documents that make up the list, so the reader of one knows
+    whether it has all.
+    """
     if timestamp is None:
         timestamp = iso_text(F.current_timestamp())
+    total = rows.agg(F.max("position")).scalar()
     return in_parts(rows, field, part_rows).select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         timestamp.alias("timestamp"),
         "part",
+        F.ceil(total / part_rows).alias("parts"),
         field,
     )
 
 
+def update_document(
+    latest: DataFrame, kpis: DataFrame, timestamp: Column | None = None
+) -> DataFrame:
+    """One row for each update of the order list: the newest orders and the KPI row."""
+    if timestamp is None:
+        timestamp = iso_text(F.current_timestamp())
+    sections = [
+        in_parts(latest, "recent_orders").drop("part"),
+        kpis.select(F.struct(*kpis.columns).alias("metrics")),
+    ]
+    both = sections[0].unionByName(sections[1], allowMissingColumns=True)
+    return both.agg(
+        F.first("recent_orders", ignorenulls=True).alias("recent_orders"),
+        F.first("metrics", ignorenulls=True).alias("metrics"),
+    ).select(timestamp.alias("timestamp"), "recent_orders", "metrics.*")
+
+
 def kpi_status(orders: DataFrame, as_of: Column | None = None) -> DataFrame:
     """One row: all orders, their worth, and the orders of the trailing minute.
 
@@ -189,8 +218,10 @@ def snapshot(
     orders: DataFrame,
     metrics: DataFrame,
     part_rows: int = PART_ROWS,
+    timestamp: Column | None = None,
 ) -> DataFrame:
-    """The dashboard document: ``part, top_products, categories, recent_orders, metrics``.
+    """The dashboard document: ``part, timestamp`` and the four sections ``top_products``,
+    ``categories``, ``recent_orders`` and ``metrics``.
 
     Takes published rows and the KPI row. The sections meet by union and grouping on
     the part; all but an over-long list of categories are in part 0.
@@ -206,6 +237,9 @@ def snapshot(
     for section in sections[1:]:
         combined = combined.unionByName(section, allowMissingColumns=True)
     names: Sequence[str] = ["top_products", "categories", "recent_orders", "metrics"]
-    return combined.groupBy("part").agg(
+    if timestamp is None:
+        timestamp = iso_text(F.current_timestamp())
+    document = combined.groupBy("part").agg(
         *(F.first(name, ignorenulls=True).alias(name) for name in names)
     )
+    return document.select("part", timestamp.alias("timestamp"), *names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import exact_total, money_sum
+from tillstream.functions.money import as_double, exact_total, money_sum
 from tillstream.functions.times import within_trailing
 
 TIME = "timestamp_parsed"
@@ -27,6 +27,13 @@ def orders_last_minute(orders: DataFrame, as_of: Column | None = None) -> DataFr
     )
 
 
+def orders_last_minute_of_counts(counts: DataFrame, as_of: Column) -> DataFrame:
+    """:func:`orders_last_minute` from the numbers of orders at each exact ``moment``."""
+    return counts.where(within_trailing(F.col("moment"), as_of)).agg(
+        F.coalesce(F.sum("order_count"), F.lit(0)).alias("orders_per_minute")
+    )
+
+
 def orders_per_minute(
     orders: DataFrame, span_seconds: int = 60, hop_seconds: int = 10
 ) -> DataFrame:
@@ -92,13 +99,28 @@ def trend(orders: DataFrame, every: str = "1 hour", *by: str) -> DataFrame:
 
 
 def hour_of_day(orders: DataFrame, *by: str) -> DataFrame:
-    """Orders and revenue by hour of the day, all days taken together."""
-    return orders.groupBy(F.hour(TIME).alias("hour"), *by).agg(
+    """Orders and revenue by hour of the day, all days taken together.
+
+    Orders without a time are in no hour, as they are in no period and no day of the other trends;
+    :func:`untimed` counts them.
+    """
+    return orders.where(F.col(TIME).isNotNull()).groupBy(F.hour(TIME).alias("hour"), *by).agg(
         F.count("order_id").alias("order_count"),
         money_sum(F.col("total_value")).alias("total_revenue"),
     )
 
 
+def untimed(orders: DataFrame) -> DataFrame:
+    """One row: the orders that no trend holds, as their time cannot be read, and their worth.
+
+    Trends and this row together make up the totals.
+    """
+    return orders.where(F.col(TIME).isNull()).agg(
+        F.count(F.lit(1)).alias("order_count"),
+        money_sum(F.col("total_value")).alias("total_revenue"),
+    )
+
+
 def running_revenue(orders: DataFrame) -> DataFrame:
     """Revenue of each day, and of all days up to it.
 
@@ -111,10 +133,14 @@ def running_revenue(orders: DataFrame) -> DataFrame:
         .agg(exact_total(F.col("total_value")).alias("revenue"))
     )
     so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    running = F.struct(
+        F.sum("revenue.exact").over(so_far).alias("exact"),
+        F.sum("revenue.other").over(so_far).alias("other"),
+    )
     return daily.select(
         "day",
-        F.col("revenue").cast("double").alias("revenue"),
-        F.sum("revenue").over(so_far).cast("double").alias("running_revenue"),
+        as_double(F.col("revenue")).alias("revenue"),
+        as_double(running).alias("running_revenue"),
     )
 
 

@@ -95,6 +95,18 @@ HOPS = """(select time_bucket(interval 10 second, ts) - i * interval 10 second w
 HOPPING = f"""select window_start, window_start + interval 60 second window_end, count(*) order_count
   from {HOPS} group by 1"""
 
+# Prices turned tiny, huge or NaN by product. Sums of each kind are exact or rounded alike.
+EDGES = f"""select product_id, category, count(*) order_count,
+  case when product_number < 10 then round(count(*) * 4.0) / 1e5
+    when product_number < 20 then count(*) * 1e15
+    when product_number < 30 and bool_or(order_id like '%1') then 'NaN'::double
+    else {money("total_value")} end total_revenue,
+  case when product_number < 10 then round(count(*) * 4.0) / 1e5
+    when product_number < 20 then count(*) * 1e15
+    when product_number < 30 and bool_or(order_id like '%1') then 'NaN'::double
+    else {money("price")} end / count(*) avg_price
+  from {EVENTS} group by product_id, category, product_number"""
+
 # What becomes of the messages of a product in the spoiled feed.
 REASON = """case when product_number < 10 then 'null_value'
   when product_number < 25 then 'missing_key'
@@ -123,20 +135,18 @@ SNAPSHOT_SECTIONS = """select 'top_products' section, "position", product_id id,
   union all select 'recent_orders', "position", order_id, total_value from ({orders})
   union all select 'metrics', {tempo}, cast(total_orders as varchar), total_revenue from ({kpis})"""
 
-# The minute that ends at the next whole 10 seconds after the newest event.
-TEMPO = """select time_bucket(interval 10 second, max(ts)) - interval 50 second window_start,
-  time_bucket(interval 10 second, max(ts)) + interval 10 second window_end,
-  (select count(*) from events where ts >= time_bucket(interval 10 second,
-    (select max(ts) from events)) - interval 50 second) orders_per_minute from events"""
+def enveloped(rows: str, batch_id: int) -> str:
+    """Published rows with what the payload's envelope says."""
+    return f"select {batch_id} batch_id, '2024-02-01T00:00:00' published_at, 1 parts, * from ({rows})"
 
 
-def snapshot(tempo: str) -> str:
+def snapshot() -> str:
     return SNAPSHOT_SECTIONS.format(
         products=published_products(EVENTS),
         categories=published_categories(EVENTS),
         orders=published_orders(EVENTS, 20),
         kpis=KPI_STATUS,
-        tempo=tempo,
+        tempo="orders_per_minute",
     )
 
 
@@ -157,6 +167,7 @@ ORACLES: dict[str, str] = {
     "rejected_orders": REJECTED,
     "rejected_counts": f"select reject_reason, count(*) messages from ({REJECTED}) group by 1",
     "accepted_sales": product_sales(ACCEPTED),
+    "money_edges": EDGES,
     "product_sales": product_sales(LINEITEM),
     "product_sales_table": product_sales(EVENTS),
     "top_products": f"select * from {TOP_10.format(product_sales(LINEITEM))}",
@@ -169,8 +180,9 @@ ORACLES: dict[str, str] = {
   category, order_count, total_quantity, total_revenue from ({category_sales(LINEITEM)})""",
     "category_rank": f"""select rank() over (order by total_revenue desc) revenue_rank, category,
   total_revenue from ({category_sales(LINEITEM)})""",
-    "product_rank": f"""select row_number() over (order by total_revenue desc, product_id) "position",
-  product_id, total_revenue from ({product_sales(LINEITEM)})""",
+    "product_rank": f"""select row_number() over (
+    order by total_revenue desc, product_id, product_name, category) "position",
+  product_id, product_name, category, total_revenue from ({product_sales(LINEITEM)})""",
     "top6_categories": f"""select category, order_count, total_quantity, total_revenue
   from ({category_sales(LINEITEM)}) order by order_count desc, category limit 6""",
     "category_details": f"""select category, order_count, total_quantity, total_revenue, unique_products
@@ -198,23 +210,26 @@ ORACLES: dict[str, str] = {
   sum(order_count) / count(*) mean_orders, max(order_count) max_orders from ({THROUGHPUT})""",
     "kpi_status": KPI_STATUS,
     "shown_metrics": KPI_STATUS,
-    "payload_products": published_products(LINEITEM),
-    "payload_categories": published_categories(EVENTS),
-    "payload_orders": published_orders(EVENTS, 50),
-    "dashboard_snapshot": snapshot("orders_per_minute"),
+    "payload_products": enveloped(published_products(LINEITEM), 7),
+    "payload_categories": enveloped(published_categories(EVENTS), 8),
+    "payload_orders": enveloped(published_orders(EVENTS, 50), 9),
+    "dashboard_snapshot": snapshot(),
     "stream_top_products": published_products(EVENTS),
     "stream_categories": within_bound(published_categories(EVENTS)),
     "stream_recent_20": f"select {PARSED} from {EVENTS} {NEWEST} limit 20",
     "stream_totals": f"select count(*) total_orders, {money('total_value')} total_revenue from {EVENTS}",
-    "stream_tempo": TEMPO,
+    "stream_tempo": f"select ({LAST_MINUTE}) orders_per_minute",
     "stream_rejected": REJECTED,
     "stream_deduplicated": f"select {PARSED} from {EVENTS}",
     "landed_product_sales": product_sales(ACCEPTED),
     "landed_reject_counts": f"select reject_reason, count(*) messages from ({REJECTED}) group by 1",
-    # Windows are closed once the newest event is 10 minutes past their end.
-    "stream_orders_per_minute": f"""select * from ({HOPPING})
-  where window_end <= (select max(ts) from events) - interval 10 minute""",
-    "stream_trend_hourly": f"""select * from ({TREND_HOURLY})
-  where period_start + interval 1 hour <= (select max(ts) from events) - interval 10 minute""",
-    "stream_snapshot": snapshot(f"(select orders_per_minute from ({TEMPO}))"),
+    "stream_orders_per_minute": HOPPING,
+    "stream_trend_hourly": TREND_HOURLY,
+    "stream_throughput": THROUGHPUT,
+    "stream_snapshot": snapshot(),
+    "stream_restarted_totals": f"select count(*) total_orders, {money('total_value')} total_revenue from {EVENTS}",
+    "stream_category_rank": f"""select rank() over (order by total_revenue desc) revenue_rank, category,
+  total_revenue from ({category_sales(EVENTS)})""",
+    "stream_avg_order_value": f"select category, {AVG_VALUE} from {EVENTS} group by 1",
+    "message_roundtrip": f"select {PARSED} from {EVENTS}",
 }

@@ -11,14 +11,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tillstream.functions.times import iso_text, order_time_text
 from tillstream.operators import parse, ranking, sales, serving, trends
-from tillstream.session import shared_folder
-from tillstream.sources.messages import encode_orders
+from tillstream.session import durable, remove_folder, shared_folder
+from tillstream.sources.messages import encode_orders, read_messages, write_messages
 from tillstream.sources.tables import (
     event_orders,
     lineitem_orders,
@@ -32,11 +32,16 @@ from tillstream.streaming import (
     landed_orders,
     landed_rejects,
     latest_view,
+    live_order_values,
+    live_ranks,
     live_snapshot,
+    live_tempo,
+    newest_moment,
     run_streams,
-    state_partitions_set,
+    sinks,
     with_lateness,
 )
+from tillstream.streaming.views import Results
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +167,23 @@ def accepted_sales(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(sales.product_sales(parse.accepted(judged)))
 
 
+@query
+def money_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Product sales of the event feed with tiny, huge and NaN prices, over the wire."""
+    number = F.regexp_extract("product_id", r"(\d+)$", 1).cast("int")
+    price = (
+        F.when(number < 10, F.lit(0.00004))
+        .when(number < 20, F.lit(1e15))
+        .when((number < 30) & (F.col("quantity") > 0) & F.col("order_id").endswith("1"), F.lit("NaN").cast("double"))
+        .otherwise(F.col("price"))
+    )
+    orders = event_orders(spark, folder).withColumn("price", price)
+    orders = _by_wire(orders, parse.SALES_FIELDS)
+    return sales.product_sales(orders).select(
+        "product_id", "category", "order_count", "total_revenue", "avg_price"
+    )
+
+
 # Sales and rankings ----------------------------------------------------------------
 
 
@@ -234,8 +256,8 @@ def category_rank(spark: SparkSession, folder: str) -> DataFrame:
 def product_rank(spark: SparkSession, folder: str) -> DataFrame:
     """Every product's place by revenue: the category ranking over many more rows."""
     return ranking.with_position(
-        _product_sales(spark, folder), "total_revenue", ["product_id"]
-    ).select("position", "product_id", "total_revenue")
+        _product_sales(spark, folder), "total_revenue", ranking.PRODUCT_KEY
+    ).select("position", *ranking.PRODUCT_KEY, "total_revenue")
 
 
 @query
@@ -344,53 +366,72 @@ def shown_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # Payloads and the snapshot, unfolded to rows ---------------------------------------
 
 
+_PUBLISHED = "2024-02-01T00:00:00"
+
+
 def _unfold(document: DataFrame, field: str) -> DataFrame:
-    return document.select("part", F.posexplode(field).alias("index", "row")).select(
-        (F.col("part") * serving.PART_ROWS + F.col("index") + 1).alias("position"), "row.*"
+    """The rows of a payload, with what its envelope says of them."""
+    envelope = ["batch_id", F.col("timestamp").alias("published_at"), "part", "parts"]
+    return document.select(*envelope, F.posexplode(field).alias("index", "row")).select(
+        "batch_id",
+        "published_at",
+        "parts",
+        (F.col("part") * serving.PART_ROWS + F.col("index") + 1).alias("position"),
+        "row.*",
     )
 
 
 @query
 def payload_products(spark: SparkSession, folder: str) -> DataFrame:
     rows = serving.product_rows(ranking.top_products(_product_sales(spark, folder)))
-    return _unfold(serving.payload(rows, "products", 0), "products")
+    return _unfold(serving.payload(rows, "products", 7, F.lit(_PUBLISHED)), "products")
 
 
 @query
 def payload_categories(spark: SparkSession, folder: str) -> DataFrame:
     rows = serving.category_rows(sales.category_sales(event_orders(spark, folder), exact=True))
-    return _unfold(serving.payload(rows, "categories", 0), "categories")
+    return _unfold(serving.payload(rows, "categories", 8, F.lit(_PUBLISHED)), "categories")
 
 
 @query
 def payload_orders(spark: SparkSession, folder: str) -> DataFrame:
     rows = serving.order_rows(ranking.latest_orders(event_orders(spark, folder)))
-    return _unfold(serving.payload(rows, "orders", 0), "orders")
+    return _unfold(serving.payload(rows, "orders", 9, F.lit(_PUBLISHED)), "orders")
 
 
 def _unfold_snapshot(document: DataFrame) -> DataFrame:
-    """A snapshot as rows ``section, position, id, amount``."""
-
-    def section(field: str, identity: str, amount: str) -> DataFrame:
-        return _unfold(document.where(F.col(field).isNotNull()), field).select(
-            F.lit(field).alias("section"),
-            "position",
-            F.col(identity).alias("id"),
-            F.col(amount).alias("amount"),
+    """A snapshot as rows ``section, position, id, amount``, taken apart in one go."""
+    kind = "array<struct<section:string,position:bigint,id:string,amount:double>>"
+
+    def section(field: str, identity: str, amount: str) -> Column:
+        first = F.col("part") * serving.PART_ROWS + 1
+        rows = F.transform(
+            field,
+            lambda row, i: F.struct(
+                F.lit(field).alias("section"),
+                (first + i).alias("position"),
+                row[identity].alias("id"),
+                row[amount].alias("amount"),
+            ),
         )
-
-    metrics = document.where(F.col("metrics").isNotNull()).select(
-        F.lit("metrics").alias("section"),
-        F.col("metrics.orders_per_minute").alias("position"),
-        F.col("metrics.total_orders").cast("string").alias("id"),
-        F.col("metrics.total_revenue").alias("amount"),
-    )
-    return (
-        section("top_products", "product_id", "total_revenue")
-        .unionByName(section("categories", "category", "total_revenue"))
-        .unionByName(section("recent_orders", "order_id", "total_value"))
-        .unionByName(metrics)
+        return F.coalesce(rows.cast(kind), F.array().cast(kind))
+
+    m = F.col("metrics")
+    metrics = F.array(
+        F.struct(
+            F.lit("metrics").alias("section"),
+            m["orders_per_minute"].alias("position"),
+            m["total_orders"].cast("string").alias("id"),
+            m["total_revenue"].alias("amount"),
+        )
+    ).cast(kind)
+    rows = F.concat(
+        section("top_products", "product_id", "total_revenue"),
+        section("categories", "category", "total_revenue"),
+        section("recent_orders", "order_id", "total_value"),
+        F.when(m.isNotNull(), metrics).otherwise(F.array().cast(kind)),
     )
+    return document.select(F.inline(rows))
 
 
 @query
@@ -398,141 +439,243 @@ def dashboard_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return _unfold_snapshot(serving.snapshot_of_orders(event_orders(spark, folder)))
 
 
+@query
+def message_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order of the event feed, written as files of messages and read from them."""
+    root = shared_folder(spark)
+    write_messages(encode_orders(event_orders(spark, folder)), "json", f"{root}/messages")
+    orders = parse.parse_orders(read_messages(spark, "json", f"{root}/messages"))
+    return _kept(spark, root, plain_times(orders))
+
+
 # Streams ---------------------------------------------------------------------------
 
 
-def _state_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partitions, but no more than it has cores to run them."""
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(wanted, spark.sparkContext.defaultParallelism)
+#: Files that the event feed arrives in, one for each micro-batch.
+FILES = 5
+
+
+def _arrive(spark: SparkSession, folder: str, feed: str, first: int, last: int) -> None:
+    """Lets the events of some of ``FILES`` spans of time arrive, a file for each.
+
+    Spans are of equal length. Each is written by itself, so that a file is newer than those
+    before it.
+    """
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    for number in range(first, last):
+        start, end = (low + (high - low) * n / FILES for n in (number, number + 1))
+        # The last span has its end too.
+        before = F.col("ts") <= F.lit(end) if number == FILES - 1 else F.col("ts") < F.lit(end)
+        span = events.where((F.col("ts") >= F.lit(start)) & before)
+        span.coalesce(1).write.mode("append").parquet(feed)
+
+
+def _kept(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """Rows read from the working folder ``root``, kept in a checkpoint; the folder goes."""
+    kept = durable(rows)
+    remove_folder(spark, root)
+    return kept
+
 
+def _streamed(
+    spark: SparkSession,
+    folder: str,
+    *streams: str,
+    result: Callable[[SparkSession, str], DataFrame],
+    spoiled: bool = False,
+    stops: tuple[int, ...] = (FILES,),
+) -> DataFrame:
+    """Run streams over all events, a file in each micro-batch, and take the result.
 
-def _streamed(spark: SparkSession, folder: str, *streams: str, spoiled: bool = False) -> str:
-    """Run streams over all events to their end; return where the results are."""
-    orders = stream_event_orders(spark, folder)
-    messages = spoiled_event_messages(orders) if spoiled else encode_orders(orders)
+    With several ``stops``, the streams end after so many files and are started again.
+    """
     root = shared_folder(spark)
-    out = f"{root}/out"
-    await_streams(
-        run_streams(
+    arrived = 0
+    for stop in stops:
+        _arrive(spark, folder, f"{root}/feed", arrived, stop)
+        arrived = stop
+        orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+        messages = spoiled_event_messages(orders) if spoiled else encode_orders(orders)
+        queries = run_streams(
             messages,
-            out,
+            f"{root}/out",
             f"{root}/checkpoints",
             streams=streams,
             available_now=True,
-            state_partitions=_state_partitions(spark),
             name_prefix=f"{os.path.basename(root)}-",
         )
-    )
-    return out
+        await_streams(queries)
+    return _kept(spark, root, result(spark, f"{root}/out"))
+
 
+def _view(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, out: latest_view(spark, out, name)
 
-def _landed(spark: SparkSession, folder: str) -> str:
-    """Land all messages of the spoiled feed; return where they are."""
-    messages = spoiled_event_messages(stream_event_orders(spark, folder))
+
+def _landed(
+    spark: SparkSession, folder: str, result: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """Land all messages of the spoiled feed and take the result."""
     root = shared_folder(spark)
-    out = f"{root}/out"
-    prefix = f"{os.path.basename(root)}-"
+    _arrive(spark, folder, f"{root}/feed", 0, FILES)
+    orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
     landing = land_orders(
-        messages, out, f"{root}/checkpoints", available_now=True, name_prefix=prefix
+        spoiled_event_messages(orders),
+        f"{root}/out",
+        f"{root}/checkpoints",
+        available_now=True,
+        name_prefix=f"{os.path.basename(root)}-",
     )
     await_streams([landing])
-    return out
-
-
-def _appended(spark: SparkSession, result: DataFrame) -> DataFrame:
-    """Run a windowed stream to its end and read the windows that were closed."""
-    root = shared_folder(spark)
-    out = f"{root}/out"
-    with state_partitions_set(spark, _state_partitions(spark)):
-        stream = (
-            result.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", f"{root}/checkpoints")
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-    stream.awaitTermination()
-    return spark.read.schema(result.schema).parquet(out)
-
-
-def _streamed_events(spark: SparkSession, folder: str) -> DataFrame:
-    messages = encode_orders(stream_event_orders(spark, folder))
-    return with_lateness(parse.parse_orders(messages, parse.CATEGORY_FIELDS))
+    return _kept(spark, root, result(spark, f"{root}/out"))
 
 
 @query
 def stream_top_products(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_view(spark, _streamed(spark, folder, "top_products"), "top_products")
+    return _streamed(spark, folder, "top_products", result=_view("top_products"))
 
 
 @query
 def stream_categories(spark: SparkSession, folder: str) -> DataFrame:
-    view = latest_view(spark, _streamed(spark, folder, "categories"), "categories")
+    view = _streamed(spark, folder, "categories", result=_view("categories"))
     return _estimate_checked(view, event_orders(spark, folder))
 
 
 @query
 def stream_recent_20(spark: SparkSession, folder: str) -> DataFrame:
-    return plain_times(
-        latest_view(spark, _streamed(spark, folder, "raw_orders"), "recent_orders")
-    )
+    view = _streamed(spark, folder, "raw_orders", result=_view("recent_orders"))
+    return plain_times(view.drop("_seen"))
 
 
 @query
 def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_view(spark, _streamed(spark, folder, "categories"), "totals")
+    return _streamed(spark, folder, "categories", result=_view("totals"))
+
+
+@query
+def stream_restarted_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals of a stream that was ended after two micro-batches and started again."""
+    return _streamed(spark, folder, "categories", result=_view("totals"), stops=(2, FILES))
+
+
+@query
+def stream_category_rank(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = _streamed(spark, folder, "categories", result=live_ranks)
+    return ranks.select("revenue_rank", "category", "total_revenue")
+
+
+@query
+def stream_avg_order_value(spark: SparkSession, folder: str) -> DataFrame:
+    return _streamed(spark, folder, "categories", result=live_order_values)
 
 
 @query
 def stream_tempo(spark: SparkSession, folder: str) -> DataFrame:
-    return plain_times(latest_view(spark, _streamed(spark, folder, "tempo"), "tempo"))
+    """Orders of the minute up to the newest, counted from what the stream keeps."""
+    return _streamed(
+        spark,
+        folder,
+        "tempo",
+        result=lambda spark, out: live_tempo(spark, out, newest_moment(spark, out)),
+    )
 
 
 @query
 def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
-    out = _streamed(spark, folder, "rejected", spoiled=True)
-    return spark.read.parquet(f"{out}/rejected").select(
-        F.col("key").cast("string").alias("message_key"), "reject_reason"
+    rejects = _streamed(
+        spark,
+        folder,
+        "rejected",
+        spoiled=True,
+        result=lambda spark, out: spark.read.parquet(f"{out}/rejected"),
     )
+    return rejects.select(F.col("key").cast("string").alias("message_key"), "reject_reason")
 
 
 @query
 def stream_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
     """The event feed sent twice over, with the repeats dropped."""
-    messages = encode_orders(stream_event_orders(spark, folder))
-    orders = parse.parse_orders(messages.unionAll(messages))
-    return plain_times(_appended(spark, deduplicate(orders, spread=4)))
+    root = shared_folder(spark)
+    _arrive(spark, folder, f"{root}/feed", 0, FILES)
+    messages = encode_orders(
+        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+    )
+    result = deduplicate(parse.parse_orders(messages.unionAll(messages)))
+    stream = (
+        result.writeStream.format("parquet")
+        .option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoints")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    stream.awaitTermination()
+    rows = spark.read.schema(result.schema).parquet(f"{root}/out")
+    return _kept(spark, root, plain_times(rows))
 
 
 @query
 def landed_product_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Product sales of the accepted orders, read from the columns a stream has landed."""
-    out = _landed(spark, folder)
-    return plain_times(sales.product_sales(landed_orders(spark, out, stream=False)))
+    return _landed(
+        spark,
+        folder,
+        lambda spark, out: plain_times(
+            sales.product_sales(landed_orders(spark, out, stream=False))
+        ),
+    )
 
 
 @query
 def landed_reject_counts(spark: SparkSession, folder: str) -> DataFrame:
-    rejects = landed_rejects(spark, _landed(spark, folder))
+    rejects = _landed(spark, folder, landed_rejects)
     return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query
 def stream_orders_per_minute(spark: SparkSession, folder: str) -> DataFrame:
-    counts = trends.orders_per_minute(_streamed_events(spark, folder))
-    return plain_times(_appended(spark, counts))
+    """Every hopping window, those still open too."""
+    root = shared_folder(spark)
+    _arrive(spark, folder, f"{root}/feed", 0, FILES)
+    messages = encode_orders(
+        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+    )
+    orders = with_lateness(parse.parse_orders(messages, parse.CATEGORY_FIELDS))
+    results = Results(spark, f"{root}/out", f"{root}/checkpoints")
+    stream = (
+        trends.hopping_counts(orders)
+        .writeStream.foreachBatch(sinks.window_sink(results, "hops", ["window_start"]))
+        .option("checkpointLocation", f"{root}/checkpoints")
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    stream.awaitTermination()
+    return _kept(spark, root, plain_times(latest_view(spark, f"{root}/out", "hops")))
 
 
 @query
 def stream_trend_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    hours = trends.trend(_streamed_events(spark, folder), "1 hour", "category")
-    return plain_times(_appended(spark, hours))
+    return plain_times(_streamed(spark, folder, "trends", result=_view("trends")))
+
+
+@query
+def stream_throughput(spark: SparkSession, folder: str) -> DataFrame:
+    return plain_times(_streamed(spark, folder, "throughput", result=_view("throughput")))
 
 
 @query
 def stream_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The dashboard document from four streams run side by side."""
-    out = _streamed(spark, folder, "raw_orders", "top_products", "categories", "tempo")
-    return _unfold_snapshot(live_snapshot(spark, out))
+    return _streamed(
+        spark,
+        folder,
+        "raw_orders",
+        "top_products",
+        "categories",
+        "tempo",
+        result=lambda spark, out: _unfold_snapshot(
+            live_snapshot(spark, out, newest_moment(spark, out))
+        ),
+    )

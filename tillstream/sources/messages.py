@@ -49,9 +49,15 @@ def stream_messages(
 def read_messages(
     spark: SparkSession, format: str = "kafka", path: str | None = None, **options: str
 ) -> DataFrame:
-    """The same messages as a bounded DataFrame, to replay history in batch."""
-    if format == "kafka" and options.get("startingOffsets", "latest") == "latest":
-        options["startingOffsets"] = "earliest"  # a batch read cannot start at the end
+    """The same messages as a bounded DataFrame, to replay history in batch.
+
+    From a topic, it starts at the earliest unless ``startingOffsets`` says otherwise. A batch
+    cannot start at the latest, where there is nothing yet: that is an error.
+    """
+    if format == "kafka":
+        options.setdefault("startingOffsets", "earliest")
+        if options["startingOffsets"] == "latest":
+            raise ValueError("a batch read cannot start at the latest offsets")
     return _messages(spark.read, format, path, options)
 
 

@@ -58,14 +58,14 @@ def event_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _event_columns(_table(spark, folder, "events"))
 
 
-def stream_event_orders(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The event feed as a stream over the files of the ``events`` table."""
+def stream_event_orders(
+    spark: SparkSession, folder: str, feed: str | None = None, **options: str
+) -> DataFrame:
+    """The event feed as a stream over the files of the ``events`` table, or of ``feed``."""
     schema = _table(spark, folder, "events").schema
     # A glob, because a file source takes a folder or a pattern but not one file.
-    events = spark.readStream.schema(schema).options(**options).parquet(
-        f"{folder}/events.parque[t]"
-    )
-    return _event_columns(events)
+    path = feed or f"{folder}/events.parque[t]"
+    return _event_columns(spark.readStream.schema(schema).options(**options).parquet(path))
 
 
 def _event_columns(events: DataFrame) -> DataFrame:

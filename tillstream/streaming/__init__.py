@@ -1,4 +1,4 @@
-from tillstream.streaming.lateness import deduplicate, not_ahead, with_lateness
+from tillstream.streaming.lateness import ahead, deduplicate, not_ahead, with_lateness
 from tillstream.streaming.runner import (
     Intervals,
     await_streams,
@@ -6,7 +6,13 @@ from tillstream.streaming.runner import (
     land_orders,
     landed_orders,
     landed_rejects,
+    live_metrics,
+    live_order_values,
+    live_ranks,
     live_snapshot,
+    live_tempo,
+    live_update,
+    newest_moment,
     run_streams,
     state_partitions_set,
     stop_streams,
@@ -16,6 +22,7 @@ from tillstream.streaming.views import latest_view
 
 __all__ = [
     "Intervals",
+    "ahead",
     "await_streams",
     "batch_sizes",
     "deduplicate",
@@ -23,7 +30,13 @@ __all__ = [
     "landed_orders",
     "landed_rejects",
     "latest_view",
+    "live_metrics",
+    "live_order_values",
+    "live_ranks",
     "live_snapshot",
+    "live_tempo",
+    "live_update",
+    "newest_moment",
     "not_ahead",
     "run_streams",
     "state_partitions_set",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.trends import TIME
@@ -17,17 +17,27 @@ def not_ahead(orders: DataFrame, by: str = "10 minutes") -> DataFrame:
     """Orders dated no more than ``by`` after the present. For live streams.
 
     A watermark follows the newest time it has met. One order dated years ahead would
-    make every order until then a late one.
+    make every order until then a late one. :func:`ahead` gives the others.
     """
-    return orders.where(F.col(TIME) <= F.current_timestamp() + F.expr(f"INTERVAL {by}"))
+    return orders.where(~_is_ahead(by))
 
 
-def deduplicate(orders: DataFrame, delay: str = "10 minutes", spread: int = 1) -> DataFrame:
+def ahead(orders: DataFrame, by: str = "10 minutes") -> DataFrame:
+    """The orders that :func:`not_ahead` leaves out for their date, to count or set aside."""
+    return orders.where(_is_ahead(by))
+
+
+def _is_ahead(by: str) -> Column:
+    late = F.col(TIME) > F.current_timestamp() + F.expr(f"INTERVAL {by}")
+    return F.coalesce(late, F.lit(False))
+
+
+def deduplicate(orders: DataFrame, delay: str = "10 minutes", spread: int = 8) -> DataFrame:
     """Keep the first order of each id within ``delay``. For streams only.
 
     Off unless asked for, because a producer that restarts counts its ids anew.
-    Where one id may hold a large share of the orders, ``spread`` first removes the
-    repeats in that many slices of each id, so that one task never meets all of them.
+    One id may hold a large share of the orders. The repeats are first removed in ``spread``
+    slices of each id, so that one task never meets all of them; 1 leaves that out.
     """
     late = with_lateness(orders, delay)
     if spread > 1:

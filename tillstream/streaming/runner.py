@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from threading import Event
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -20,14 +20,20 @@ from tillstream.operators.parse import (
     parse_orders,
     rejected,
 )
-from tillstream.operators.sales import category_sales, product_sales, rollup_columns
-from tillstream.operators.serving import metrics_row, order_rows, snapshot
-from tillstream.operators.trends import hopping_counts
+from tillstream.operators.ranking import category_rank
+from tillstream.operators.sales import (
+    avg_order_value_of_sales,
+    category_sales,
+    product_sales,
+    rollup_columns,
+)
+from tillstream.operators.serving import metrics_row, order_rows, snapshot, update_document
+from tillstream.operators.trends import TIME, orders_last_minute_of_counts, throughput, trend
 from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.streaming import sinks
-from tillstream.streaming.lateness import not_ahead, with_lateness
+from tillstream.streaming.lateness import with_lateness
 from tillstream.streaming.targets import Deliver, to_files
-from tillstream.streaming.views import latest_view
+from tillstream.streaming.views import Results, latest_view
 
 log = logging.getLogger(__name__)
 
@@ -54,11 +60,15 @@ class Intervals:
     categories: int = 15
     raw_orders: int = 5
     tempo: int = 10
+    trends: int = 15
+    throughput: int = 15
     rejected: int = 60
     landing: int = 10
 
 
-STREAMS = ("raw_orders", "top_products", "categories", "tempo", "rejected")
+STREAMS = (
+    "raw_orders", "top_products", "categories", "tempo", "trends", "throughput", "rejected",
+)
 
 
 @contextmanager
@@ -107,28 +117,34 @@ def run_streams(
     if unknown := set(streams) - set(possible):
         raise ValueError(f"no such streams of this source: {sorted(unknown)}")
     deliver = deliver or to_files(f"{out}/payloads")
-    views = f"{out}/views"
 
     def orders(fields: Sequence[str] | None = None) -> DataFrame:
         return accepted(judge_orders(source, fields)) if from_messages else source
 
     def start(name: str) -> StreamingQuery:
+        results = Results(source.sparkSession, out, f"{checkpoints}/{name}")
         match name:
             case "raw_orders":
                 result, mode = orders(), "append"
-                write = sinks.order_sink(views, deliver)
+                write = sinks.order_sink(results, deliver)
             case "top_products":
-                result, mode = product_sales(orders(SALES_FIELDS)), "complete"
-                write = sinks.product_sink(views, deliver)
+                result, mode = product_sales(orders(SALES_FIELDS)), "update"
+                write = sinks.product_sink(results, deliver)
             case "categories":
                 result = category_sales(orders(CATEGORY_FIELDS), False, *rollup_columns())
                 mode = "complete"
-                write = sinks.category_sink(views, deliver)
+                write = sinks.category_sink(results, deliver)
             case "tempo":
-                timely = not_ahead(orders(CATEGORY_FIELDS), lateness)
-                result = hopping_counts(with_lateness(timely, lateness))
-                mode = "update"
-                write = sinks.tempo_sink(views)
+                result, mode = orders(CATEGORY_FIELDS).select(TIME), "append"
+                write = sinks.tempo_sink(results)
+            case "trends":
+                late = with_lateness(orders(CATEGORY_FIELDS), lateness)
+                result, mode = trend(late, "1 hour", "category"), "update"
+                write = sinks.window_sink(results, name, ["period_start", "category"])
+            case "throughput":
+                late = with_lateness(orders(CATEGORY_FIELDS), lateness)
+                result, mode = throughput(late), "update"
+                write = sinks.window_sink(results, name, ["minute"])
             case _:
                 result = rejected(judge_orders(source))
                 writer = _writer(result, name, checkpoints, intervals, available_now)
@@ -172,7 +188,7 @@ def land_orders(
     Decoding JSON costs many times what reading the columns again does. Where the load
     is large, run the other streams on :func:`landed_orders`; they then show an order
     one landing interval later. Orders are the ``status=accepted`` part of the table,
-    and the reasons of rejection are its other values of ``status``.
+    by date of the order, and the reasons of rejection are its other values of ``status``.
     """
     judged = judge_orders(messages)
     is_rejected = F.col("reject_reason").isNotNull()
@@ -181,19 +197,32 @@ def land_orders(
             "key": F.when(is_rejected, F.col("key")),
             "value": F.when(is_rejected, F.col("value")),
             "status": F.coalesce("reject_reason", F.lit("accepted")),
+            # Orders whose time cannot be read have a partition of their own.
+            "event_date": F.to_date("timestamp_parsed"),
         }
     ).drop("reject_reason")
     writer = _writer(table, "landing", checkpoints, intervals, available_now)
     writer = writer.queryName(f"{name_prefix}landing").outputMode("append")
-    return writer.format("parquet").partitionBy("status").option("path", f"{out}/landing").start()
+    table = f"{out}/landing"
+    return writer.format("parquet").partitionBy("status", "event_date").option("path", table).start()
+
 
+def landed_orders(
+    spark: SparkSession, out: str, stream: bool = True, since: str | None = None, **options: str
+) -> DataFrame:
+    """The accepted orders that :func:`land_orders` has written under ``out``.
 
-def landed_orders(spark: SparkSession, out: str, stream: bool = True, **options: str) -> DataFrame:
-    """The accepted orders that :func:`land_orders` has written under ``out``."""
+    With ``since``, only partitions of that date and later ones are read; orders without a time
+    are in none of them.
+    """
     schema = parse_orders(spark.createDataFrame([], MESSAGE_SCHEMA)).schema
-    reader = (spark.readStream if stream else spark.read).schema(schema.add("status", "string"))
+    schema = schema.add("status", "string").add("event_date", "date")
+    reader = (spark.readStream if stream else spark.read).schema(schema)
     table = reader.options(**options).parquet(f"{out}/landing")
-    return table.where(F.col("status") == "accepted").drop("status")
+    table = table.where(F.col("status") == "accepted")
+    if since is not None:
+        table = table.where(F.col("event_date") >= F.lit(since).cast("date"))
+    return table.drop("status", "event_date")
 
 
 def landed_rejects(spark: SparkSession, out: str) -> DataFrame:
@@ -238,17 +267,47 @@ def batch_sizes(query: StreamingQuery) -> dict[int, int]:
     return {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
 
 
-def live_metrics(spark: SparkSession, out: str) -> DataFrame:
+def live_tempo(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
+    """One row: the orders of the 60 seconds up to ``as_of``, by default up to now.
+
+    Counted when it is read, so it falls back to 0 where no orders come. ``as_of`` may be at most
+    some minutes before the newest order.
+    """
+    counts = latest_view(spark, out, "tempo")
+    return orders_last_minute_of_counts(counts, F.current_timestamp() if as_of is None else as_of)
+
+
+def newest_moment(spark: SparkSession, out: str) -> Column:
+    """The newest order time that the ``tempo`` stream has met."""
+    return latest_view(spark, out, "tempo").agg(F.max("moment")).scalar()
+
+
+def live_metrics(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
     """The KPI row from the latest views of the running streams."""
-    minute = latest_view(spark, out, "tempo").select("orders_per_minute")
-    return metrics_row(latest_view(spark, out, "totals"), minute)
+    return metrics_row(latest_view(spark, out, "totals"), live_tempo(spark, out, as_of))
+
+
+def live_ranks(spark: SparkSession, out: str) -> DataFrame:
+    """Categories ranked by revenue, from the ``categories`` stream."""
+    return category_rank(latest_view(spark, out, "categories").drop("position"))
+
 
+def live_order_values(spark: SparkSession, out: str) -> DataFrame:
+    """Transactions, revenue and average order value of each category so far."""
+    return avg_order_value_of_sales(latest_view(spark, out, "categories"))
 
-def live_snapshot(spark: SparkSession, out: str) -> DataFrame:
+
+def live_snapshot(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
     """The dashboard document from the latest views of the running streams."""
     return snapshot(
         latest_view(spark, out, "top_products"),
         latest_view(spark, out, "categories"),
         order_rows(latest_view(spark, out, "recent_orders")),
-        live_metrics(spark, out),
+        live_metrics(spark, out, as_of),
     )
+
+
+def live_update(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
+    """The document for each update of the order list: newest orders and the KPI values."""
+    latest = order_rows(latest_view(spark, out, "recent_orders"))
+    return update_document(latest, live_metrics(spark, out, as_of))

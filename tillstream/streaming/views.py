@@ -1,70 +1,119 @@
-"""Results kept as one folder per batch, so that a replayed batch replaces itself."""
+"""Results kept as one folder per query and batch, so that a replayed batch replaces itself.
+
+Batch ids begin anew with a new checkpoint. The id of the streaming query, which its checkpoint
+holds, keeps its results apart from those of others before it; a small pointer names the query
+that wrote last.
+"""
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_POINTER = "_current"
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _folder(base: str, batch_id: int) -> str:
-    return f"{base}/batch={batch_id}"
-
-
-def batch_folders(spark: SparkSession, base: str) -> dict[int, bool]:
-    """The batches under ``base``, and whether each was written to its end."""
-    path, files = _file_system(spark, base)
+@dataclass
+class Results:
+    """Where a streaming query, known by its checkpoint, keeps results under ``out``."""
+
+    spark: SparkSession
+    out: str
+    checkpoint: str
+
+    @cached_property
+    def query_id(self) -> str:
+        """The query's id, as its checkpoint has it from the start on."""
+        return json.loads(self.spark.read.text(f"{self.checkpoint}/metadata").first()[0])["id"]
+
+    def view(self, name: str) -> View:
+        return View(self.spark, f"{self.out}/views/{name}", self.query_id)
+
+
+@dataclass
+class View:
+    """The results of one query under ``base``, a folder for each of its batches."""
+
+    spark: SparkSession
+    base: str
+    query_id: str
+
+    @property
+    def _home(self) -> str:
+        return f"{self.base}/query={self.query_id}"
+
+    def batches(self) -> dict[int, bool]:
+        """The batches there are, and whether each was written to its end."""
+        path, files = _file_system(self.spark, self._home)
+        if not files.exists(path):
+            return {}
+        found = {}
+        for status in files.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("batch="):
+                done = _file_system(self.spark, f"{self._home}/{name}/_SUCCESS")[0]
+                found[int(name.removeprefix("batch="))] = files.exists(done)
+        return found
+
+    def write(self, rows: DataFrame, batch_id: int, keep: int = 5) -> None:
+        """Write a batch's result, and drop those more than ``keep`` batches older.
+
+        A view is replaced as a whole, so old ones are of no use but to a reader that has just
+        begun on one.
+        """
+        rows.write.mode("overwrite").parquet(f"{self._home}/batch={batch_id}")
+        older = sorted(b for b in self.batches() if b < batch_id)
+        for old in older[: -keep or None]:
+            path, files = _file_system(self.spark, f"{self._home}/batch={old}")
+            files.delete(path, True)
+        if current_query(self.spark, self.base) != self.query_id:
+            path, files = _file_system(self.spark, f"{self.base}/{_POINTER}")
+            stream = files.create(path, True)
+            try:
+                stream.writeBytes(self.query_id)
+            finally:
+                stream.close()
+
+    def newest(self, before: int | None = None, schema: StructType | None = None) -> DataFrame | None:
+        """The newest finished result, of the batches before ``before``.
+
+        A given ``schema`` spares the job that reads it from the files.
+        """
+        finished = [
+            b for b, done in self.batches().items() if done and (before is None or b < before)
+        ]
+        if not finished:
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self._home}/batch={max(finished)}")
+
+
+def current_query(spark: SparkSession, base: str) -> str | None:
+    """The id of the query that the pointer under ``base`` names."""
+    path, files = _file_system(spark, f"{base}/{_POINTER}")
     if not files.exists(path):
-        return {}
-    found = {}
-    for status in files.listStatus(path):
-        folder = status.getPath()
-        name = folder.getName()
-        if name.startswith("batch="):
-            done = _file_system(spark, f"{base}/{name}/_SUCCESS")[0]
-            found[int(name.removeprefix("batch="))] = files.exists(done)
-    return found
-
-
-def write_view(rows: DataFrame, base: str, batch_id: int, keep: int = 5) -> None:
-    """Write a batch's result and drop those more than ``keep`` batches older.
-
-    A view is replaced as a whole, so old ones are of no use but to a reader that has
-    just begun on one.
-    """
-    spark = rows.sparkSession
-    rows.write.mode("overwrite").parquet(_folder(base, batch_id))
-    older = sorted(b for b in batch_folders(spark, base) if b < batch_id)
-    for old in older[: -keep or None]:
-        path, files = _file_system(spark, _folder(base, old))
-        files.delete(path, True)
-
-
-def newest_view(
-    spark: SparkSession, base: str, before: int | None = None, schema: StructType | None = None
-) -> DataFrame | None:
-    """The newest finished result under ``base``, of the batches before ``before``.
-
-    A given ``schema`` spares the job that reads it from the files.
-    """
-    finished = [
-        b
-        for b, done in batch_folders(spark, base).items()
-        if done and (before is None or b < before)
-    ]
-    if not finished:
         return None
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(_folder(base, max(finished)))
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def latest_view(spark: SparkSession, out: str, name: str) -> DataFrame:
     """The latest result of a named stream written by ``run_streams`` under ``out``."""
-    view = newest_view(spark, f"{out}/views/{name}")
+    base = f"{out}/views/{name}"
+    query_id = current_query(spark, base)
+    view = View(spark, base, query_id).newest() if query_id else None
     if view is None:
         raise LookupError(f"{name} has no result under {out} yet")
     return view
