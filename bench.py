@@ -35,6 +35,7 @@ TABLE_QUERIES = [
     "kpi_status",
     "orders_last_minute",
     "top_products",
+    "product_rank",
     "category_sales_exact",
     "orders_per_minute_hopping",
     "trend_hourly",
@@ -45,6 +46,15 @@ TABLE_QUERIES = [
     "payload_orders",
     "dashboard_snapshot",
 ]
+# Each lets the feed arrive in five files and runs its streams to the end, a batch for each.
+STREAM_QUERIES = [
+    "stream_tempo",
+    "stream_trend_hourly",
+    "stream_throughput",
+    "stream_orders_per_minute",
+    "stream_deduplicated",
+    "stream_snapshot",
+]
 
 
 def main() -> None:
@@ -131,6 +141,9 @@ def main() -> None:
         2,
     )
 
+    for name in STREAM_QUERIES:
+        timed(name, full(lambda name=name: QUERIES[name](spark, FOLDER)), 1)
+
     # Small batches, as of a shop with a few orders a second: seconds from trigger to result.
     few = messages.limit(1000).repartition(12)
     few.write.parquet(f"{work}/few")

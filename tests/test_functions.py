@@ -60,10 +60,32 @@ def test_money_sum_passes_the_range_of_a_long(spark):
     assert rows.agg(money_sum(F.col("x"))).first()[0] == 9e19
 
 
+def test_money_sum_of_tiny_amounts(spark):
+    rows = spark.range(0, 1000, 1, 7).select(F.lit(0.00004).alias("x"))
+    assert rows.agg(money_sum(F.col("x"))).first()[0] == 0.04
+
+
+@pytest.mark.parametrize(
+    "amounts, total",
+    [
+        ([10.0, 1e15], 1e15 + 10),
+        ([1e300, 1.0], 1e300),
+        ([10.0, math.inf], math.inf),
+        ([None, 2.5], 2.5),
+        ([-0.25, -(2.0**42)], -(2.0**42) - 0.25),
+    ],
+)
+def test_money_sum_drops_no_amount(spark, amounts, total):
+    rows = spark.createDataFrame([(a,) for a in amounts], "x double")
+    assert rows.agg(money_sum(F.col("x"))).first()[0] == total
+
+
 def test_money_sum_without_amounts(spark):
-    rows = spark.createDataFrame([(None,), (math.nan,), (math.inf,)], "x double")
+    rows = spark.createDataFrame([(None,)], "x double")
     assert rows.agg(money_sum(F.col("x"))).first()[0] is None
     assert rows.limit(0).agg(money_sum(F.col("x"))).first()[0] is None
+    rows = spark.createDataFrame([(10.0,), (math.nan,)], "x double")
+    assert math.isnan(rows.agg(money_sum(F.col("x"))).first()[0])
 
 
 def test_shown_numbers(spark):

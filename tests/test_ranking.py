@@ -75,14 +75,30 @@ def test_positions_are_those_of_one_sort(spark):
             assert ranks[f"c{i:05d}"] == 1 + sum(a is not None and a > amounts[i] for a in amounts)
 
 
-def test_few_rows_are_numbered_in_one_task_alike(spark):
+def test_few_and_no_rows_are_numbered(spark):
     rows = categories(spark, ("b", 1, 5.0), ("a", 1, 5.0), ("c", 1, None), ("d", 1, 8.0))
-    numbered = [
-        sorted(map(tuple, ranking.with_position(rows, "total_revenue", ["category"], at_most=n).collect()))
-        for n in (4, None, 10**9)
-    ]
-    assert numbered[0] == numbered[1] == numbered[2]
-    assert [r[1] for r in numbered[0]] == ["d", "a", "b", "c"]
+    placed = sorted(map(tuple, ranking.with_position(rows, "total_revenue", ["category"]).collect()))
+    assert [r[1] for r in placed] == ["d", "a", "b", "c"]
+    assert ranking.with_position(rows.limit(0), "total_revenue", ["category"]).collect() == []
+    assert ranking.category_rank(rows.limit(0)).collect() == []
+
+
+def test_ranks_of_amounts_that_span_ranges(spark):
+    rows = spark.range(20_000).selectExpr(
+        "concat('c', lpad(id, 6, '0')) category", "1L order_count",
+        "case when id % 2 = 0 then 7d when id % 5 = 0 then null else double(id % 40) end total_revenue",
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")  # so that one amount fills ranges
+    try:
+        got = ranking.category_rank(rows).collect()
+    finally:
+        spark.conf.unset(setting)
+    amounts = sorted((r.total_revenue for r in got), key=lambda a: (a is None, -(a or 0.0)))
+    first = {}
+    for place, amount in enumerate(amounts, 1):
+        first.setdefault(amount, place)
+    assert all(r.revenue_rank == first[r.total_revenue] for r in got) and len(got) == 20_000
 
 
 def test_equal_amounts_are_spread_over_tasks(spark):

@@ -26,6 +26,7 @@ def test_product_payload(spark):
     rows = serving.product_rows(ranking.top_products(product_sales(feed(spark))))
     (document,) = as_json(serving.payload(rows, "products", 7, F.lit("2024-05-01T11:00:00")))
     assert (document["batch_id"], document["timestamp"], document["part"]) == (7, "2024-05-01T11:00:00", 0)
+    assert document["parts"] == 1
     first, second, third = document["products"]
     assert list(first) == PRODUCT_ROW
     assert first == {
@@ -65,6 +66,7 @@ def test_long_lists_are_published_in_parts(spark):
     )
     parts = serving.payload(serving.category_rows(many), "categories", 1).orderBy("part").collect()
     assert [(p.part, len(p.categories)) for p in parts] == [(0, 1000), (1, 1000), (2, 500)]
+    assert {p.parts for p in parts} == {3}
     published = [c.category for p in parts for c in p.categories]
     assert published == [r.category for r in ranking.categories_by_revenue(many).collect()]
 
@@ -103,6 +105,13 @@ def test_snapshot_is_one_document(spark):
     assert list(document["categories"][0]) == CATEGORY_ROW
 
 
+def test_update_document(spark):
+    latest = serving.order_rows(ranking.latest_orders(feed(spark), 2))
+    (document,) = as_json(serving.update_document(latest, serving.kpi_status(feed(spark)), F.lit("now")))
+    assert [o["order_id"] for o in document["recent_orders"]] == ["2", "1"]
+    assert (document["timestamp"], document["total_orders"], document["total_revenue"]) == ("now", 4, 134.0)
+
+
 def test_snapshot_before_the_first_order(spark):
     (document,) = as_json(serving.snapshot_of_orders(feed(spark).limit(0)))
     assert document["metrics"] == {"total_orders": 0, "total_revenue": 0.0, "orders_per_minute": 0}

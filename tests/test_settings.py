@@ -96,3 +96,8 @@ def test_shared_folder_is_under_the_sessions(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(root) and first != second
+
+
+def test_batch_read_cannot_start_at_the_latest(spark):
+    with pytest.raises(ValueError, match="latest"):
+        read_messages(spark, "kafka", **kafka_read_options("broker:9092"))

@@ -3,14 +3,13 @@
 import json
 import os
 import shutil
-from pathlib import Path
 from threading import Event
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tests.helpers import at, dicts, order, orders
+from tests.helpers import dicts, order, orders
 from tillstream.operators import ranking, sales, serving, trends
 from tillstream.operators.parse import accepted, judge_orders, parse_orders
 from tillstream.plans.queries import QUERIES
@@ -32,11 +31,16 @@ from tillstream.streaming import (
     landed_rejects,
     latest_view,
     live_snapshot,
+    live_tempo,
+    live_update,
+    newest_moment,
     run_streams,
     stop_streams,
     with_lateness,
 )
-from tillstream.streaming import sinks, targets, views
+from tillstream.streaming import sinks, targets
+from tillstream.streaming.runner import STREAMS
+from tillstream.streaming.views import Results
 
 FOLDER = "/root/testdata/sf0.001"
 FILES = 5
@@ -84,10 +88,15 @@ def batch(spark, folder):
     return parse_orders(read_messages(spark, "json", str(folder)))
 
 
+def ring(spark, out):
+    """The orders of the ring, newest first."""
+    return dicts(ranking.latest_orders(latest_view(spark, out, "recent_orders").drop("_seen"), 99))
+
+
 def payloads(root, name):
     """The published documents of a stream, by batch id."""
     documents = {}
-    for folder in (root / "out" / "payloads" / name).glob("batch=*"):
+    for folder in (root / "out" / "payloads" / name).glob("query=*/batch=*"):
         lines = [line for file in folder.glob("*.json") for line in file.read_text().splitlines()]
         documents[int(folder.name.removeprefix("batch="))] = [json.loads(line) for line in lines]
     return documents
@@ -96,7 +105,7 @@ def payloads(root, name):
 def test_streams_end_where_the_batch_does(spark, feed_files, tmp_path):
     arrive(feed_files, tmp_path / "in")
     queries = run(spark, tmp_path)
-    assert [q.name for q in queries] == ["raw_orders", "top_products", "categories", "tempo", "rejected"]
+    assert [q.name for q in queries] == list(STREAMS)
     for query in queries:
         sizes = batch_sizes(query)
         assert sum(sizes.values()) == 1000 and len([n for n in sizes.values() if n]) == FILES
@@ -107,11 +116,14 @@ def test_streams_end_where_the_batch_does(spark, feed_files, tmp_path):
     assert dicts(latest_view(spark, out, "top_products").orderBy("position")) == dicts(top.orderBy("position"))
     categories = serving.category_rows(sales.category_sales(whole))
     assert dicts(latest_view(spark, out, "categories").orderBy("position")) == dicts(categories.orderBy("position"))
-    assert dicts(ranking.latest_orders(latest_view(spark, out, "recent_orders"), 99)) == dicts(ranking.latest_orders(whole, 20))
+    assert ring(spark, out) == dicts(ranking.latest_orders(whole, 20))
     assert dicts(latest_view(spark, out, "totals")) == dicts(sales.order_totals(whole))
-    tempo = latest_view(spark, out, "tempo").first()
-    hop = trends.orders_per_minute(whole).where(F.col("window_end") == F.lit(tempo.window_end)).first()
-    assert tempo.orders_per_minute == hop.order_count
+    tempo = live_tempo(spark, out, newest_moment(spark, out))
+    assert dicts(tempo) == dicts(trends.orders_last_minute(whole))
+    hours = trends.trend(whole, "1 hour", "category")
+    assert sorted(map(tuple, latest_view(spark, out, "trends").collect())) == sorted(map(tuple, hours.collect()))
+    minutes = trends.throughput(whole)
+    assert sorted(map(tuple, latest_view(spark, out, "throughput").collect())) == sorted(map(tuple, minutes.collect()))
     assert spark.read.parquet(f"{out}/rejected").count() == 0
 
     products = payloads(tmp_path, "top_products")
@@ -123,7 +135,12 @@ def test_streams_end_where_the_batch_does(spark, feed_files, tmp_path):
         assert len(document["orders"]) == 50
 
     (document,) = dicts(live_snapshot(spark, out))
-    assert document["metrics"]["total_orders"] == 1000
+    assert document["metrics"]["total_orders"] == 1000 and document["timestamp"]
+    # The feed is of the past: by now its last busy minute is over.
+    assert document["metrics"]["orders_per_minute"] == 0
+    (update,) = dicts(live_update(spark, out, newest_moment(spark, out)))
+    assert len(update["recent_orders"]) == 20 and update["total_orders"] == 1000
+    assert update["orders_per_minute"] == trends.orders_last_minute(whole).first()[0]
     assert len(document["top_products"]) == 10 and len(document["recent_orders"]) == 20
 
 
@@ -141,7 +158,7 @@ def test_restart_goes_on_where_it_stopped(spark, feed_files, tmp_path):
     out = str(tmp_path / "out")
     assert first < 1000
     assert dicts(latest_view(spark, out, "totals")) == dicts(sales.order_totals(whole))
-    assert dicts(ranking.latest_orders(latest_view(spark, out, "recent_orders"), 99)) == dicts(ranking.latest_orders(whole, 20))
+    assert ring(spark, out) == dicts(ranking.latest_orders(whole, 20))
 
     run(spark, tmp_path, *names)  # nothing new: nothing changes
     assert dicts(latest_view(spark, out, "totals")) == dicts(sales.order_totals(whole))
@@ -151,9 +168,9 @@ def test_batch_that_failed_half_way_is_done_again(spark, feed_files, tmp_path):
     arrive(feed_files, tmp_path / "in")
     to_files = targets.to_files(str(tmp_path / "out" / "payloads"))
 
-    def failing(document, name, batch_id):
-        to_files(document, name, batch_id)
-        if batch_id == 2:
+    def failing(document, name, batch):
+        to_files(document, name, batch)
+        if batch.number == 2:
             raise RuntimeError("lost the executor")
 
     with pytest.raises(StreamingQueryException, match="lost the executor"):
@@ -165,13 +182,13 @@ def test_batch_that_failed_half_way_is_done_again(spark, feed_files, tmp_path):
     out = str(tmp_path / "out")
     assert sorted(payloads(tmp_path, "raw_orders")) == list(range(FILES))
     assert all(len(lines) == 1 for lines in payloads(tmp_path, "raw_orders").values())
-    assert dicts(ranking.latest_orders(latest_view(spark, out, "recent_orders"), 99)) == dicts(ranking.latest_orders(whole, 20))
+    assert ring(spark, out) == dicts(ranking.latest_orders(whole, 20))
 
 
 def test_failure_of_one_stream_ends_the_running_others(spark, feed_files, tmp_path):
     arrive(feed_files[:1], tmp_path / "in")
 
-    def failing(document, name, batch_id):
+    def failing(document, name, batch):
         if name == "raw_orders":
             raise RuntimeError("no space left")
 
@@ -196,33 +213,98 @@ def test_waiting_ends_when_told_to(spark, feed_files, tmp_path):
     assert not queries[0].isActive
 
 
+def results(spark, root, name="query-1"):
+    """Where a query of that id would keep its results under ``root/out``."""
+    checkpoint = root / f"checkpoint-{name}"
+    checkpoint.mkdir(exist_ok=True)
+    (checkpoint / "metadata").write_text(json.dumps({"id": name}))
+    return Results(spark, str(root / "out"), str(checkpoint))
+
+
 def test_replayed_batch_changes_nothing(spark, feed_files, tmp_path):
     arrive(feed_files, tmp_path / "in")
     whole = batch(spark, tmp_path / "in")
     halves = [whole.where("order_id < 'ORDER-000500'"), whole.where("order_id >= 'ORDER-000500'")]
-    base = str(tmp_path / "views")
-    write = sinks.order_sink(base, targets.to_files(str(tmp_path / "payloads")))
+    out = str(tmp_path / "out")
+    write = sinks.order_sink(results(spark, tmp_path), targets.to_files(f"{out}/payloads"))
     for batch_id, half in enumerate(halves):
         write(half, batch_id)
-    once = dicts(ranking.latest_orders(views.newest_view(spark, f"{base}/recent_orders"), 99))
+    once = ring(spark, out)
     write(halves[1], 1)
     write(halves[1], 1)
-    assert dicts(ranking.latest_orders(views.newest_view(spark, f"{base}/recent_orders"), 99)) == once
+    assert ring(spark, out) == once
     assert once == dicts(ranking.latest_orders(whole, 20))
 
 
 def test_old_views_are_dropped_and_unfinished_ones_not_read(spark, tmp_path):
-    base = str(tmp_path / "view")
+    view = results(spark, tmp_path).view("numbers")
     for batch_id in range(8):
-        views.write_view(spark.range(batch_id + 1), base, batch_id, keep=3)
-    assert sorted(views.batch_folders(spark, base)) == [4, 5, 6, 7]
-    (Path(base) / "batch=7" / "_SUCCESS").unlink()
-    assert views.newest_view(spark, base).count() == 7
-    assert views.newest_view(spark, base, before=6).count() == 6
+        view.write(spark.range(batch_id + 1), batch_id, keep=3)
+    assert sorted(view.batches()) == [4, 5, 6, 7]
+    (tmp_path / "out/views/numbers/query=query-1/batch=7/_SUCCESS").unlink()
+    assert view.newest().count() == 7
+    assert view.newest(before=6).count() == 6
+    assert latest_view(spark, str(tmp_path / "out"), "numbers").count() == 7
     with pytest.raises(LookupError):
         latest_view(spark, str(tmp_path), "nothing")
 
 
+def test_a_new_checkpoint_serves_only_its_own_results(spark, feed_files, tmp_path):
+    arrive(feed_files[:3], tmp_path / "in")
+    names = ("raw_orders", "categories")
+    run(spark, tmp_path, *names)
+    out = str(tmp_path / "out")
+    assert latest_view(spark, out, "totals").first().total_orders == 600
+    first = payloads(tmp_path, "raw_orders")
+
+    arrive(feed_files[:1], tmp_path / "other")
+    queries = run_streams(
+        stream(spark, tmp_path / "other"), out, str(tmp_path / "checkpoints-2"),
+        streams=names, available_now=True, name_prefix="second-",
+    )
+    await_streams(queries)
+    assert latest_view(spark, out, "totals").first().total_orders == 200
+    assert ring(spark, out) == dicts(ranking.latest_orders(batch(spark, tmp_path / "other"), 20))
+    assert len(list((tmp_path / "out/payloads/raw_orders").glob("query=*/batch=*"))) == len(first) + 1
+
+
+def test_payloads_are_kept_for_so_many_batches(spark, feed_files, tmp_path):
+    arrive(feed_files, tmp_path / "in")
+    run(spark, tmp_path, "raw_orders", deliver=targets.to_files(str(tmp_path / "out/payloads"), keep=2))
+    assert sorted(payloads(tmp_path, "raw_orders")) == [FILES - 2, FILES - 1]
+
+
+def test_leaderboard_from_changes_is_that_of_all(spark, tmp_path):
+    """Products enter, leave and come back; after each batch the ten are those of all sales."""
+    def sold(*numbers):
+        return orders(spark, *(
+            order(f"{i}", product_id=f"P{n:02d}", product_name=None if n == 3 else "x")
+            for i, n in enumerate(numbers)
+        ))
+
+    batches = [sold(*range(12), *range(10)), sold(10, 10, 11, 11), sold(0, 0, 1, 1, 1), sold(5, 14, 14, 14, 14)]
+    write = sinks.product_sink(results(spark, tmp_path), targets.to_files(str(tmp_path / "payloads")))
+    so_far = None
+    for batch_id, rows in enumerate(batches):
+        so_far = rows if so_far is None else so_far.unionByName(rows)
+        keys = rows.select("product_id").distinct()
+        whole = sales.product_sales(so_far)
+        write(whole.join(keys, "product_id", "left_semi"), batch_id)
+        got = latest_view(spark, str(tmp_path / "out"), "top_products").orderBy("position")
+        want = serving.product_rows(ranking.top_products(whole)).orderBy("position")
+        assert dicts(got) == dicts(want)
+
+
+def test_orders_from_the_future_do_not_hold_the_ring(spark, tmp_path):
+    future = orders(spark, *(order(f"f{i:02d}", timestamp="9000-01-01T00:00:00") for i in range(20)))
+    now = spark.range(1).select(F.date_format(F.current_timestamp() + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    write = sinks.order_sink(results(spark, tmp_path), targets.to_files(str(tmp_path / "payloads")))
+    write(future, 0)
+    write(orders(spark, *(order(f"n{i}", timestamp=now) for i in range(5))), 1)
+    kept = {r.order_id for r in latest_view(spark, str(tmp_path / "out"), "recent_orders").collect()}
+    assert len(kept) == 20 and {f"n{i}" for i in range(5)} <= kept
+
+
 def test_malformed_messages_are_set_aside(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
@@ -293,7 +375,12 @@ def late_files(spark, folder, *batches):
         os.utime(folder / "in" / f"{number}.json", (1_700_000_000 + number,) * 2)
 
 
-def test_current_tempo_is_not_turned_back_by_late_orders(spark, tmp_path):
+def tempo_at(spark, root, text):
+    as_of = F.to_timestamp(F.lit(text))
+    return live_tempo(spark, str(root / "out"), as_of).first().orders_per_minute
+
+
+def test_tempo_counts_late_orders_and_decays_to_0(spark, tmp_path):
     late_files(
         spark,
         tmp_path,
@@ -301,23 +388,23 @@ def test_current_tempo_is_not_turned_back_by_late_orders(spark, tmp_path):
         [("d", "2024-05-01T10:00:05")],
     )
     run(spark, tmp_path, "tempo")
-    row = latest_view(spark, str(tmp_path / "out"), "tempo").first()
-    assert (row.window_start, row.window_end) == (at("2024-05-01T10:00:00"), at("2024-05-01T10:01:00"))
-    # The second batch ends sooner by itself; the first batch's minute stands.
-    assert row.orders_per_minute == 3
+    assert tempo_at(spark, tmp_path, "2024-05-01T10:01:00") == 4  # both ends included
+    assert tempo_at(spark, tmp_path, "2024-05-01T10:01:00.000001") == 3
+    assert tempo_at(spark, tmp_path, "2024-05-01T10:01:41") == 2
+    assert tempo_at(spark, tmp_path, "2024-05-01T10:02:00") == 0
+    assert live_tempo(spark, str(tmp_path / "out")).first().orders_per_minute == 0  # now
 
 
 def test_an_order_from_the_far_future_does_not_close_the_present(spark, tmp_path):
     late_files(
         spark,
         tmp_path,
-        [("a", "9000-01-01T00:00:00"), ("b", "2024-05-01T10:00:41")],
-        [("c", "2024-05-01T10:00:45")],
-        [("d", "2024-05-01T10:00:50")],
+        [("a", "9000-01-01T00:00:00")],
+        [("b", "2024-05-01T10:00:41"), ("c", "2024-05-01T10:00:45")],
     )
     run(spark, tmp_path, "tempo")
-    row = latest_view(spark, str(tmp_path / "out"), "tempo").first()
-    assert (row.window_end, row.orders_per_minute) == (at("2024-05-01T10:01:00"), 3)
+    assert tempo_at(spark, tmp_path, "9000-01-01T00:00:00") == 1
+    assert live_tempo(spark, str(tmp_path / "out")).first().orders_per_minute == 0
 
 
 @pytest.mark.parametrize("spread", [1, 4])
@@ -346,9 +433,10 @@ def test_payloads_in_a_table_replace_their_own_batch(spark, feed_files, tmp_path
         rows = spark.table("payloads_test_categories").collect()
         return {r.batch_id: json.loads(r.body)["categories"] for r in rows}
 
+    query_id = spark.table("payloads_test_categories").first().query_id
     before = categories()
     rows = serving.category_rows(sales.category_sales(batch(spark, tmp_path / "in").limit(10)))
-    deliver(serving.payload(rows, "categories", 0), "categories", 0)
+    deliver(serving.payload(rows, "categories", 0), "categories", targets.Batch(query_id, 0))
     after = categories()
     assert after[1] == before[1]
     assert sum(c["order_count"] for c in after[0]) == 10
@@ -395,6 +483,8 @@ def test_landed_orders_give_the_same_results(spark, feed_files, tmp_path):
     stored = landed_orders(spark, str(tmp_path / "landed"), stream=False)
     assert stored.columns == whole.columns
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, whole.collect()))
+    some = landed_orders(spark, str(tmp_path / "landed"), stream=False, since="2024-01-15")
+    assert some.count() == whole.where("timestamp_parsed >= '2024-01-15'").count()
     with pytest.raises(ValueError, match="rejected"):
         run_streams(source, out, str(tmp_path / "checkpoints"), streams=["rejected"])
 
