@@ -195,7 +195,7 @@ def token_counts(
     pieces = append(distinct, ["part"], ["part"], count, [StructField("pieces", LongType())])
     # Rows without a part keep away from each other in the join: their key is their number.
     key = F.coalesce("part", F.concat(F.lit("\0"), F.col("uid").cast("string")))
-    joined = rows.withColumn("key", key).join(
+    joined = rows.select("uid", "doc_id", "n_bytes", "times", key.alias("key")).join(
         pieces.withColumnRenamed("part", "key"), "key", "left"
     )
     sums = joined.groupBy("uid").agg(
