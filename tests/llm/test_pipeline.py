@@ -2,6 +2,7 @@
 
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -82,3 +83,16 @@ def test_queries_run(spark, name):
     rows = QUERIES[name](spark, SMALL)
     assert "doc_id" in rows.columns
     assert rows.count() >= table(spark, SMALL, "documents").count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_same_as_sql(spark, name):
+    connection = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        connection.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    cursor = connection.execute(ORACLES[name])
+    names = [c[0] for c in cursor.description]
+    want = sorted(cursor.fetchall(), key=repr)
+    ours = QUERIES[name](spark, SMALL)
+    assert sorted(ours.columns) == sorted(names)
+    assert sorted(map(tuple, ours.select(*names).collect()), key=repr) == want

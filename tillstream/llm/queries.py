@@ -21,11 +21,15 @@ from tillstream.llm import (
     toxicity,
 )
 from tillstream.llm.common import table
+from tillstream.llm.oracles import DECONTAMINATION, LICENSES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_license_scans": LICENSES,
+    "op7_benchmark_decontamination": DECONTAMINATION,
+}
 
 
 def query(function: Query) -> Query:
