@@ -104,7 +104,8 @@ def with_position(
     """Number all rows from 1 by ``amount`` descending, then ``ties``.
 
     A row's position is its place in its range plus the rows of the ranges before. What is
-    broadcast is one row for each task.
+    broadcast is one row for each task. The sort runs when this is called, as its checkpoint is
+    written then: filter and project the rows before.
     """
     placed, tasks = _in_ranges(rows, [F.desc(amount), *ties])
     return placed.join(F.broadcast(tasks), "_task").select(

@@ -49,7 +49,7 @@ def product_sink(results: Results, deliver: Deliver, k: int = 10) -> BatchFuncti
     def write(changed: DataFrame, batch_id: int) -> None:
         view = results.view("top_products")
         fresh = published_products(changed)
-        previous = view.newest(batch_id)
+        previous = view.newest(batch_id, ranked_products(fresh, k).schema)
         if previous is not None:
             # The key is compared by structs, so that missing parts of it are equal too.
             before = previous.drop("position").withColumn("_key", F.struct(*PRODUCT_KEY))
