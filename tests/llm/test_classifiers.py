@@ -73,6 +73,13 @@ def test_sites_are_shrunk(spark):
     assert got[1000]["score"] < got[1001]["score"]
 
 
+def test_site_of_an_address(spark):
+    urls = ["https://www.A.example.com/en/25#top", "http://u:p@b.org:80?x=1", "nonsense", None]
+    host, path = quality_classifier.site(F.col("u"))
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").select(host, path).collect()
+    assert [tuple(r) for r in rows] == [("a.example.com", "en"), ("b.org", ""), ("", ""), (None, None)]
+
+
 def test_correlated_voters_are_discounted():
     import numpy as np
 

@@ -28,6 +28,16 @@ FEATURES = [
 ]
 
 
+def site(url: Column) -> tuple[Column, Column]:
+    """Host and path of an address: the host without ``www.``, and the first part of the path.
+
+    An address that has none gives empty strings; NULL gives NULLs.
+    """
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
+    return F.regexp_replace(host, r"^www\.", ""), path
+
+
 def features(text: str | None) -> list[float]:
     """Shares and sizes that tell prose from what is not; all 0 for a text without words."""
     data = (text or "").encode("utf-8", "surrogatepass")
