@@ -380,6 +380,20 @@ def tempo_at(spark, root, text):
     return live_tempo(spark, str(root / "out"), as_of).first().orders_per_minute
 
 
+def test_orders_dated_ahead_are_kept_apart(spark, tmp_path):
+    late_files(
+        spark,
+        tmp_path,
+        [("a", "9000-01-01T00:00:00"), ("x", "whenever")],
+        [("b", "2024-05-01T10:00:41")],
+        [("c", "2024-05-01T10:00:45")],
+    )
+    run(spark, tmp_path, "throughput", "ahead")
+    out = str(tmp_path / "out")
+    assert [r.order_id for r in spark.read.parquet(f"{out}/ahead").collect()] == ["a"]
+    assert [r.order_count for r in latest_view(spark, out, "throughput").collect()] == [2]
+
+
 def test_tempo_counts_late_orders_and_decays_to_0(spark, tmp_path):
     late_files(
         spark,

@@ -31,7 +31,7 @@ from tillstream.operators.serving import metrics_row, order_rows, snapshot, upda
 from tillstream.operators.trends import TIME, orders_last_minute_of_counts, throughput, trend
 from tillstream.schema import MESSAGE_SCHEMA
 from tillstream.streaming import sinks
-from tillstream.streaming.lateness import with_lateness
+from tillstream.streaming.lateness import ahead, not_ahead, with_lateness
 from tillstream.streaming.targets import Deliver, to_files
 from tillstream.streaming.views import Results, latest_view
 
@@ -62,12 +62,13 @@ class Intervals:
     tempo: int = 10
     trends: int = 15
     throughput: int = 15
+    ahead: int = 60
     rejected: int = 60
     landing: int = 10
 
 
 STREAMS = (
-    "raw_orders", "top_products", "categories", "tempo", "trends", "throughput", "rejected",
+    "raw_orders", "top_products", "categories", "tempo", "trends", "throughput", "ahead", "rejected",
 )
 
 
@@ -107,7 +108,7 @@ def run_streams(
     Each stream has its own query name and its own checkpoint under ``checkpoints``,
     which must outlive the process: started again, it goes on where it stopped. Results
     are written under ``out``: payloads (unless ``deliver`` sends them elsewhere), the
-    latest views, and the rejected messages. ``available_now`` works off what is there
+    latest views, the orders dated too far ahead for time windows, and the rejected messages. ``available_now`` works off what is there
     and ends. A session that runs several sets of streams at once tells their names apart
     by ``name_prefix``.
     """
@@ -138,15 +139,17 @@ def run_streams(
                 result, mode = orders(CATEGORY_FIELDS).select(TIME), "append"
                 write = sinks.tempo_sink(results)
             case "trends":
-                late = with_lateness(orders(CATEGORY_FIELDS), lateness)
+                late = with_lateness(not_ahead(orders(CATEGORY_FIELDS), lateness), lateness)
                 result, mode = trend(late, "1 hour", "category"), "update"
                 write = sinks.window_sink(results, name, ["period_start", "category"])
             case "throughput":
-                late = with_lateness(orders(CATEGORY_FIELDS), lateness)
+                late = with_lateness(not_ahead(orders(CATEGORY_FIELDS), lateness), lateness)
                 result, mode = throughput(late), "update"
                 write = sinks.window_sink(results, name, ["minute"])
             case _:
-                result = rejected(judge_orders(source))
+                result = ahead(orders(), lateness) if name == "ahead" else (
+                    rejected(judge_orders(source))
+                )
                 writer = _writer(result, name, checkpoints, intervals, available_now)
                 writer = writer.queryName(name_prefix + name).outputMode("append")
                 return writer.format("parquet").option("path", f"{out}/{name}").start()
