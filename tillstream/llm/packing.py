@@ -28,7 +28,7 @@ REFIT = 100
 #: Rows of one length that are numbered together.
 NUMBERED = 50_000
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 #: A character other than white space, ASCII, and letters of which lower case and normal form are
 #: one character each.

@@ -39,7 +39,7 @@ STEADY_TOKENS = 500
 #: those of all rows.
 LEAST_ROWS = 200
 #: Words whose pieces a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\r\x0b\x0c"
