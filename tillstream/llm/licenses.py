@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.common import durable
@@ -37,7 +37,7 @@ TEMPLATES = [
     ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
-#: Share of a template's words that a block must hold.
+#: Share of a template's words that a block or a run of words must hold.
 THRESHOLD = 0.8
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -102,6 +102,158 @@ def global_order(docs: DataFrame, words: list[str]) -> list[str]:
     return sorted(words, key=lambda w: (times.get(w, 0), w))
 
 
+def _surroundings(low: Column, hinted: Column, prefixes: list[str], longest: int) -> Column:
+    """Each place of a rare word, with the words around it that a run through it may have."""
+
+    def of(words: Column) -> Column:
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(prefixes)
+        )
+
+        def around(i: Column) -> Column:
+            first = F.greatest(i - (longest - 1), F.lit(0))
+            return F.struct(
+                i.alias("at"),
+                first.alias("first"),
+                F.slice(words, first + 1, i - first + longest).alias("near"),
+            )
+
+        return F.transform(places, around)
+
+    texts = F.when(hinted, F.array(F.regexp_extract_all(low, F.lit(_WORD), 0)))
+    nothing = F.array().cast("array<struct<at:int,first:int,near:array<string>>>")
+    return F.coalesce(F.get(F.transform(texts, of), F.lit(0)), nothing)
+
+
+def _in_runs(found: DataFrame, index: DataFrame) -> DataFrame:
+    """``uid, label, share, held`` of the templates that stand in runs of words and are kept.
+
+    Around each rare word the run with most of a template's words counts, of these the shortest,
+    then the first.
+    """
+
+    def runs(near, first, at, words, run):
+        def of(a):
+            part = F.slice(near, a - first + 1, run)
+            held = F.array_intersect("words", part)
+            return F.struct(
+                F.size(held).alias("shared"),
+                a.alias("a"),
+                F.transform(held, lambda w: (a - 1 + F.array_position(part, w)).cast("int")).alias("at"),
+                held.alias("held"),
+            )
+
+        def ranked(r):
+            return F.struct(
+                r["shared"].alias("shared"),
+                (r["a"] - F.array_max(r["at"])).alias("span"),
+                (-r["a"]).alias("from"),
+                r["at"].alias("at"),
+                r["held"].alias("held"),
+            )
+
+        starts = F.sequence(F.greatest(first, at - run + 1), at)
+        return F.array_max(F.transform(F.transform(starts, of), ranked))
+
+    places = (
+        found.select("uid", F.explode("near").alias("n"))
+        .select("uid", "n.*", F.get("n.near", F.col("n.at") - F.col("n.first")).alias("word"))
+        .join(index, "word")
+        .where(F.size(F.array_intersect("words", "near")) >= F.col("need"))
+        .withColumn("r", runs(*map(F.col, ("near", "first", "at", "words", "run"))))
+        .where(F.col("r.shared") >= F.col("need"))
+        .select(
+            "uid",
+            "template",
+            "label",
+            (F.col("r.shared") / F.size("words")).alias("share"),
+            F.size("words").alias("size"),
+            F.array_min("r.at").alias("a"),
+            F.array_max("r.at").alias("b"),
+            (F.size("words") - F.col("r.shared")).alias("lacks"),
+            F.col("r.at").alias("at"),
+            F.col("r.held").alias("held"),
+        )
+        .dropDuplicates(["uid", "template", "a", "b"])
+    )
+    # Runs that overlap, also by way of others, are judged together.
+    before = Window.partitionBy("uid").orderBy("a", "b", "template")
+    reach = F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("a") <= F.col("reach"), 0).otherwise(1)
+    match = F.struct("share", "size", "label", "a", "b", "lacks", "at", "held")
+
+    return (
+        places.withColumn("reach", reach)
+        .withColumn("group", F.sum(opens).over(before))
+        .groupBy("uid", "group")
+        .agg(F.sort_array(F.collect_list(match), asc=False).alias("m"))
+        .select("uid", F.explode(F.slice("m", 1, 1)).alias("m"))
+        .select("uid", "m.label", "m.share", "m.held")
+    )
+
+
+def _in_blocks(
+    found: DataFrame, index: DataFrame, prefixes: set[str], in_runs: DataFrame
+) -> DataFrame:
+    """``uid, label, share`` of the templates whose words are scattered over a block.
+
+    What is kept is judged as for runs, by words instead of places; the runs within the block come
+    before it.
+    """
+    shared = F.array_intersect("held", "words")
+    pairs = (
+        found.select("uid", F.posexplode("blocks").alias("block", "held"))
+        .select("uid", "block", "held", F.posexplode("held").alias("j", "word"))
+        .where(F.col("word").isin(sorted(prefixes)))
+        .join(index, "word")
+        .where(F.size("held") >= F.col("need"))
+        .where(
+            F.col("i") + 1 + F.least(F.size("words") - F.col("i"), F.size("held") - F.col("j")) - 1
+            >= F.col("need")
+        )
+        .withColumn("shared", shared)
+        .where(F.size("shared") >= F.col("need"))
+    )
+    size = F.size("words")
+    match = F.struct(
+        (F.size("shared") / size).alias("share"),
+        size.alias("size"),
+        "label",
+        (size - F.size("shared")).alias("lacks"),
+        "shared",
+    )
+    runs = in_runs.groupBy("uid").agg(F.collect_set(F.struct("label", "held")).alias("runs"))
+    within = F.filter(
+        F.coalesce("runs", F.array().cast("array<struct<label:string,held:array<string>>>")),
+        lambda r: F.size(F.array_except(r["held"], F.col("held"))) == 0,
+    )
+    start = F.struct(
+        F.flatten(F.transform("within", lambda r: r["held"])).alias("words"),
+        F.transform("within", lambda r: r["label"]).alias("labels"),
+        F.lit(0.0).alias("share"),
+    )
+
+    def keep(kept, m):
+        own = F.size(F.array_except(m["shared"], kept["words"]))
+        stands = (own == F.size(m["shared"])) | (own > m["lacks"])
+        stands = stands | F.array_contains(kept["labels"], m["label"])
+        more = F.struct(
+            F.concat(kept["words"], m["shared"]).alias("words"),
+            F.concat(kept["labels"], F.array(m["label"])).alias("labels"),
+            F.greatest(kept["share"], m["share"]).alias("share"),
+        )
+        return F.when(stands, more).otherwise(kept)
+
+    return (
+        pairs.groupBy("uid", "block")
+        .agg(F.first("held").alias("held"), F.sort_array(F.collect_set(match), asc=False).alias("m"))
+        .join(runs, "uid", "left")
+        .withColumn("within", within)
+        .select("uid", F.aggregate(F.slice("m", 1, 1), start, keep).alias("kept"))
+        .select("uid", F.explode("kept.labels").alias("label"), F.col("kept.share").alias("share"))
+    )
+
+
 def licenses(
     docs: DataFrame,
     templates: list[tuple[str, str]] = TEMPLATES,
@@ -110,41 +262,46 @@ def licenses(
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for each row.
 
     The method's labels are those of the templates, ``threshold`` of whose distinct words stand in
-    one block, a line or sentence; of several for one block, the best contained, then the longest
-    counts. ``score`` is the largest share contained, 1 with a base phrase, 0 without a label. A
-    NULL text has no words and no labels, which are empty strings; first and last word are NULL
-    without a base phrase. Repeated rows get a row each; a NULL ``doc_id`` is carried along; other
-    columns are ignored; an empty table gives an empty result.
-
-    Words are ordered by their frequency over all documents. A block that holds a template well
-    enough holds one of its ``size - need + 1`` rarest words, so only blocks with one of these are
-    looked at; they are joined with the templates by word, and pass a bound on length and one on
-    the places of the word in both before the words are compared. The table of templates is a
-    parameter, not data, and is small enough to broadcast.
+    one run of words, at most ``1 / threshold`` times as long as the template, wherever lines and
+    sentences end, or in one block, a line or sentence of any length. ``score`` is the largest share
+    contained, 1 with a base phrase, 0 without a label. A NULL text has no words and no labels,
+    which are empty strings; first and last word are NULL without a base phrase. Repeated rows get a
+    row each; a NULL ``doc_id`` is carried along; other columns are ignored; an empty table gives an
+    empty result.
+
+    Words are ordered by their frequency over all documents. A run or block that holds a template
+    well enough holds one of its ``size - need + 1`` rarest words, so only the surroundings of these
+    are looked at; they are joined with the templates by word, and pass a bound on their common
+    words before runs are compared. The table of templates is a parameter, not data, and is small
+    enough to broadcast.
     """
     spark = docs.sparkSession
     order = global_order(docs, _template_words(templates))
     place = {w: i for i, w in enumerate(order)}
-    prefixes, rows = set(), []
+    prefixes, rows, longest = set(), [], 0
     for number, (label, text) in enumerate(templates):
         words = sorted(set(text.split()), key=place.__getitem__)
         need = math.ceil(threshold * len(words) - 1e-9)
         prefix = words[: len(words) - need + 1]
         prefixes.update(prefix)
-        rows += [(w, i, number, label, words, need) for i, w in enumerate(prefix)]
-    index = spark.createDataFrame(
-        rows, "word string, i int, template int, label string, words array<string>, need int"
+        run = math.ceil(len(text.split()) / threshold)
+        longest = max(longest, run)
+        rows += [(w, i, number, label, words, need, run) for i, w in enumerate(prefix)]
+    index = F.broadcast(
+        spark.createDataFrame(
+            rows,
+            "word string, i int, template int, label string, words array<string>, need int, run int",
+        )
     )
     vocabulary = F.array(*map(F.lit, order))
     rare = F.array(*map(F.lit, sorted(prefixes)))
 
     low = F.col("__low")
     hint = "|".join(sorted(prefixes))
+    hinted = low.rlike(rf"(?<![a-z0-9])(?:{hint})(?![a-z0-9])")
     blocks = F.filter(
         F.transform(
-            F.when(low.rlike(rf"(?<![a-z0-9])(?:{hint})(?![a-z0-9])"), F.split(low, _BLOCK, -1)).otherwise(
-                F.array().cast("array<string>")
-            ),
+            F.when(hinted, F.split(low, _BLOCK, -1)).otherwise(F.array().cast("array<string>")),
             # The block's words that any template has, rarest first.
             lambda b: F.array_intersect(vocabulary, F.regexp_extract_all(b, F.lit(_WORD), 0)),
         ),
@@ -157,27 +314,16 @@ def licenses(
             F.regexp_count("__low", F.lit(_WORD)).cast("long").alias("n_words"),
             _base(low).alias("base"),
             blocks.alias("blocks"),
+            _surroundings(low, hinted, sorted(prefixes), longest).alias("near"),
         )
     )
-    pairs = (
-        found.select("uid", F.posexplode("blocks").alias("block", "held"))
-        .select("uid", "block", "held", F.posexplode("held").alias("j", "word"))
-        .where(F.col("word").isin(sorted(prefixes)))
-        .join(F.broadcast(index), "word")
-        .where(F.size("held") >= F.col("need"))
-        .where(
-            F.col("i") + 1 + F.least(F.size("words") - F.col("i"), F.size("held") - F.col("j")) - 1
-            >= F.col("need")
-        )
-        .withColumn("shared", F.size(F.array_intersect("held", "words")))
-        .where("shared >= need")
-    )
-    share = F.col("shared") / F.size("words")
-    best = pairs.groupBy("uid", "block").agg(
-        F.max(F.struct(share.alias("share"), F.size("words").alias("size"), "label")).alias("b")
-    )
-    matched = best.groupBy("uid").agg(
-        F.collect_set("b.label").alias("more"), F.max("b.share").alias("share")
+    in_runs = durable(_in_runs(found, index))
+    in_blocks = _in_blocks(found, index, prefixes, in_runs)
+    matched = (
+        in_runs.select("uid", "label", "share")
+        .unionByName(in_blocks)
+        .groupBy("uid")
+        .agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     )
     base_labels = F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"])))
     more = F.coalesce("more", F.array().cast("array<string>"))
