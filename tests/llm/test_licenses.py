@@ -1,4 +1,4 @@
-"""License statements that are wrapped over lines."""
+"""License statements that are wrapped over lines, and several of them in one line."""
 
 import re
 
@@ -46,3 +46,23 @@ def test_wrapped_notices(spark, mark):
     want = [best_run(t) for t in texts]
     assert [label for label, _ in want] == list(NOTICES) * 3
     assert labelled(spark, texts) == want
+
+
+def test_all_licenses_of_a_line(spark):
+    texts = {
+        "docs are licensed under cc by sa 4 0 and code is licensed under the gnu affero general "
+        "public license version 3": "agpl-3,cc-by-sa",
+        "this work is licensed under the gnu general public license version 2 or the gnu lesser "
+        "general public license version 3": "gpl-2,lgpl-3",
+        "licensed under cc by 4 0 and cc by sa 4 0": "cc-by,cc-by-sa",
+        "this work is licensed under the gnu general public license version 2": "gpl-2",
+        "licensed under cc by 4 0": "cc-by",
+        # Scattered over one line, farther than a run reaches.
+        "released " + "x " * 40 + "under " + "x " * 40 + "the mit " + "x " * 40 + "license": "mit",
+    }
+    assert [labels for labels, _ in labelled(spark, texts)] == list(texts.values())
+
+
+def test_one_line_with_thousands_of_statements(spark):
+    text = "licensed under cc by 4 0 " * 1_000 + "licensed under cc by nd 4 0"
+    assert labelled(spark, [text]) == [("cc-by,cc-by-nd", 1.0)]

@@ -182,12 +182,19 @@ def _in_runs(found: DataFrame, index: DataFrame) -> DataFrame:
     opens = F.when(F.col("a") <= F.col("reach"), 0).otherwise(1)
     match = F.struct("share", "size", "label", "a", "b", "lacks", "at", "held")
 
+    def keep(kept, m):
+        own = F.size(
+            F.filter(m["at"], lambda x: ~F.exists(kept, lambda k: x.between(k["a"], k["b"])))
+        )
+        stands = (own == F.size(m["at"])) | (own > m["lacks"])
+        return F.when(stands, F.concat(kept, F.array(m))).otherwise(kept)
+
     return (
         places.withColumn("reach", reach)
         .withColumn("group", F.sum(opens).over(before))
         .groupBy("uid", "group")
         .agg(F.sort_array(F.collect_list(match), asc=False).alias("m"))
-        .select("uid", F.explode(F.slice("m", 1, 1)).alias("m"))
+        .select("uid", F.explode(F.aggregate("m", F.slice("m", 1, 0), keep)).alias("m"))
         .select("uid", "m.label", "m.share", "m.held")
     )
 
@@ -249,7 +256,7 @@ def _in_blocks(
         .agg(F.first("held").alias("held"), F.sort_array(F.collect_set(match), asc=False).alias("m"))
         .join(runs, "uid", "left")
         .withColumn("within", within)
-        .select("uid", F.aggregate(F.slice("m", 1, 1), start, keep).alias("kept"))
+        .select("uid", F.aggregate("m", start, keep).alias("kept"))
         .select("uid", F.explode("kept.labels").alias("label"), F.col("kept.share").alias("share"))
     )
 
