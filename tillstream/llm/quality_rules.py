@@ -35,8 +35,8 @@ LOW_SIDE = {"chars_per_token", "entropy_excess"}
 HIGH_SIDE = {"chars_per_token", "byte_share"}
 #: Tokens from which on the entropy of a text counts fully.
 STEADY_TOKENS = 500
-#: Bands of a language or script need so many rows of at least ``MIN_WORDS`` words; others use
-#: those of all rows.
+#: Rows of at least ``MIN_WORDS`` words with which a band stands by itself. With fewer it is drawn
+#: towards that of its script; if the script has fewer as well, the band rejects nothing.
 LEAST_ROWS = 200
 #: Words whose pieces a worker remembers.
 REMEMBERED = 120_000
@@ -149,6 +149,7 @@ FIELDS = [
     StructField("byte_share", DoubleType()),
     StructField("token_entropy", DoubleType()),
     StructField("band", StringType()),
+    StructField("script", StringType()),
 ]
 MEASURES = ["chars_per_token", "byte_share", "entropy_excess"]
 
@@ -171,36 +172,33 @@ def measured(
         for text, lang, data, words in zip(texts, langs, encoded, split):
             counts = base_counts(data, words)
             code = (lang or "").lower()
-            band = code if re.fullmatch("[a-z]{2,3}", code) else f"script {script_of(text or '')}"
-            row = (len(words), *counts, *model.measure(counts[0], words, known), band)
+            script = script_of(text or "")
+            band = code if re.fullmatch("[a-z]{2,3}", code) else f"script {script}"
+            row = (len(words), *counts, *model.measure(counts[0], words, known), band, script)
             for column, value in zip(out, row):
                 column.append(value)
-        types = [pa.int64()] * 6 + [pa.float64()] * 3 + [pa.string()]
+        types = [pa.int64()] * 6 + [pa.float64()] * 3 + [pa.string()] * 2
         return [pa.array(c, t) for c, t in zip(out, types)]
 
     fields = [StructField(prefix + f.name, f.dataType) for f in FIELDS]
     return append(docs, list(keep), ["text", "lang"], measure, fields)
 
 
-def _each_and_whole(long: DataFrame, band: str, sums: list[Column]) -> list:
-    """The aggregates for each band of enough rows, and over all under a NULL band.
+def _bands_and_scripts(long: DataFrame, prefix: str, sums: list[Column]) -> tuple[list, dict]:
+    """The aggregates for each band, with the script of most of its rows, and those by script.
 
     Fewer than 20,000 rows, a band each. All are merged from partial ones, so a language with a
     third of the rows is as cheap as another.
     """
-    each = (
-        long.groupBy(F.col(band).alias("band"))
-        .agg(F.count("*").alias("rows"), *sums)
-        .where(F.col("rows") >= LEAST_ROWS)
-    )
-    whole = long.agg(F.count("*").alias("rows"), *sums).withColumn(
-        "band", F.lit(None).cast("string")
-    )
-    return each.unionByName(whole).collect()
+    band, script = F.col(prefix + "band").alias("band"), F.col(prefix + "script").alias("script")
+    rows = F.count("*").alias("rows")
+    main = F.mode(prefix + "script", True).alias("script")
+    bands = long.groupBy(band).agg(rows, main, *sums).collect()
+    return bands, {r["script"]: r for r in long.groupBy(script).agg(rows, *sums).collect()}
 
 
 def _by_band(found: dict[str | None, list[float | None]], band: str) -> Column:
-    """The numbers of a row's band, or of all rows for a band without its own."""
+    """The numbers of a row's band, or those under None for a band without rows of enough words."""
 
     def numbers(values) -> Column:
         return F.array(*(F.lit(v).cast("double") for v in values))
@@ -214,18 +212,26 @@ def with_excess(rows: DataFrame, long: DataFrame, prefix: str = "") -> tuple[Dat
     """Both with ``entropy_excess``: entropy beyond what the band has in texts as long.
 
     A long text has more entropy than a short one. What is usual is a parabola over the logarithm
-    of the number of tokens, fitted to the sums over all rows of the band.
+    of the number of tokens, fitted to the sums over all rows of the band. Rows that a band lacks
+    for ``LEAST_ROWS`` are made up by a part of its script's sums.
     """
     c = lambda name: F.col(prefix + name)
     x, y = F.log2(F.greatest(c("n_tokens"), F.lit(1))), c("token_entropy")
     names = [f"x{i}" for i in range(5)] + [f"y{i}" for i in range(3)]
     sums = [F.sum(F.pow(x, F.lit(i))).alias(f"x{i}") for i in range(5)]
     sums += [F.sum(F.pow(x, F.lit(i)) * y).alias(f"y{i}") for i in range(3)]
-    fitted = {}
-    for row in _each_and_whole(long, prefix + "band", sums):
-        v = [row[n] or 0.0 for n in names]
+
+    def parabola(v: np.ndarray) -> list[float]:
         matrix = np.array([[v[i + j] for j in range(3)] for i in range(3)])
-        fitted[row["band"]] = np.linalg.lstsq(matrix, np.array(v[5:]), rcond=None)[0].tolist()
+        return np.linalg.lstsq(matrix, v[5:], rcond=None)[0].tolist()
+
+    bands, scripts = _bands_and_scripts(long, prefix, sums)
+    totals = {s: np.array([r[n] for n in names]) for s, r in scripts.items()}
+    fitted: dict = {None: parabola(sum(totals.values(), np.zeros(len(names))))}
+    for row in bands:
+        own, script = np.array([row[n] for n in names]), row["script"]
+        part = min(1.0, max(0, LEAST_ROWS - row["rows"]) / scripts[script]["rows"])
+        fitted[row["band"]] = parabola(own + part * totals[script])
     k = _by_band(fitted, prefix + "band")
     # The fewer tokens, the wider the scatter: short texts are drawn towards the usual.
     steady = F.least(F.sqrt(c("n_tokens") / STEADY_TOKENS), F.lit(1.0))
@@ -235,17 +241,23 @@ def with_excess(rows: DataFrame, long: DataFrame, prefix: str = "") -> tuple[Dat
 
 
 def _limits(long: DataFrame, prefix: str) -> Column:
-    """Low and high bound of every measure, for a row's band."""
+    """Low and high bound of every measure, for a row's band; NULL where nothing is rejected.
+
+    The quartiles of a band of fewer than ``LEAST_ROWS`` rows are drawn towards its script's, the
+    more the fewer there are.
+    """
     at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     sums = [F.percentile_approx(prefix + m, at, 1000).alias(m) for m in MEASURES]
-    found = {}
-    for row in _each_and_whole(long, prefix + "band", sums):
+    found: dict = {None: [None, None] * len(MEASURES)}
+    bands, scripts = _bands_and_scripts(long, prefix, sums)
+    for row in bands:
+        script, own = scripts[row["script"]], min(1.0, row["rows"] / LEAST_ROWS)
+        if own < 1 and script["rows"] < LEAST_ROWS:
+            continue
         bounds: list[float | None] = []
         for m in MEASURES:
-            if row[m] is None:
-                bounds += [None, None]
-                continue
-            low, middle, high = row[m]
+            mixed = own * np.array(row[m]) + (1 - own) * np.array(script[m])
+            low, middle, high = mixed.tolist()
             least = LEAST_WIDTH[m] * (middle if m == "chars_per_token" else 1)
             bounds.append(middle - max(least, WIDTH * (middle - low)) if m in LOW_SIDE else None)
             bounds.append(middle + max(least, WIDTH * (high - middle)) if m in HIGH_SIDE else None)
@@ -280,11 +292,11 @@ def quality(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     Reads ``doc_id``, ``text`` and ``lang``; other columns are ignored. A NULL or empty text has
     no words, so it fails the base rules and all its measures are 0. A NULL language is judged by
-    script. A language with few rows is judged by the bands of all rows, and if there are no rows
-    of enough words at all, nothing is out of band. Repeated rows are each judged alike.
+    script. The band of a language with few rows is drawn towards that of its script; nothing is
+    out of band where the script has few rows too. Repeated rows are each judged alike.
     """
     rows = durable(measured(docs, vocabulary))
-    return judged(rows, rows)
+    return judged(rows, rows).drop("script")
 
 
 def kept_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
