@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -25,11 +26,12 @@ from pyspark.sql.types import (
 from tillstream.llm.common import Memo, append, durable, emit
 from tillstream.llm.labels import bounded, fit_logistic, held_out, learnable, sigmoid
 
-#: Labelled rows that terms are mined from and the classifier is fitted on, at most.
+#: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 40_000
-#: Mined terms, voters made of them, and how a term qualifies: toxic documents and their share.
+#: Mined terms with a weight each beside the one that all share; and voters made of these terms.
 TERMS, VOTERS = 600, 40
-LEAST_TOXIC, LEAST_SHARE = 8, 0.8
+#: How a term qualifies: share of toxic documents, and terms expected to do so by chance.
+LEAST_SHARE, BY_CHANCE = 0.8, 1.0
 #: Beginnings of words that are terms too.
 PREFIXES = (4, 5, 6, 7)
 #: Rounds of expectation-maximisation, and how far a learnt label is trusted.
@@ -70,10 +72,16 @@ def patterns_of(text: str, low: str, words: list[str]) -> list[int]:
     return [i for i, s in enumerate(shown) if s]
 
 
-def mine_terms(sample: DataFrame, most: int = TERMS) -> list[str]:
-    """Terms that mark toxic documents in a labelled sample, at most ``most``."""
+def mine_terms(labelled: DataFrame) -> list[str]:
+    """Terms that mark toxic documents among all labelled ones, the most telling first.
+
+    A term qualifies if so many toxic documents among those that show it are unlikely, by the
+    Chernoff bound, were it shown by toxic documents no more than by others. All terms are tested,
+    so the bound is for their number.
+    """
 
     def count(parts: Iterator[tuple[list, list]]) -> Iterator[list[pa.Array]]:
+        # The empty term counts the documents.
         toxic: Counter = Counter()
         clean: Counter = Counter()
 
@@ -92,7 +100,7 @@ def mine_terms(sample: DataFrame, most: int = TERMS) -> list[str]:
             for text, label in zip(texts, labels):
                 words = set(_WORD.findall((text or "").lower()))
                 (toxic if label else clean).update(
-                    set(chain.from_iterable(map(terms_of, words)))
+                    set(chain.from_iterable(map(terms_of, words))) | {""}
                 )
             if len(toxic) + len(clean) > HELD:
                 yield out()
@@ -105,21 +113,32 @@ def mine_terms(sample: DataFrame, most: int = TERMS) -> list[str]:
             StructField("clean", LongType()),
         ]
     )
-    rows = (
-        emit(sample, ["text", "label"], count, schema)
+    counts = durable(
+        emit(labelled, ["text", "label"], count, schema)
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= LEAST_TOXIC))
-        .where(F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean")))
-        .orderBy(F.desc(F.col("toxic") - 4 * F.col("clean")), "term")
-        .limit(most)
     )
-    return [r["term"] for r in rows.collect()]
+    whole = counts.where("term = ''").first()
+    if whole is None or not whole["toxic"]:
+        return []
+    usual = (whole["toxic"] + 0.5) / (whole["toxic"] + whole["clean"] + 1)
+    n = F.col("toxic") + F.col("clean")
+    evidence = F.col("toxic") * F.log(F.col("toxic") / n / usual) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - usual))
+    ).otherwise(0.0)
+    rows = (
+        counts.where("term != '' and toxic > 0")
+        .where((F.col("toxic") >= LEAST_SHARE * n) & (F.col("toxic") > usual * n))
+        .where(evidence >= math.log(counts.count() / BY_CHANCE))
+        .select("term", (F.col("toxic") - 4 * F.col("clean")).alias("lead"))
+        .collect()
+    )
+    return [r["term"] for r in sorted(rows, key=lambda r: (-r["lead"], r["term"]))]
 
 
 @dataclass
 class Lexicon:
-    """Terms with their numbers, and the voter of each term."""
+    """Terms with the numbers of their features, and the voter of each feature."""
 
     numbers: dict[str, int]
     voter: np.ndarray
@@ -127,20 +146,25 @@ class Lexicon:
 
     @staticmethod
     def of(terms: list[str]) -> Lexicon:
-        """Voters are families of terms that begin alike, the most common first; the rest share."""
-        numbers = {t: i for i, t in enumerate(terms)}
+        """Voters are families of terms that begin alike, the most common first; the rest share.
+
+        All terms share one more feature, with a voter; those beyond ``TERMS`` have that alone.
+        """
+        numbers = {t: min(i, TERMS) for i, t in enumerate(terms)}
         families: dict[str, int] = {}
         voter = [
-            families.setdefault(t[:4], min(len(families), VOTERS - 1)) for t in terms
+            families.setdefault(t[:4], min(len(families), VOTERS - 1)) for t in terms[:TERMS]
         ]
+        if terms:
+            voter.append(max(voter) + 1)
         return Lexicon(numbers, np.array(voter, dtype=int), max(voter, default=-1) + 1)
 
     def features(self) -> int:
-        return len(self.numbers) + len(PATTERNS)
+        return len(self.voter) + len(PATTERNS)
 
     def votes(self, shown: list[list[int]]) -> np.ndarray:
         """For each list of features which voters speak: families, then patterns."""
-        n = len(self.numbers)
+        n = len(self.voter)
         votes = np.zeros((len(shown), self.n_voters + len(PATTERNS)))
         for row, numbers in zip(votes, shown):
             for i in numbers:
@@ -151,11 +175,17 @@ class Lexicon:
 def with_features(docs: DataFrame, keep: list[str], lexicon: Lexicon) -> DataFrame:
     """Adds ``f``, the numbers of the terms and patterns that a text shows."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon.numbers)
+    n = len(lexicon.voter)
     memo: list[Memo] = []
 
     def learn(words: list[str]) -> dict[str, tuple[int, ...]]:
         numbers = shared.value
-        return {w: tuple(numbers[t] for t in terms_of(w) if t in numbers) for w in words}
+
+        def of(word: str) -> set[int]:
+            shown = {numbers[t] for t in terms_of(word) if t in numbers}
+            return shown | {n - 1} if shown else shown
+
+        return {w: tuple(of(w)) for w in words}
 
     def find(texts):
         if not memo:
@@ -164,7 +194,6 @@ def with_features(docs: DataFrame, keep: list[str], lexicon: Lexicon) -> DataFra
         words = [_WORD.findall(low) for low in lows]
         distinct = [set(w) for w in words]
         known = memo[0].of(set().union(*distinct))
-        n = len(shared.value)
         shown = [
             sorted(set(chain.from_iterable(map(known.__getitem__, d))))
             + [n + i for i in patterns_of(t or "", low, w)]
@@ -288,8 +317,8 @@ def toxicity(
     """``doc_id, held_out, score, predicted`` for each row of ``docs``.
 
     Labels are learnt only from ids that are not held out; neither they nor any column but the
-    text is an input of a score. Terms are mined from, and the classifier is fitted on, at most
-    ``sample_rows`` labelled rows; the label model is fitted over all rows that are not held out. A
+    text is an input of a score. Terms are mined from all labelled rows, the label model is fitted
+    over all rows that are not held out, the classifier on at most ``sample_rows`` labelled ones. A
     NULL or empty text shows no feature and gets the score of the intercept. Repeated rows get a
     row each; a NULL ``doc_id`` is carried along and has no label; without labels only the public
     lexicon and the patterns vote; other columns are ignored; an empty table gives an empty
@@ -297,7 +326,7 @@ def toxicity(
     """
     known = learnable(labels, label_column)
     chosen = F.broadcast(bounded(known, sample_rows))
-    lexicon = Lexicon.of(mine_terms(docs.select("doc_id", "text").join(chosen, "doc_id")))
+    lexicon = Lexicon.of(mine_terms(docs.select("doc_id", "text").join(known, "doc_id")))
     found = durable(with_features(docs, ["doc_id"], lexicon))
     rows = found.where(~held_out()).join(known, "doc_id", "left").select("doc_id", "f", "label")
     rows = durable(rows)
