@@ -26,17 +26,21 @@ BASE_KINDS = ["assign", "access", "hex"]
 
 #: A candidate token, and the shortest one that is tested.
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_PART = re.compile(r"[A-Za-z0-9+_-]{16,}")
 #: Encodings from the smallest alphabet on; a token is taken for the first that has its symbols.
 ENCODINGS = [
     ("digits", "0123456789"),
     ("hex_lower", "0123456789abcdef"),
     ("hex_upper", "0123456789ABCDEF"),
+    ("lower", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("alnum_lower", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("alnum_upper", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("mixed", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 ]
 _SETS = [(name, frozenset(a), np.full(128, -1)) for name, a in ENCODINGS]
 for (_, _, _codes), (_, _alphabet) in zip(_SETS, ENCODINGS):
@@ -102,21 +106,23 @@ def transitions(docs: DataFrame) -> np.ndarray:
     return np.log(inside / inside.sum(axis=1, keepdims=True))
 
 
-def infer_encoding(token: str) -> int | None:
-    """The first encoding with all symbols of the token; none for words, which have one class.
+def infer_encoding(token: str) -> int:
+    """The first encoding with all symbols of the token; the last one has those of all tokens.
 
-    Letters of one case, or a capital and then small letters, are how words are written. Digits
-    alone are numbers.
+    Words and numbers have one too: it is for the evidence to tell them from random ones.
     """
     symbols = set(token)
-    if token.isdigit() or token.isalpha() and (
-        token.islower() or token.isupper() or token[1:].islower()
-    ):
-        return None
-    for i, (_, alphabet, _) in enumerate(_SETS):
-        if symbols <= alphabet:
-            return i
-    return None
+    return next(i for i, (_, alphabet, _) in enumerate(_SETS) if symbols <= alphabet)
+
+
+def tokens_of(text: str) -> Iterator[tuple[int, str]]:
+    """Place and token; one that only the mixed encoding has is parted at slashes, as a path is."""
+    for match in TOKEN.finditer(text):
+        if infer_encoding(match[0]) < len(_SETS) - 1:
+            yield match.start(), match[0]
+            continue
+        for part in _PART.finditer(match[0]):
+            yield match.start() + part.start(), part[0]
 
 
 def battery(token: str, encoding: int) -> tuple[float, float, float]:
@@ -155,11 +161,8 @@ def candidates(text: str, usual: np.ndarray) -> list[dict]:
     ratio is at most 1 on average, whatever the length: it is an e-value.
     """
     found = []
-    for match in TOKEN.finditer(text):
-        token = match[0]
+    for start, token in tokens_of(text):
         encoding = infer_encoding(token)
-        if encoding is None:
-            continue
         code = _CODE[np.frombuffer(token.encode(), np.uint8)]
         ordinary = usual[np.concatenate(([_SIZE - 1], code[:-1])), code].sum()
         evidence = -len(token) * math.log(len(ENCODINGS[encoding][1])) - ordinary
@@ -168,8 +171,8 @@ def candidates(text: str, usual: np.ndarray) -> list[dict]:
             group = sum(len(token) >= n for n in LENGTHS) - 1
             found.append(
                 {
-                    "start": match.start(),
-                    "end": match.end(),
+                    "start": start,
+                    "end": start + len(token),
                     "encoding": encoding,
                     "group": group,
                     "level": level,
