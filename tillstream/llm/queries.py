@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import (
+    conversations,
     decontamination,
+    fill_in_middle,
     licenses,
     packing,
     pii,
@@ -17,11 +19,13 @@ from tillstream.llm import (
     quality_rules,
     secrets,
     simhash,
+    substrings,
     token_counts,
     toxicity,
 )
 from tillstream.llm.common import table
 from tillstream.llm.oracles import DECONTAMINATION, LICENSES
+from tillstream.llm.oracles_texts import CONVERSATIONS, MIDDLES, SUBSTRINGS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +33,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {
     "op6_license_scans": LICENSES,
     "op7_benchmark_decontamination": DECONTAMINATION,
+    "op11_substring_dedup": SUBSTRINGS,
+    "op12_fill_in_middle": MIDDLES,
+    "op13_conversation_repair": CONVERSATIONS,
 }
 
 
@@ -96,3 +103,24 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
+    whole = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(whole, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")))
