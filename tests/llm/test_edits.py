@@ -1,0 +1,367 @@
+"""Repeated passages, fill-in-middle and conversations against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.cases import SCHEMA, all_null, no_documents, odd_documents
+from tests.llm.plain import digest
+from tillstream.llm import conversations, fill_in_middle, substrings
+from tillstream.llm.oracles_texts import CONVERSATIONS, MIDDLES, SUBSTRINGS
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_text(rows):
+    return sorted(rows, key=repr)
+
+
+def values(rows):
+    return by_text(tuple(r) for r in rows.collect())
+
+
+def of_sql(sql, rows, table="documents"):
+    connection = duckdb.connect()
+    connection.register(table, rows.toArrow())
+    cursor = connection.execute(sql)
+    return [c[0] for c in cursor.description], by_text(cursor.fetchall())
+
+
+# Repeated passages
+
+
+def plain_removal(rows):
+    """Ids, words, words removed and the hash, by all windows of all rows."""
+    words = [WORD.findall(t or "") for _, t in rows]
+    order = [(n is None, n or 0) for n, _ in rows]
+    first = {}
+    for place, w in zip(order, words):
+        for i in range(len(w) - 19):
+            key = tuple(w[i : i + 20])
+            first[key] = min(first.get(key, (place, i)), (place, i))
+    out = []
+    for (n, _), place, w in zip(rows, order, words):
+        gone = set()
+        for i in range(len(w) - 19):
+            if first[tuple(w[i : i + 20])] != (place, i):
+                gone |= set(range(i, i + 20))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((n, len(w), len(gone), digest(kept)))
+    return by_text(out)
+
+
+def passages(seed, n=120):
+    """Texts of passages that return whole, cut short, or with a word changed."""
+    rng = random.Random(seed)
+    pool = [[rng.choice("abcdefghij") + str(rng.randrange(90)) for _ in range(rng.randrange(8, 70))] for _ in range(25)]
+    texts = []
+    for _ in range(n):
+        words = []
+        for _ in range(rng.randrange(0, 6)):
+            part = list(rng.choice(pool))
+            if rng.random() < 0.4 and part:
+                part[rng.randrange(len(part))] = rng.choice("xyz")
+            if rng.random() < 0.3:
+                part = part[rng.randrange(len(part)) :]
+            words += part
+        texts.append(rng.choice([" ", "\n", "\t \r"]).join(words))
+    texts += ["7 " * 300, "7 " * 45, "a b " * 60, " ".join(pool[0] * 3), "", None]
+    return texts
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_passages_that_repeat(spark, monkeypatch, spread):
+    if spread:
+        # All minimizers are written window by window.
+        for name, value in (("SAMPLED", 1), ("COMMON_LEAST", 1), ("COMMON_SHARE", 0)):
+            monkeypatch.setattr(substrings, name, value)
+    texts = passages(4)
+    rows = [(i * 7 % len(texts), t) for i, t in enumerate(texts)]
+    rows += [rows[3], rows[3], (None, texts[5]), (None, texts[5]), (None, texts[9]), (rows[8][0], texts[11])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = substrings.without_repeats(docs).drop("kept")
+    want = plain_removal(rows)
+    assert values(got) == want
+    names, expected = of_sql(SUBSTRINGS, docs)
+    assert names == got.columns and expected == want
+
+
+def test_spans_name_their_source(spark):
+    texts = [t for t in passages(5, 60) if t]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    words = dict(enumerate(map(WORD.findall, texts)))
+    spans = substrings.repeated_spans(substrings.with_rows(docs)).collect()
+    assert len(spans) > 20
+    for s in spans:
+        size = s["count"] + 19
+        here = words[s["doc_id"]][s["start"] : s["start"] + size]
+        assert len(here) == size
+        assert here == words[s["source"]][s["source_start"] : s["source_start"] + size]
+        assert (s["source"], s["source_start"]) < (s["doc_id"], s["start"])
+
+
+def test_removal_of_odd_documents(spark):
+    docs, rows = odd_documents(spark)
+    clash = docs.withColumn("row", F.lit(1)).withColumn("path", F.lit("p")).withColumn("starts", F.lit("s"))
+    want = plain_removal([r[:2] for r in rows])
+    assert values(substrings.without_repeats(clash).drop("kept")) == want
+    assert substrings.without_repeats(no_documents(spark)).count() == 0
+    assert values(substrings.without_repeats(all_null(spark)).drop("kept")) == [(None, 0, 0, digest(""))] * 2
+
+
+def test_least_of_a_window():
+    rng = np.random.default_rng(1)
+    numbers = rng.integers(0, 5, 200).astype(np.uint64)
+    got = substrings._least(numbers, 13)
+    assert got.tolist() == [i + int(numbers[i : i + 13].argmin()) for i in range(188)]
+
+
+# Fill-in-middle
+
+
+def plain_middle(doc_id, text):
+    n = len(text)
+    h = hashlib.sha256(("1:" + ("" if doc_id is None else str(doc_id))).encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    if not text or re.search("<[PSM]>", text) or h3 % 100 >= 90:
+        return doc_id, n, "plain", None, None, digest(text), digest(text)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = text[:a], text[a:b], text[b:]
+    form = "spm" if h4 % 100 < 20 else "psm"
+    out = f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+    return doc_id, n, form, a, b - a, digest(out), digest(text)
+
+
+def middles(docs):
+    whole = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return fill_in_middle.fill_in_middle(docs).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256"),
+    )
+
+
+def test_middles(spark):
+    docs, rows = odd_documents(spark, n=150)
+    more = ["a<P>b", "<S", "<<S>", "x<M>", "S><P", "👍🏽é" * 30, "é" * 40_000 + "x" * 300 + "日本" * 9_000]
+    rows = rows + [(1000 + i, t, *[None] * 6) for i, t in enumerate(more * 9)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("output", F.lit("o")).withColumn("n", F.lit(1))
+    want = by_text(plain_middle(r[0], r[1] or "") for r in rows)
+    assert values(middles(docs)) == want
+    assert {w[2] for w in want} == {"plain", "psm", "spm"}
+    names, expected = of_sql(MIDDLES, docs.select("doc_id", "text"))
+    assert names == middles(docs).columns and expected == want
+    assert middles(no_documents(spark)).count() == 0
+    assert values(middles(all_null(spark))) == [plain_middle(None, "")] * 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=400), st.integers(0, 20))
+def test_rank_index(text, bound):
+    offsets = fill_in_middle.boundaries(text.encode("utf-8", "replace"))
+    index = fill_in_middle.RankIndex.fit(offsets, bound)
+    assert [index.offset(i) for i in range(len(offsets))] == offsets.tolist()
+    assert np.abs(index.residual.astype(int)).max() <= bound
+    assert len(index.first) <= max(1, len(offsets))
+
+
+def test_rank_index_of_mixed_text_is_small():
+    offsets = fill_in_middle.boundaries(("a" * 5_000 + "日" * 5_000 + "é" * 5_000).encode())
+    index = fill_in_middle.RankIndex.fit(offsets)
+    assert len(index.first) < 40 and index.offset(12_000) == offsets[12_000]
+
+
+# Conversations
+
+
+def legal(initials):
+    return re.fullmatch("(s?(ua)+)?", initials) is not None
+
+
+def plain_repair(rows):
+    """Least cost, least letters and the hash, by costs and letters of whole endings."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        body = text.rstrip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not body else "duplicate" if (role, text) in seen else (
+            "truncated" if body[-1] not in ".!?" else ""
+        )
+        seen.add((role, text))
+        faults.append(fault)
+    follow = {"": "u", "s": "u", "u": "a", "a": "u"}
+    best = {(len(rows), s): (c, "I" * (c // 3)) for s, c in (("", 0), ("s", 6), ("u", 3), ("a", 0))}
+    for i in range(len(rows) - 1, -1, -1):
+        role = rows[i][1][:1]
+        options = {}
+        for s in follow:
+            found = [(4 + best[i + 1, s][0], "D" + best[i + 1, s][1])]
+            if faults[i] not in ("blank", "duplicate"):
+                extra = 3 * (faults[i] == "truncated")
+                if role == follow[s] or (role == "s" and s == ""):
+                    c, a = best[i + 1, role]
+                    found.append((c + extra, "K" + a))
+                c, a = best[i + 1, follow[s]]
+                found.append((3 + c + extra, "R" + a))
+            options[s] = min(found)
+        for s in follow:
+            one, two = follow[s], follow[follow[s]]
+            c1, c2 = options[one], options[two]
+            best[i, s] = min(options[s], (3 + c1[0], "I" + c1[1]), (6 + c2[0], "II" + c2[1]))
+    cost, audit = best[0, ""]
+    names = {"u": "user", "a": "assistant"}
+    state, i, out = "", 0, []
+    for letter in audit:
+        if letter == "I":
+            state = follow[state]
+            out.append(names[state] + ":")
+            continue
+        _, role, text = rows[i]
+        i += 1
+        if letter == "K":
+            state = role[:1]
+            out.append(f"{role}:{text}")
+        elif letter == "R":
+            state = follow[state]
+            out.append(f"{names[state]}:{text}")
+    initials = [r[1][:1] for r in rows]
+    turns = [r[0] for r in rows if r[0] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, digest("\n".join(out)))
+
+
+def plain_damage(rows):
+    out = {}
+    for conv, turn, role, text in rows:
+        kept = out.setdefault(conv, [])
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        kept += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def tie(row):
+    turn, role, text = row
+    return (turn is not None, turn or 0, hashlib.md5(f"{len(role)}:{role}:{text}".encode()).digest())
+
+
+def talks(seed, n=150):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No!", "Why?", "so", "", " \n", "Well... ", "é.\n", None, "a:b.", "Yes.\x0b"]
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", None, "", "u", "User"]
+    rows = []
+    for conv in range(n):
+        for turn in range(rng.randrange(0, 9)):
+            good = rng.random() < 0.6
+            role = ("user", "assistant")[turn % 2] if good else rng.choice(roles)
+            text = f"{conv} {turn} said." if good else rng.choice(texts)
+            rows.append((None if conv == 3 else conv, None if rng.random() < 0.05 else turn + rng.randrange(2), role, text))
+    return rows + rows[:5]
+
+
+CONV = "conv_id long, turn long, role string, text string"
+
+
+def test_conversations(spark):
+    rows = talks(8)
+    table = spark.createDataFrame(rows, CONV).withColumn("same", F.lit("x")).withColumn("cost", F.lit(1))
+    want = by_text((c, *plain_repair(sorted(r, key=tie))) for c, r in plain_damage(rows).items())
+    got = conversations.repair(conversations.damaged(table.repartition(5)))
+    assert values(got) == want
+    names, expected = of_sql(CONVERSATIONS, table.select("conv_id", "turn", "role", "text"), "conversations")
+    assert names == got.columns and expected == want
+
+
+def test_repaired_turns_are_legal(spark):
+    rows = talks(9, 60)
+    damaged = conversations.damaged(spark.createDataFrame(rows, CONV))
+    turns = {}
+    for r in sorted(conversations.repaired(damaged).collect(), key=lambda r: r["position"]):
+        turns.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
+    for r in conversations.repair(damaged).collect():
+        found = turns.get(r["conv_id"], [])
+        assert legal("".join(t[0] for t in found))
+        assert digest("\n".join(found)) == r["repaired_sha256"]
+
+
+def test_conversations_without_rows(spark):
+    table = spark.createDataFrame([], CONV)
+    assert conversations.repair(conversations.damaged(table)).count() == 0
+    dropped = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    table = spark.createDataFrame([(dropped, 0, "user", "Hi."), (dropped, None, None, None)], CONV)
+    got = values(conversations.repair(conversations.damaged(table.limit(1))))
+    assert got == [(dropped, 0, 0, 0, 0, 0, 0, "", digest(""))]
+    null = spark.createDataFrame([(None, None, None, None)], CONV)
+    want = [(c, *plain_repair(r)) for c, r in plain_damage([(None,) * 4]).items()]
+    assert values(conversations.repair(conversations.damaged(null))) == want
+
+
+def test_least_edits_by_enumeration():
+    """All edits of short conversations, whatever they cost."""
+    symbols = range(9)
+    for n in (1, 2, 3):
+        for row in product(symbols, repeat=n):
+            if n == 3 and hash(row) % 7:
+                continue
+            runs = conversations.Runs()
+            for s in row:
+                runs.add(s)
+            found = []
+            for inserts in product(range(4), repeat=n + 1):
+                for letters in product("DKR", repeat=n):
+                    cost, initials, audit = 3 * sum(inserts), "", ""
+                    for i in range(n + 1):
+                        for _ in range(inserts[i]):
+                            initials += "a" if initials.endswith("u") else "u"
+                            audit += "I"
+                        if i == n:
+                            break
+                        letter, (role, cut) = letters[i], divmod(row[i] - 1, 2)
+                        audit += letter
+                        cost += 4 if letter == "D" else 3 * cut + 3 * (letter == "R")
+                        if row[i] == conversations.GONE and letter != "D":
+                            cost = 10**6
+                        elif letter == "K":
+                            initials += "suax"[role]
+                        elif letter == "R":
+                            initials += "a" if initials.endswith("u") else "u"
+                    if cost < 10**6 and legal(initials):
+                        found.append((cost, audit))
+            assert runs.solve() == min(found), row
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 8), st.integers(1, 300)), max_size=8))
+def test_runs_as_single_rows(pieces):
+    runs = conversations.Runs()
+    for symbol, n in pieces:
+        for _ in range(n):
+            runs.add(symbol)
+    cost, audit = runs.solve()
+    ends = conversations.END
+    for symbol, n in reversed(pieces):
+        for _ in range(n):
+            ends = conversations._apply(conversations._power(symbol, 0), ends)
+    assert cost == ends[conversations.NOTHING]
+    assert len(audit) - audit.count("I") == sum(n for _, n in pieces)
+
+
+def test_long_run():
+    runs = conversations.Runs()
+    for _ in range(30_000):
+        runs.add(1 + 2 * 1)  # user after user
+    cost, audit = runs.solve()
+    # Every second user becomes an assistant.
+    assert cost == 3 * 15_000 and audit == "KR" * 15_000
