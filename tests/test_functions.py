@@ -1,9 +1,10 @@
 import math
+import random
 from datetime import datetime
 from fractions import Fraction
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -40,12 +41,22 @@ cents = st.integers(-10**12, 10**12)
 
 @few
 @given(st.lists(cents, min_size=1, max_size=60))
+@example([1, 6921245604])
+@example([-1, -6921245604, 10**14 - 1, 1])
 def test_money_sum_is_exact(spark, amounts):
     rows = spark.createDataFrame([(a / 100,) for a in amounts], "x double")
     (got,) = rows.repartition(5).agg(money_sum(F.col("x"))).first()
     assert got == float(Fraction(sum(amounts), 100))
 
 
+def test_money_sum_of_many_cents_at_once(spark):
+    rng = random.Random(11)
+    groups = [[rng.randrange(-(10 ** rng.randrange(1, 15)), 10 ** rng.randrange(1, 15)) for _ in range(rng.randrange(1, 30))] for _ in range(2_000)]
+    rows = spark.createDataFrame([(g, a / 100) for g, amounts in enumerate(groups) for a in amounts], "g int, x double")
+    got = {r[0]: r[1] for r in rows.repartition(5).groupBy("g").agg(money_sum(F.col("x"))).collect()}
+    assert all(got[g] == float(Fraction(sum(amounts), 100)) for g, amounts in enumerate(groups))
+
+
 def test_money_sum_over_many_partitions_of_large_amounts(spark):
     # A sum of doubles, in any order, is off by more than a cent here.
     rows = spark.range(0, 300_000, 1, 32).select((F.col("id") + 1e12 + 0.01).alias("x"))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 EXACT_BELOW = float(1 << 42)
 _BILLION = 1_000_000_000
 _WHOLE_BITS, _FRACTION_BITS = 21, 15
+# A double carries any 15 decimal digits. Billionths that are left of them, by size of the amount.
+_DIGITS = 15
+_STEPS = {10.0**n: 10.0 ** (n + 9 - _DIGITS) for n in range(_DIGITS - 8, 14)}
 
 
 def is_finite(amount: Column) -> Column:
@@ -16,9 +19,25 @@ def is_finite(amount: Column) -> Column:
     return F.coalesce(F.abs(amount) < float("inf"), F.lit(False))
 
 
+def _billionths(value: Column, whole: Column) -> Column:
+    """The fraction of an amount in billionths, as the decimal number that was meant.
+
+    A double is near a decimal number, and its fraction has more digits than that number. Of a
+    large amount only those billionths count that the digits reach.
+    """
+    size, fraction = F.abs(value), (value - whole) * _BILLION
+    rounded = F.when(size < min(_STEPS) / 10, F.rint(fraction))
+    for below, step in _STEPS.items():
+        rounded = rounded.when(size < below, F.rint(fraction / step) * step)
+    return rounded.cast("bigint")
+
+
 def exact_total(amount: Column) -> Column:
     """Aggregate: the sum of ``amount`` as a struct ``exact DECIMAL(38,9), other DOUBLE``.
 
+    Amounts are the decimal numbers of at most nine places and 15 digits that are nearest, so sums
+    of cents are exact.
+
     A sum of doubles depends on the order in which partitions arrive, so a retried task can
     change it, and over many rows the error reaches whole cents. Sums of long integers are
     exact, and as fast. The whole part and the billionths of each amount are each split into
@@ -31,7 +50,7 @@ def exact_total(amount: Column) -> Column:
     small = F.abs(amount) < EXACT_BELOW
     value = F.when(small, amount)
     whole = F.floor(value)
-    fraction = F.rint((value - whole) * _BILLION).cast("bigint")
+    fraction = _billionths(value, whole)
 
     def summed(part: Column, bits: int) -> Column:
         high = F.sum(F.shiftright(part, bits)).cast("decimal(20,0)")
