@@ -37,6 +37,9 @@ def odd_texts(seed: int = 7, n: int = 60) -> list[str]:
         "Released under the MIT License. under the mit license under the MIT license",
         "Licensed under the Apache License, Version 2.0. cc-by-nc CC BY NC cc by  nc 4.0",
         "This work is licensed under the GNU General Public License, version 3.",
+        # Long matches, and many of them.
+        "x a@" + "b." * 5_000 + "c y", "4" * 20_000, "+1" + "2" * 20_000, "1." * 10_000, "_" * 9_000 + "@",
+        "a@b.cc +1 (654) 555-4136 654 555 4136 " * 700, "token=abcdefgh " * 1_500, "Mr. Al Bo " * 1_500,
     ]
 
 

@@ -4,6 +4,7 @@ import base64
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import plain
 from tests.llm.cases import all_null, no_documents, odd_documents
@@ -94,6 +95,45 @@ def test_masking_leaves_all_else(spark):
     assert pii.masked_documents(one).first()["text"] == "Write to <EMAIL> or <PHONE> now"
 
 
+def test_names_in_any_letters_and_columns_of_any_name(spark):
+    text = "Dr. Müller and Anna Martin, phone (654) 555-4136 now"
+    docs = spark.createDataFrame([(1, text, "t", "r", 0)], "doc_id long, text string, __text string, __row string, __base int")
+    masked = pii.masked_documents(docs)
+    assert masked.dtypes == docs.dtypes
+    assert tuple(masked.first()) == (1, "<PERSON> and <PERSON>, phone <LOCAL_PHONE> now", "t", "r", 0)
+
+
+def test_running_sums_and_cuts(spark):
+    rng = random.Random(4)
+    lists = [[rng.randrange(9) for _ in range(n)] for n in (0, 1, 63, 64, 65, 128, 1_000, 5_000)]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<int>")
+    before = pii._before(F.col("x"), lambda a, b: a + b)
+    most = pii._before(F.col("x"), lambda a, b: F.greatest(a, b))
+    for i, sums, largest in rows.select("i", before, most).collect():
+        assert sums == [sum(lists[i][:k]) for k in range(len(lists[i]))]
+        assert largest == [max([0, *lists[i][:k]]) for k in range(len(lists[i]))]
+    text = "".join(rng.choice("aé日👍\n ") for _ in range(300))
+    cuts = [sorted(rng.choices([*range(301), 64, 128], k=2)) for _ in range(200)]
+    rows = spark.createDataFrame([(text, a, b) for a, b in cuts], "t string, a int, b int")
+    got = rows.select("a", "b", pii._cut(pii._chunks(F.col("t")), F.col("a"), F.col("b"))).collect()
+    assert all(r[2] == text[r[0] : r[1]] for r in got)
+
+
+def test_spans_apart_from_others(spark):
+    rng = random.Random(9)
+
+    def some(n):
+        return [(a, a + rng.randrange(1, 6)) for a in (rng.randrange(4_000) for _ in range(n))]
+
+    pairs = [(some(a), some(b)) for a, b in ((0, 3), (3, 0), (40, 20), (300, 600), (20, 256), (20, 512))]
+    kind = "array<struct<start:int,end:int>>"
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], f"i int, s {kind}, o {kind}")
+    for i, found in rows.select("i", pii._apart(F.col("s"), F.col("o"))).collect():
+        spans, others = pairs[i]
+        want = [s for s in spans if not any(s[0] < o[1] and o[0] < s[1] for o in others)]
+        assert [tuple(s) for s in found] == want
+
+
 _FOUND = {}
 
 

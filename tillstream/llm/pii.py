@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
@@ -15,7 +16,7 @@ from tillstream.llm.common import durable, span_text
 #: says in front where a match can begin, so that no start is tried within a run.
 BASE = {
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     # [0-9]([\x20-]?[0-9])+ of 13 to 19 digits
@@ -23,23 +24,28 @@ BASE = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: First names, in lower case.
+NAMES = (
+    "james|mary|john|patricia|robert|jennifer|michael|linda|david|elizabeth|william|barbara|"
+    "richard|susan|joseph|jessica|thomas|sarah|charles|karen|anna|maria|peter|paul|laura|"
+    "hans|klaus|marie|pierre|jean|carlos|juan|jose|luis|carmen|sofia|martin|julia"
+)
 #: Further kinds that the labelers decide on.
 MORE = {
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "local_phone": r"(?<![0-9+().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
-    "person": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr)\.?\x20[A-Z][a-z]+(?:\x20[A-Z][a-z]+)?(?![A-Za-z])",
+    # A title or a name of the gazetteer, and a capitalised word in any letters.
+    "person": (
+        r"(?<!\p{L})(?:(?:Mr|Mrs|Ms|Dr)\.?\x20\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++)?"
+        rf"|(?:{NAMES.title()})\x20\p{{Lu}}\p{{Ll}}++)(?!\p{{L}})"
+    ),
 }
 KINDS = [*BASE, *MORE]
 
 #: Code points before a span in which context labelers look.
 CONTEXT = 40
 #: Gazetteers and context words, in lower case.
-NAMES = (
-    "james|mary|john|patricia|robert|jennifer|michael|linda|david|elizabeth|william|barbara|"
-    "richard|susan|joseph|jessica|thomas|sarah|charles|karen|anna|maria|peter|paul|laura|"
-    "hans|klaus|marie|pierre|jean|carlos|juan|jose|luis|carmen|sofia|martin|julia"
-)
 DOMAINS = "com|org|net|edu|gov|io|info|de|fr|es|uk|eu|ch|at|it|nl"
 COUNTRIES = "AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE"
 CUES = (
@@ -50,34 +56,136 @@ COUNTER_CUES = "version|isbn|issn|order|invoice|serial|page|figure|section|part|
 #: Prior counts of a labeler's votes, for and against, on true and on false spans.
 RIGHT, WRONG = 8.0, 2.0
 EM_ROUNDS, FIT_ROUNDS = 50, 200
+#: Elements of a running sum that are added up one after the other, spans that are looked through
+#: together, and code points of a chunk.
+BLOCK, TOGETHER, CHUNK = 64, 256, 64
 LABELERS = ["shape", "gazetteer", "cue", "counter_cue", "edges"]
 ABSTAIN, FOR, AGAINST = 0, 1, 2
 
 _SPAN = "array<struct<kind:int,start:int,end:int,found:string>>"
 
 
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, with the value worked out once even if ``of`` uses it for many elements."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def _few_before(values: Column, step: Callable[[Column, Column], Column], first: Column) -> Column:
+    """For each of some integers what ``step`` makes of all before it, from ``first`` on."""
+    nothing = F.array().cast("array<int>")
+    return F.aggregate(
+        values,
+        F.struct(first.alias("at"), nothing.alias("out")),
+        lambda s, x: F.struct(
+            step(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")
+        ),
+        lambda s: s["out"],
+    )
+
+
+def _before(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each of many integers what ``step``, a sum or a maximum, makes of all before it and 0.
+
+    An array grows by copying, so it is built in blocks; that is linear in all but very long ones.
+    """
+    zero = F.lit(0)
+
+    def blocks(values: Column) -> Column:
+        parts = F.transform(
+            F.sequence(zero, ((F.size(values) - 1) / BLOCK).cast("int")),
+            lambda k: F.slice(values, k * BLOCK + 1, F.lit(BLOCK)),
+        )
+        return _bound(
+            parts,
+            lambda parts: F.flatten(
+                F.zip_with(
+                    parts,
+                    _few_before(F.transform(parts, lambda p: F.aggregate(p, zero, step)), step, zero),
+                    lambda part, first: _few_before(part, step, first),
+                )
+            ),
+        )
+
+    return F.when(F.size(values) > 0, _bound(values, blocks)).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(text: Column, matches: Column, pattern: str, kind: Column) -> Column:
     """Where the matches stand, in code points.
 
     What the same pattern splits the text into gives the distances between them.
     """
-    between = F.split(text, pattern, -1)
-
-    def step(state: Column, i: Column) -> Column:
-        found = F.get(matches, i)
-        start = state["at"] + F.length(F.get(between, i))
-        end = start + F.length(found)
-        span = F.struct(
-            kind.alias("kind"), start.alias("start"), end.alias("end"), found.alias("found")
+
+    def placed(m: Column) -> Column:
+        both = F.arrays_zip(m["gap"], m["found"])
+        ends = _before(
+            F.transform(both, lambda b: b["gap"] + F.length(b["found"])), lambda x, y: x + y
+        )
+        return F.zip_with(
+            both,
+            ends,
+            lambda b, at: F.struct(
+                kind.alias("kind"),
+                (at + b["gap"]).alias("start"),
+                (at + b["gap"] + F.length(b["found"])).alias("end"),
+                b["found"].alias("found"),
+            ),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    pieces = F.struct(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), matches.alias("found"))
     nothing = F.array().cast(_SPAN)
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
-    indices = F.sequence(F.lit(0), F.size(matches) - 1)
-    return F.when(
-        F.size(matches) > 0, F.aggregate(indices, start, step, lambda s: s["spans"])
-    ).otherwise(nothing)
+    return F.when(F.size(matches) > 0, _bound(pieces, placed)).otherwise(nothing)
+
+
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), 0)
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` of a text in chunks, without passing over others."""
+    first, last = (start / CHUNK).cast("int"), (end / CHUNK).cast("int")
+
+    def chunk(i: Column) -> Column:
+        return F.coalesce(F.get(chunks, i), F.lit(""))
+
+    head = F.substring(chunk(first), start - first * CHUNK + 1, F.least(end - start, F.lit(CHUNK)))
+    between = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    tail = F.substring(chunk(last), F.lit(1), end - last * CHUNK)
+    return F.when(first == last, head).otherwise(F.concat(head, between, tail))
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others, which are looked through by blocks."""
+
+    def crosses(s: Column, b: Column) -> Column:
+        return (s["start"] < b["end"]) & (b["start"] < s["end"])
+
+    def blocks(others: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), (F.size(others) / TOGETHER).cast("int")),
+            lambda k: _bound(
+                F.slice(others, k * TOGETHER + 1, F.lit(TOGETHER)),
+                lambda part: F.struct(
+                    F.array_min(F.transform(part, lambda b: b["start"])).alias("start"),
+                    F.array_max(F.transform(part, lambda b: b["end"])).alias("end"),
+                    part.alias("part"),
+                ),
+            ),
+        )
+
+    def free(blocks: Column) -> Column:
+        return F.filter(
+            spans,
+            lambda s: ~F.exists(
+                blocks,
+                lambda k: F.when(crosses(s, k), F.exists(k["part"], lambda b: crosses(s, b))).otherwise(F.lit(False)),
+            ),
+        )
+
+    by_start = F.array_sort(
+        F.transform(others, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+    )
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), _bound(_bound(by_start, blocks), free)).otherwise(spans)
 
 
 def _digits(found: Column) -> Column:
@@ -123,7 +231,7 @@ def _with_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
         "national_id": t.rlike("[0-9]-[0-9]"),
         "iban": t.rlike("[A-Z]{2}[0-9]{2}"),
         "local_phone": t.rlike("[0-9]{3}[ .-][0-9]{4}"),
-        "person": t.rlike(r"(?:Mr|Mrs|Ms|Dr)\.? "),
+        "person": t.rlike(rf"(?<!\p{{L}})(?:Mr|Mrs|Ms|Dr|{NAMES.title()})\.? "),
     }
     patterns = {**BASE, **MORE}
     none = F.array().cast("array<string>")
@@ -146,24 +254,19 @@ def _with_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.concat(*base).alias("__base"),
         F.concat(*(spans[k] for k in MORE)).alias("__found"),
     )
-    apart = F.filter(
-        "__found",
-        lambda s: ~F.exists(
-            "__base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])
-        ),
-    )
-    return rows.withColumn("__more", apart).drop("__found")
+    return rows.withColumn("__more", _apart(F.col("__found"), F.col("__base"))).drop("__found")
 
 
-def _votes(text: Column, span: Column) -> Column:
+def _votes(chunks: Column, span: Column) -> Column:
     """The vote of each labeler on a span: 0 abstains, 1 is for, 2 is against."""
     found, kind = span["found"], span["kind"]
-    at = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    before = F.lower(F.substring(text, at + 1, span["start"] - at))
+    before = F.lower(_cut(chunks, F.greatest(span["start"] - CONTEXT, F.lit(0)), span["start"]))
     edge = F.concat(
-        F.when(span["start"] > 0, F.substring(text, span["start"], F.lit(1))).otherwise(F.lit(" ")),
+        F.when(
+            span["start"] > 0, _cut(chunks, F.greatest(span["start"] - 1, F.lit(0)), span["start"])
+        ).otherwise(F.lit(" ")),
         F.lit("\n"),
-        F.substring(text, span["end"] + 1, F.lit(1)),
+        _cut(chunks, span["end"], span["end"] + 1),
     )
     number = {k: i for i, k in enumerate(KINDS)}
 
@@ -196,17 +299,23 @@ def _votes(text: Column, span: Column) -> Column:
 
 def _voted(rows: DataFrame) -> DataFrame:
     """Adds ``__voted``: every span with its kind, place and votes."""
-    return rows.withColumn(
-        "__voted",
-        F.transform(
-            F.concat("__base", "__more"),
+
+    def voted(m: Column) -> Column:
+        return F.transform(
+            m["spans"],
             lambda s: F.struct(
                 s["kind"].alias("kind"),
                 s["start"].alias("start"),
                 s["end"].alias("end"),
-                _votes(F.col("__text"), s).alias("votes"),
+                _votes(m["chunks"], s).alias("votes"),
             ),
-        ),
+        )
+
+    spans = F.concat("__base", "__more")
+    nothing = F.array().cast("array<struct<kind:int,start:int,end:int,votes:array<int>>>")
+    both = F.struct(spans.alias("spans"), _chunks(F.col("__text")).alias("chunks"))
+    return rows.withColumn(
+        "__voted", F.when(F.size(spans) > 0, _bound(both, voted)).otherwise(nothing)
     )
 
 
@@ -327,7 +436,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     Spans are in code points by kind, then start, with the end exclusive. A NULL text is an empty
     one, without spans. Repeated rows get the same result each; a NULL ``doc_id`` is carried along;
-    other columns are ignored; an empty table gives an empty result. One pass over the texts; spans
+    other columns are ignored, whatever their names; an empty table gives an empty result. Very
+    long texts, matches and runs of matches take time in proportion. One pass over the texts; spans
     and votes are kept in a checkpoint, the texts are not.
     """
     rows = _voted(_with_spans(docs, ["doc_id"])).select("doc_id", "__voted")
@@ -351,11 +461,14 @@ def masked_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind, as in ``<EMAIL>``.
 
     Overlapping spans become one mark, that of the first. ``n_chars``, if there is such a column,
-    is that of the new text; a NULL text stays NULL. The texts are read twice, once to train the
-    classifier and once to mask them, and never shuffled.
+    is that of the new text; a NULL text stays NULL, an empty one empty, and repeated rows stay as
+    many. Very long texts take time in proportion. The texts are read twice, once to train the
+    classifier and once to mask them, and never shuffled. Columns may have any names.
     """
     model = train(durable(_voted(_with_spans(docs, [])).select("__voted")))
-    rows = _voted(_with_spans(docs, docs.columns))
+    # The columns are kept apart from those that are made here, so no name clashes.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row")
+    rows = _voted(_with_spans(docs.select(whole, F.col("`text`").alias("text")), ["__row"]))
     marks = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     by_place = F.array_sort(
         F.transform(
@@ -367,30 +480,26 @@ def masked_documents(docs: DataFrame) -> DataFrame:
     )
     text = F.col("__text")
 
-    def step(state: Column, span: Column) -> Column:
-        apart = span["start"] >= state["at"]
-        new = F.concat(
-            state["out"],
-            F.substring(text, state["at"] + 1, span["start"] - state["at"]),
-            F.get(marks, span["kind"]),
-        )
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(apart, new).otherwise(state["out"]).alias("out"),
+    def join(m: Column) -> Column:
+        """Each span that no earlier one reaches, after the text since the end of those."""
+        done = _before(F.transform(m["spans"], lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        pieces = F.zip_with(
+            m["spans"],
+            done,
+            lambda s, at: F.when(
+                s["start"] >= at, F.concat(_cut(m["chunks"], at, s["start"]), F.get(marks, s["kind"]))
+            ).otherwise(F.lit("")),
         )
+        last = F.array_max(F.transform(m["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), _cut(m["chunks"], last, m["size"]))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(
-        by_place,
-        start,
-        step,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text) - s["at"])),
-    )
-    masked = F.when(F.col("`text`").isNull(), F.lit(None)).otherwise(
-        F.when(F.size("__voted") == 0, text).otherwise(masked)
+    parts = F.struct(
+        by_place.alias("spans"), _chunks(text).alias("chunks"), F.length(text).alias("size")
     )
-    rows = rows.withColumn("__masked", masked)
-    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    masked = _bound(parts, lambda m: F.when(F.size(m["spans"]) > 0, join(m)).otherwise(text))
+    masked = F.when(F.col("__row")["text"].isNotNull(), masked)
+    rows = rows.select("__row", masked.alias("__masked"))
+    columns = {c: F.col("__row")[c] for c in docs.columns}
     columns["text"] = F.col("__masked")
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
