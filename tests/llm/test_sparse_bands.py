@@ -31,3 +31,39 @@ def test_a_rare_script_is_not_judged_by_others(spark):
     assert not got[3000]["kept"]
     kept = {r["doc_id"] for r in quality_rules.kept_documents(docs, PIECES).collect()}
     assert kept == {i for i, r in got.items() if r["kept"]}
+
+
+def _letters(first, n, rng, size=400):
+    return ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randrange(3, 9))) for _ in range(size)]
+
+
+def test_junk_of_a_rare_script_is_rejected_and_prose_kept(spark):
+    """However many rows of the script there are, and whatever the order of the rows."""
+    rng = random.Random(6)
+    latin = _letters(97, 26, rng)
+    greek = _letters(0x3B1, 17, rng)
+    for n in (12, 199, 200):
+        rows = [(i, " ".join(rng.choices(latin, k=rng.randrange(80, 400))), "en") for i in range(300)]
+        rows += [(1000 + i, " ".join(rng.choices(greek, k=rng.randrange(80, 400))), "el") for i in range(n)]
+        # One letter, in words whose windows seldom return: few tokens that hardly vary.
+        rows += [(9000, " ".join("\u03b1" * rng.randrange(1, 40) for _ in range(300)), "el")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        one, two = (
+            {r["doc_id"]: r for r in quality_rules.quality(d, PIECES).collect()}
+            for d in (docs.repartition(3), docs.repartition(11))
+        )
+        assert one == two
+        assert not one[9000]["base_failed"] and not one[9000]["kept"], n
+        assert sum(r["kept"] for i, r in one.items() if 1000 <= i < 9000) >= 0.98 * n
+
+
+def test_quartiles_by_hand(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.gauss(1, 2), rng.random(), rng.gauss(0, 1)) for _ in range(500)]
+    table = spark.createDataFrame(rows, "band string, chars_per_token double, byte_share double, entropy_excess double")
+    got = quality_rules._quartiles(table.repartition(7), "", "band")
+    for band in "ab":
+        for i, m in enumerate(quality_rules.MEASURES, 1):
+            values = sorted(round(r[i] * 1000) for r in rows if r[0] == band)
+            want = [next(v for k, v in enumerate(values) if (k + 1) / len(values) >= q) for q in (0.25, 0.5, 0.75)]
+            assert [round(x * 1000) for x in got[band][m]] == want

@@ -11,7 +11,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -35,9 +35,21 @@ LOW_SIDE = {"chars_per_token", "entropy_excess"}
 HIGH_SIDE = {"chars_per_token", "byte_share"}
 #: Tokens from which on the entropy of a text counts fully.
 STEADY_TOKENS = 500
-#: Rows of at least ``MIN_WORDS`` words with which a band stands by itself. With fewer it is drawn
-#: towards that of its script; if the script has fewer as well, the band rejects nothing.
-LEAST_ROWS = 200
+#: A band weighs as many rows as it has, of at least ``MIN_WORDS`` words; what its script has, and
+#: what any script has, weigh so many.
+PRIOR_ROWS = 20
+#: Quartiles that any script may have. They reject no prose, but texts whose tokens
+#: hardly vary.
+PRIOR = {
+    "chars_per_token": (0.4, 1.5, 4.0),
+    "byte_share": (0.0, 0.3, 0.9),
+    "entropy_excess": (-0.4, 0.0, 0.4),
+}
+#: Bits of token entropy that a text of any script has, whatever its length: less than prose of any,
+#: as far as known, and more than texts of a few tokens.
+PRIOR_ENTROPY, PRIOR_LENGTHS = 4.5, np.arange(6.0, 20.0)
+#: Quartiles are exact for measures to so many parts of one, in a range that is never left.
+PARTS, RANGE = 1000, 100
 #: Words whose pieces a worker remembers.
 REMEMBERED = 120_000
 
@@ -184,17 +196,17 @@ def measured(
     return append(docs, list(keep), ["text", "lang"], measure, fields)
 
 
-def _bands_and_scripts(long: DataFrame, prefix: str, sums: list[Column]) -> tuple[list, dict]:
-    """The aggregates for each band, with the script of most of its rows, and those by script.
+def _scripts_of_bands(long: DataFrame, prefix: str) -> tuple[dict, dict]:
+    """Rows of each band, with the script that most of them have, and of each script.
 
-    Fewer than 20,000 rows, a band each. All are merged from partial ones, so a language with a
-    third of the rows is as cheap as another.
+    Fewer than 20,000 bands. All counts are merged from partial ones, so a language with a third of
+    the rows is as cheap as another.
     """
     band, script = F.col(prefix + "band").alias("band"), F.col(prefix + "script").alias("script")
     rows = F.count("*").alias("rows")
-    main = F.mode(prefix + "script", True).alias("script")
-    bands = long.groupBy(band).agg(rows, main, *sums).collect()
-    return bands, {r["script"]: r for r in long.groupBy(script).agg(rows, *sums).collect()}
+    bands = long.groupBy(band).agg(rows, F.mode(prefix + "script", True).alias("script")).collect()
+    scripts = {r["script"]: r["rows"] for r in long.groupBy(script).agg(rows).collect()}
+    return {r["band"]: (r["rows"], r["script"]) for r in bands}, scripts
 
 
 def _by_band(found: dict[str | None, list[float | None]], band: str) -> Column:
@@ -212,26 +224,32 @@ def with_excess(rows: DataFrame, long: DataFrame, prefix: str = "") -> tuple[Dat
     """Both with ``entropy_excess``: entropy beyond what the band has in texts as long.
 
     A long text has more entropy than a short one. What is usual is a parabola over the logarithm
-    of the number of tokens, fitted to the sums over all rows of the band. Rows that a band lacks
-    for ``LEAST_ROWS`` are made up by a part of its script's sums.
+    of the number of tokens, fitted to the sums over all rows of the band and ``PRIOR_ROWS`` rows as
+    its script has them, to which as many with ``PRIOR_ENTROPY`` are added. The sums are exact, so
+    they do not depend on the order of rows.
     """
     c = lambda name: F.col(prefix + name)
     x, y = F.log2(F.greatest(c("n_tokens"), F.lit(1))), c("token_entropy")
     names = [f"x{i}" for i in range(5)] + [f"y{i}" for i in range(3)]
-    sums = [F.sum(F.pow(x, F.lit(i))).alias(f"x{i}") for i in range(5)]
-    sums += [F.sum(F.pow(x, F.lit(i)) * y).alias(f"y{i}") for i in range(3)]
+    terms = [F.pow(x, F.lit(i)) for i in range(5)] + [F.pow(x, F.lit(i)) * y for i in range(3)]
+    sums = [F.sum(F.round(t, 6).cast("decimal(24,6)")).alias(n) for t, n in zip(terms, names)]
+
+    def numbers(row) -> np.ndarray:
+        return np.array([float(row[n]) for n in names])
 
     def parabola(v: np.ndarray) -> list[float]:
         matrix = np.array([[v[i + j] for j in range(3)] for i in range(3)])
         return np.linalg.lstsq(matrix, v[5:], rcond=None)[0].tolist()
 
-    bands, scripts = _bands_and_scripts(long, prefix, sums)
-    totals = {s: np.array([r[n] for n in names]) for s, r in scripts.items()}
-    fitted: dict = {None: parabola(sum(totals.values(), np.zeros(len(names))))}
-    for row in bands:
-        own, script = np.array([row[n] for n in names]), row["script"]
-        part = min(1.0, max(0, LEAST_ROWS - row["rows"]) / scripts[script]["rows"])
-        fitted[row["band"]] = parabola(own + part * totals[script])
+    bands, scripts = _scripts_of_bands(long, prefix)
+    by_band = {r[0]: numbers(r) for r in long.groupBy(c("band")).agg(*sums).collect()}
+    by_script = {r[0]: numbers(r) for r in long.groupBy(c("script")).agg(*sums).collect()}
+    powers = [(PRIOR_LENGTHS**i).mean() for i in range(5)]
+    prior = np.array([*powers, *(PRIOR_ENTROPY * p for p in powers[:3])])
+    fitted: dict = {None: parabola(prior)}
+    for band, (_, script) in bands.items():
+        usual = (by_script[script] + PRIOR_ROWS * prior) / (scripts[script] + PRIOR_ROWS)
+        fitted[band] = parabola(by_band[band] + PRIOR_ROWS * usual)
     k = _by_band(fitted, prefix + "band")
     # The fewer tokens, the wider the scatter: short texts are drawn towards the usual.
     steady = F.least(F.sqrt(c("n_tokens") / STEADY_TOKENS), F.lit(1.0))
@@ -240,28 +258,54 @@ def with_excess(rows: DataFrame, long: DataFrame, prefix: str = "") -> tuple[Dat
     return rows.withColumn(name, excess), long.withColumn(name, excess)
 
 
+def _quartiles(long: DataFrame, prefix: str, by: str) -> dict[str, dict[str, np.ndarray]]:
+    """The quartiles of every measure for each band or script, by the counts of its values.
+
+    A group has a row for each value of a measure to one part in ``PARTS``, however many rows it
+    has; places among them are counted in Spark, and three of them come to the driver.
+    """
+    value = F.greatest(F.least(F.col("value"), F.lit(RANGE)), F.lit(-RANGE))
+    measures = F.array(
+        *(F.struct(F.lit(m).alias("measure"), F.col(prefix + m).alias("value")) for m in MEASURES)
+    )
+    counts = (
+        long.select(F.col(prefix + by).alias("of"), F.explode(measures).alias("m"))
+        .select("of", "m.measure", "m.value")
+        .groupBy("of", "measure", F.round(value * PARTS).cast("int").alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
+    group = Window.partitionBy("of", "measure")
+    up_to = F.sum("n").over(group.orderBy("value")) / F.sum("n").over(group)
+    firsts = [
+        F.min(F.when(F.col("up_to") >= q, F.col("value"))).alias(f"q{i}")
+        for i, q in enumerate((0.25, 0.5, 0.75))
+    ]
+    found: dict = {}
+    for r in counts.withColumn("up_to", up_to).groupBy("of", "measure").agg(*firsts).collect():
+        found.setdefault(r["of"], {})[r["measure"]] = np.array([r["q0"], r["q1"], r["q2"]]) / PARTS
+    return found
+
+
 def _limits(long: DataFrame, prefix: str) -> Column:
-    """Low and high bound of every measure, for a row's band; NULL where nothing is rejected.
+    """Low and high bound of every measure, for a row's band; NULL without any rows.
 
-    The quartiles of a band of fewer than ``LEAST_ROWS`` rows are drawn towards its script's, the
-    more the fewer there are.
+    The quartiles of a band are drawn towards its script's, and these towards those that any script
+    may have, the more the fewer rows there are. There is no number of rows at which that ends.
     """
-    at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    sums = [F.percentile_approx(prefix + m, at, 1000).alias(m) for m in MEASURES]
+    bands, scripts = _scripts_of_bands(long, prefix)
+    by_band, by_script = _quartiles(long, prefix, "band"), _quartiles(long, prefix, "script")
     found: dict = {None: [None, None] * len(MEASURES)}
-    bands, scripts = _bands_and_scripts(long, prefix, sums)
-    for row in bands:
-        script, own = scripts[row["script"]], min(1.0, row["rows"] / LEAST_ROWS)
-        if own < 1 and script["rows"] < LEAST_ROWS:
-            continue
+    for band, (rows, script) in bands.items():
+        own = rows / (rows + PRIOR_ROWS)
+        known = scripts[script] / (scripts[script] + PRIOR_ROWS)
         bounds: list[float | None] = []
         for m in MEASURES:
-            mixed = own * np.array(row[m]) + (1 - own) * np.array(script[m])
-            low, middle, high = mixed.tolist()
+            usual = known * by_script[script][m] + (1 - known) * np.array(PRIOR[m])
+            low, middle, high = (own * by_band[band][m] + (1 - own) * usual).tolist()
             least = LEAST_WIDTH[m] * (middle if m == "chars_per_token" else 1)
             bounds.append(middle - max(least, WIDTH * (middle - low)) if m in LOW_SIDE else None)
             bounds.append(middle + max(least, WIDTH * (high - middle)) if m in HIGH_SIDE else None)
-        found[row["band"]] = bounds
+        found[band] = bounds
     return _by_band(found, prefix + "band")
 
 
@@ -292,8 +336,10 @@ def quality(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     Reads ``doc_id``, ``text`` and ``lang``; other columns are ignored. A NULL or empty text has
     no words, so it fails the base rules and all its measures are 0. A NULL language is judged by
-    script. The band of a language with few rows is drawn towards that of its script; nothing is
-    out of band where the script has few rows too. Repeated rows are each judged alike.
+    script. The band of a language is drawn towards that of its script, and this towards one that
+    keeps prose of any script, as far as they have few rows. Repeated rows are each judged alike, and
+    so are the same rows in another order; an empty table gives an empty result. A very long text
+    counts as one row, by all of its tokens.
     """
     rows = durable(measured(docs, vocabulary))
     return judged(rows, rows).drop("script")
