@@ -24,16 +24,19 @@ from tillstream.sources.tables import event_orders
 from tillstream.streaming import (
     Intervals,
     await_streams,
+    batch_ledger,
     batch_sizes,
     deduplicate,
     land_orders,
     landed_orders,
     landed_rejects,
     latest_view,
+    live_distinct_products,
     live_snapshot,
     live_tempo,
     live_update,
     newest_moment,
+    recorded_batches,
     run_streams,
     stop_streams,
     with_lateness,
@@ -249,6 +252,79 @@ def test_old_views_are_dropped_and_unfinished_ones_not_read(spark, tmp_path):
         latest_view(spark, str(tmp_path), "nothing")
 
 
+def test_a_batch_writes_only_the_days_it_changes(spark, tmp_path):
+    """However long the history, in files and in rows; replays and old batches included."""
+    view = results(spark, tmp_path).day_view("hours")
+    home = tmp_path / "out/views/hours/query=query-1"
+    hours = spark.range(24 * 200).select(
+        F.timestamp_seconds(F.lit(1_700_006_400) + F.col("id") * 3600).alias("period_start"),
+        F.lit("a").alias("category"),
+        F.lit(1).alias("n"),
+    )
+    view.merge(hours, ["period_start", "category"], 0, keep=2)
+    assert len(view.manifest()) == 200
+    want = {(r.period_start, r.category): r.n for r in hours.collect()}
+    for batch_id in range(1, 7):
+        some = hours.where(F.col("period_start").between("2024-01-0%d 22:00:00" % batch_id, "2024-01-0%d 01:00:00" % (batch_id + 1)))
+        changed = some.withColumn("n", F.lit(10 + batch_id)).unionByName(some.limit(1).withColumn("category", F.lit(None).cast("string")))
+        for _ in range(2 if batch_id == 4 else 1):  # one batch is run again
+            view.merge(changed, ["period_start", "category"], batch_id, keep=2)
+        want |= {(r.period_start, r.category): r.n for r in changed.collect()}
+        written = [p.parent.name for p in (home / f"data/batch={batch_id}").glob("*/part-*.parquet")]
+        assert sorted(written) == [f"_day=2024-01-0{batch_id}", f"_day=2024-01-0{batch_id + 1}"]
+    got = [(r.period_start, r.category, r.n) for r in latest_view(spark, str(tmp_path / "out"), "hours").collect()]
+    assert sorted(got, key=repr) == sorted(((*k, n) for k, n in want.items()), key=repr)
+    assert sorted(view.batches()) == [4, 5, 6]
+    # What no manifest names any more is gone: each day is there once, or as often as it is named.
+    named = {(d, b) for k in (5, 6, 7) for d, b in view.manifest(k).items()}
+    there = {(p.name.removeprefix("_day="), int(p.parent.name.removeprefix("batch="))) for p in home.glob("data/batch=*/_day=*")}
+    assert there == named
+
+
+def test_landing_writes_few_files_for_many_dates(spark, tmp_path):
+    rows = [order(order_id=f"O-{i}", timestamp=f"20{10 + i % 14}-{i % 12 + 1:02d}-{i % 28 + 1:02d}T10:00:00") for i in range(800)]
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps({"key": r["order_id"], "value": json.dumps(r)}) for r in rows]
+    (tmp_path / "in" / "part-00000-a.json").write_text("\n".join(lines))
+    landed = str(tmp_path / "landed")
+    await_streams([land_orders(stream(spark, tmp_path / "in"), landed, str(tmp_path / "c"), available_now=True)])
+    assert len(list((tmp_path / "landed/landing").rglob("*.parquet"))) <= 2
+    assert landed_orders(spark, landed, stream=False).count() == 800
+    since = landed_orders(spark, landed, stream=False, since="2020-01-01")
+    assert since.count() == sum(r["timestamp"] >= "2020" for r in rows)
+    plan = since._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_date" in plan
+
+
+def test_ledger_outlives_the_streams(spark, feed_files, tmp_path):
+    """Rows of each batch, also of one run again, and rows that came too late for their window."""
+    arrive(feed_files[2:], tmp_path / "in")
+    out = str(tmp_path / "ledger")
+    with batch_ledger(spark, out) as ledger:
+        assert ledger.wait_for(run(spark, tmp_path, "throughput", name_prefix="l-"))
+        late = tmp_path / "in" / "part-00009-late.json"
+        shutil.copy(feed_files[0], late)
+        assert ledger.wait_for(run(spark, tmp_path, "throughput", name_prefix="l-"))
+    records = [r for r in recorded_batches(spark, out).collect() if r.name == "l-throughput"]
+    assert len({(r.query_id, r.batch_id) for r in records}) == len(records)
+    assert sum(r.rows for r in records) == 800
+    # Spark counts them after it has summed up each task's rows by minute.
+    assert 0 < sum(r.late_rows for r in records) <= 200
+    assert all(r.seconds >= 0 for r in records)
+
+
+def test_sketches_unite_over_any_period(spark, feed_files, tmp_path):
+    arrive(feed_files, tmp_path / "in")
+    run(spark, tmp_path, "sketches")
+    orders = batch(spark, tmp_path / "in")
+    for key in (F.date_trunc("month", "period_start").alias("k"), F.col("category").alias("k"), F.lit(1).alias("k")):
+        got = {r.k: r for r in live_distinct_products(spark, str(tmp_path / "out"), key).collect()}
+        timed = orders.withColumn("period_start", F.date_trunc("hour", "timestamp_parsed"))
+        for r in timed.groupBy(key).agg(F.count("*").alias("n"), F.count_distinct("product_id").alias("products")).collect():
+            assert got[r.k].order_count == r.n
+            assert abs(got[r.k].unique_products - r.products) <= 0.15 * r.products
+
+
 def test_a_new_checkpoint_serves_only_its_own_results(spark, feed_files, tmp_path):
     arrive(feed_files[:3], tmp_path / "in")
     names = ("raw_orders", "categories")

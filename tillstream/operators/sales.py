@@ -47,6 +47,31 @@ def category_sales(orders: DataFrame, exact: bool = False, *further: Column) ->
     )
 
 
+def product_sketches(orders: DataFrame, span: str = "1 hour") -> DataFrame:
+    """``period_start, category, order_count, products``: a sketch of the products sold.
+
+    Sketches of any periods and categories can be united, which counts of distinct products cannot.
+    Orders without a time are in no period.
+    """
+    return (
+        orders.where(F.col("timestamp_parsed").isNotNull())
+        .groupBy(F.window("timestamp_parsed", span), "category")
+        .agg(F.count(F.lit(1)).alias("order_count"), F.hll_sketch_agg("product_id").alias("products"))
+        .select(F.col("window.start").alias("period_start"), "category", "order_count", "products")
+    )
+
+
+def distinct_products(sketches: DataFrame, *keys: Column) -> DataFrame:
+    """Orders and the estimate of distinct products by ``keys``, from :func:`product_sketches`.
+
+    The standard error is under 2 %, however many sketches are united.
+    """
+    return sketches.groupBy(*keys).agg(
+        F.sum("order_count").alias("order_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("products")).alias("unique_products"),
+    )
+
+
 def rollup_columns() -> list[Column]:
     """The further columns from which coarser results follow without the orders."""
     return [

@@ -232,4 +232,9 @@ ORACLES: dict[str, str] = {
   total_revenue from ({category_sales(EVENTS)})""",
     "stream_avg_order_value": f"select category, {AVG_VALUE} from {EVENTS} group by 1",
     "message_roundtrip": f"select {PARSED} from {EVENTS}",
+    "stream_distinct_products": f"""select strftime(timestamp_parsed, '%Y-%m-%d') "day", category,
+  count(*) order_count, true distinct_within_bound from {EVENTS} group by 1, 2""",
+    # Five files, a micro-batch each, in order of time.
+    "stream_batch_ledger": f"""select stream, 5 batches, count(*) messages, 0 late_rows
+  from {EVENTS}, (values ('categories'), ('throughput')) s(stream) group by 1""",
 }

@@ -27,16 +27,19 @@ from tillstream.sources.tables import (
 )
 from tillstream.streaming import (
     await_streams,
+    batch_ledger,
     deduplicate,
     land_orders,
     landed_orders,
     landed_rejects,
     latest_view,
+    live_distinct_products,
     live_order_values,
     live_ranks,
     live_snapshot,
     live_tempo,
     newest_moment,
+    recorded_batches,
     run_streams,
     sinks,
     with_lateness,
@@ -679,3 +682,55 @@ def stream_snapshot(spark: SparkSession, folder: str) -> DataFrame:
             live_snapshot(spark, out, newest_moment(spark, out))
         ),
     )
+
+
+@query
+def stream_distinct_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct products of each day and category, from hourly sketches that a stream keeps, which
+    was ended after two micro-batches and started again."""
+    day = F.date_format("period_start", "yyyy-MM-dd").alias("day")
+    daily = _streamed(
+        spark,
+        folder,
+        "sketches",
+        stops=(2, FILES),
+        result=lambda spark, out: live_distinct_products(spark, out, day, F.col("category")),
+    )
+    counted = (
+        event_orders(spark, folder)
+        .groupBy(F.date_format("timestamp_parsed", "yyyy-MM-dd").alias("day"), "category")
+        .agg(F.count_distinct("product_id").alias("counted"))
+    )
+    error = F.abs(F.col("unique_products") - F.col("counted"))
+    return daily.join(counted, ["day", "category"]).select(
+        "day", "category", "order_count", (error <= 0.15 * F.col("counted")).alias("distinct_within_bound")
+    )
+
+
+@query
+def stream_batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ledger has of two streams: batches with rows, rows read, and rows too late."""
+    root = shared_folder(spark)
+    _arrive(spark, folder, f"{root}/feed", 0, FILES)
+    messages = encode_orders(
+        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+    )
+    prefix = f"{os.path.basename(root)}-"
+    with batch_ledger(spark, f"{root}/out") as ledger:
+        started = run_streams(
+            messages,
+            f"{root}/out",
+            f"{root}/checkpoints",
+            streams=["categories", "throughput"],
+            available_now=True,
+            name_prefix=prefix,
+        )
+        await_streams(started)
+        ledger.wait_for(started)
+    batches = recorded_batches(spark, f"{root}/out").where(F.startswith("name", F.lit(prefix)))
+    totals = batches.groupBy(F.replace("name", F.lit(prefix), F.lit("")).alias("stream")).agg(
+        F.count_if(F.col("rows") > 0).alias("batches"),
+        F.sum("rows").alias("messages"),
+        F.sum("late_rows").alias("late_rows"),
+    )
+    return _kept(spark, root, totals)

@@ -1,3 +1,4 @@
+from tillstream.streaming.ledger import batch_ledger, recorded_batches
 from tillstream.streaming.lateness import ahead, deduplicate, not_ahead, with_lateness
 from tillstream.streaming.runner import (
     Intervals,
@@ -6,6 +7,7 @@ from tillstream.streaming.runner import (
     land_orders,
     landed_orders,
     landed_rejects,
+    live_distinct_products,
     live_metrics,
     live_order_values,
     live_ranks,
@@ -24,12 +26,14 @@ __all__ = [
     "Intervals",
     "ahead",
     "await_streams",
+    "batch_ledger",
     "batch_sizes",
     "deduplicate",
     "land_orders",
     "landed_orders",
     "landed_rejects",
     "latest_view",
+    "live_distinct_products",
     "live_metrics",
     "live_order_values",
     "live_ranks",
@@ -38,6 +42,7 @@ __all__ = [
     "live_update",
     "newest_moment",
     "not_ahead",
+    "recorded_batches",
     "run_streams",
     "state_partitions_set",
     "stop_streams",

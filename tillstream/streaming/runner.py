@@ -24,7 +24,9 @@ from tillstream.operators.ranking import category_rank
 from tillstream.operators.sales import (
     avg_order_value_of_sales,
     category_sales,
+    distinct_products,
     product_sales,
+    product_sketches,
     rollup_columns,
 )
 from tillstream.operators.serving import metrics_row, order_rows, snapshot, update_document
@@ -62,6 +64,7 @@ class Intervals:
     tempo: int = 10
     trends: int = 15
     throughput: int = 15
+    sketches: int = 15
     ahead: int = 60
     rejected: int = 60
     landing: int = 10
@@ -70,6 +73,8 @@ class Intervals:
 STREAMS = (
     "raw_orders", "top_products", "categories", "tempo", "trends", "throughput", "ahead", "rejected",
 )
+#: Streams that run only if they are named.
+ON_DEMAND = ("sketches",)
 
 
 @contextmanager
@@ -115,7 +120,7 @@ def run_streams(
     from_messages = "value" in source.columns
     possible = STREAMS if from_messages else tuple(s for s in STREAMS if s != "rejected")
     streams = possible if streams is None else streams
-    if unknown := set(streams) - set(possible):
+    if unknown := set(streams) - set(possible) - set(ON_DEMAND):
         raise ValueError(f"no such streams of this source: {sorted(unknown)}")
     deliver = deliver or to_files(f"{out}/payloads")
 
@@ -146,6 +151,10 @@ def run_streams(
                 late = with_lateness(not_ahead(orders(CATEGORY_FIELDS), lateness), lateness)
                 result, mode = throughput(late), "update"
                 write = sinks.window_sink(results, name, ["minute"])
+            case "sketches":
+                late = with_lateness(not_ahead(orders(SALES_FIELDS), lateness), lateness)
+                result, mode = product_sketches(late), "update"
+                write = sinks.window_sink(results, name, ["period_start", "category"])
             case _:
                 result = ahead(orders(), lateness) if name == "ahead" else (
                     rejected(judge_orders(source))
@@ -190,8 +199,10 @@ def land_orders(
 
     Decoding JSON costs many times what reading the columns again does. Where the load
     is large, run the other streams on :func:`landed_orders`; they then show an order
-    one landing interval later. Orders are the ``status=accepted`` part of the table,
-    by date of the order, and the reasons of rejection are its other values of ``status``.
+    one landing interval later. Orders are the ``status=accepted`` part of the table, and the
+    reasons of rejection are its other values of ``status``. Within these, files lie by the day on
+    which they were landed, so a batch writes few files however many dates its orders have; the date
+    of the order is a column, whose bounds each file keeps.
     """
     judged = judge_orders(messages)
     is_rejected = F.col("reject_reason").isNotNull()
@@ -200,14 +211,14 @@ def land_orders(
             "key": F.when(is_rejected, F.col("key")),
             "value": F.when(is_rejected, F.col("value")),
             "status": F.coalesce("reject_reason", F.lit("accepted")),
-            # Orders whose time cannot be read have a partition of their own.
             "event_date": F.to_date("timestamp_parsed"),
+            "landed_on": F.current_date(),
         }
     ).drop("reject_reason")
     writer = _writer(table, "landing", checkpoints, intervals, available_now)
     writer = writer.queryName(f"{name_prefix}landing").outputMode("append")
     table = f"{out}/landing"
-    return writer.format("parquet").partitionBy("status", "event_date").option("path", table).start()
+    return writer.format("parquet").partitionBy("status", "landed_on").option("path", table).start()
 
 
 def landed_orders(
@@ -215,17 +226,17 @@ def landed_orders(
 ) -> DataFrame:
     """The accepted orders that :func:`land_orders` has written under ``out``.
 
-    With ``since``, only partitions of that date and later ones are read; orders without a time
-    are in none of them.
+    With ``since``, only orders of that date and later ones; files and row groups that hold none are
+    passed over by their bounds. Orders without a time are not among them.
     """
     schema = parse_orders(spark.createDataFrame([], MESSAGE_SCHEMA)).schema
-    schema = schema.add("status", "string").add("event_date", "date")
+    schema = schema.add("event_date", "date").add("status", "string").add("landed_on", "date")
     reader = (spark.readStream if stream else spark.read).schema(schema)
     table = reader.options(**options).parquet(f"{out}/landing")
     table = table.where(F.col("status") == "accepted")
     if since is not None:
         table = table.where(F.col("event_date") >= F.lit(since).cast("date"))
-    return table.drop("status", "event_date")
+    return table.drop("status", "event_date", "landed_on")
 
 
 def landed_rejects(spark: SparkSession, out: str) -> DataFrame:
@@ -300,6 +311,11 @@ def live_order_values(spark: SparkSession, out: str) -> DataFrame:
     return avg_order_value_of_sales(latest_view(spark, out, "categories"))
 
 
+def live_distinct_products(spark: SparkSession, out: str, *keys: Column) -> DataFrame:
+    """Orders and distinct products by ``keys`` of any period, from the stream ``sketches``."""
+    return distinct_products(latest_view(spark, out, "sketches"), *keys)
+
+
 def live_snapshot(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
     """The dashboard document from the latest views of the running streams."""
     return snapshot(

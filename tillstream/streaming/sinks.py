@@ -152,17 +152,13 @@ def tempo_sink(results: Results, keep: str = "10 minutes") -> BatchFunction:
 
 
 def window_sink(results: Results, name: str, keys: Sequence[str]) -> BatchFunction:
-    """Keep the result of each window, open ones included, from those that changed."""
+    """Keep the result of each window, open ones included, from those that changed.
+
+    ``keys`` begin with the time of the window. Only the days of the changed windows are written.
+    """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        view = results.view(name)
         with _held(changed) as held:
-            previous = view.newest(batch_id, held.schema)
-            if previous is not None:
-                same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-                rest = previous.alias("p").join(held.alias("c"), same, "left_anti")
-                view.write(held.unionByName(rest), batch_id)
-            else:
-                view.write(held, batch_id)
+            results.day_view(name).merge(held, keys, batch_id)
 
     return write

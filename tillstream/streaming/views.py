@@ -8,10 +8,12 @@ that wrote last.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _POINTER = "_current"
@@ -38,6 +40,9 @@ class Results:
     def view(self, name: str) -> View:
         return View(self.spark, f"{self.out}/views/{name}", self.query_id)
 
+    def day_view(self, name: str) -> DayView:
+        return DayView(self.spark, f"{self.out}/views/{name}", self.query_id)
+
 
 @dataclass
 class View:
@@ -75,13 +80,12 @@ class View:
         for old in older[: -keep or None]:
             path, files = _file_system(self.spark, f"{self._home}/batch={old}")
             files.delete(path, True)
+        self._point()
+
+    def _point(self) -> None:
+        """Let readers find the results of this query."""
         if current_query(self.spark, self.base) != self.query_id:
-            path, files = _file_system(self.spark, f"{self.base}/{_POINTER}")
-            stream = files.create(path, True)
-            try:
-                stream.writeBytes(self.query_id)
-            finally:
-                stream.close()
+            write_text(self.spark, f"{self.base}/{_POINTER}", self.query_id)
 
     def newest(self, before: int | None = None, schema: StructType | None = None) -> DataFrame | None:
         """The newest finished result, of the batches before ``before``.
@@ -97,9 +101,100 @@ class View:
         return reader.parquet(f"{self._home}/batch={max(finished)}")
 
 
-def current_query(spark: SparkSession, base: str) -> str | None:
-    """The id of the query that the pointer under ``base`` names."""
-    path, files = _file_system(spark, f"{base}/{_POINTER}")
+@dataclass
+class DayView(View):
+    """Rows of many days, of which a batch writes only the days that it changes.
+
+    ``data/batch=N/day=D`` holds a day as it was after batch ``N``, and ``manifest/N`` tells for
+    each day which batch wrote it last. A batch is there when its manifest is; a replayed one writes
+    the same folder and manifest again, from the manifest before it.
+    """
+
+    DAY = "_day"
+
+    @property
+    def _manifests(self) -> str:
+        return f"{self._home}/manifest"
+
+    def batches(self) -> dict[int, bool]:
+        """The batches that have a manifest."""
+        path, files = _file_system(self.spark, self._manifests)
+        if not files.exists(path):
+            return {}
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return {int(n): True for n in names if n.isdigit()}
+
+    def manifest(self, before: int | None = None) -> dict[str, int]:
+        """The batch that holds each day, by the newest manifest of the batches before ``before``."""
+        known = [b for b in self.batches() if before is None or b < before]
+        if not known:
+            return {}
+        return json.loads(_read_text(self.spark, f"{self._manifests}/{max(known)}"))
+
+    def _read(self, days: dict[str, int], schema: StructType | None) -> DataFrame | None:
+        if not days:
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*(f"{self._home}/data/batch={b}/{self.DAY}={d}" for d, b in days.items()))
+
+    def newest(self, before: int | None = None, schema: StructType | None = None) -> DataFrame | None:
+        return self._read(self.manifest(before), schema)
+
+    def merge(self, changed: DataFrame, keys: Sequence[str], batch_id: int, keep: int = 5) -> None:
+        """Write the days of the ``changed`` rows, whose first key is a time, with all their rows.
+
+        Other rows of these days come from the batch before. Days that are not touched are neither
+        read nor written, so a batch costs by what it changes, not by how long the shop is there.
+        """
+        days = self.manifest(batch_id)
+        day = F.to_date(keys[0]).cast("string")
+        touched = sorted(r[0] for r in changed.select(day).distinct().collect())
+        previous = self._read({d: days[d] for d in touched if d in days}, changed.schema)
+        rows = changed
+        if previous is not None:
+            same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+            rows = rows.unionByName(previous.alias("p").join(changed.alias("c"), same, "left_anti"))
+        # One file a day; a day's windows are few.
+        rows.withColumn(self.DAY, day).repartition(self.DAY).write.mode("overwrite").partitionBy(
+            self.DAY
+        ).parquet(f"{self._home}/data/batch={batch_id}")
+        now = days | {d: batch_id for d in touched}
+        write_text(self.spark, f"{self._manifests}/{batch_id}", json.dumps(now))
+        self._drop_old(batch_id, keep)
+        self._point()
+
+    def _drop_old(self, batch_id: int, keep: int) -> None:
+        """Delete manifests more than ``keep`` batches older, and days that only these name."""
+        older = sorted(b for b in self.batches() if b < batch_id)
+        dropped = older[: -keep or None]
+        if not dropped:
+            return
+        kept = [b for b in older if b not in dropped] + [batch_id]
+        named = {(d, b) for k in kept for d, b in self.manifest(k + 1).items()}
+        for old in dropped:
+            for d, b in json.loads(_read_text(self.spark, f"{self._manifests}/{old}")).items():
+                if (d, b) not in named:
+                    path, files = _file_system(self.spark, f"{self._home}/data/batch={b}/{self.DAY}={d}")
+                    files.delete(path, True)
+            path, files = _file_system(self.spark, f"{self._manifests}/{old}")
+            files.delete(path, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which is there whole or not at all where renaming is atomic."""
+    target, files = _file_system(spark, path)
+    part, _ = _file_system(spark, f"{path.rpartition('/')[0]}/.{target.getName()}.part")
+    stream = files.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(target, False)
+    files.rename(part, target)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    path, files = _file_system(spark, path)
     if not files.exists(path):
         return None
     stream = files.open(path)
@@ -109,11 +204,17 @@ def current_query(spark: SparkSession, base: str) -> str | None:
         stream.close()
 
 
+def current_query(spark: SparkSession, base: str) -> str | None:
+    """The id of the query that the pointer under ``base`` names."""
+    return _read_text(spark, f"{base}/{_POINTER}")
+
+
 def latest_view(spark: SparkSession, out: str, name: str) -> DataFrame:
     """The latest result of a named stream written by ``run_streams`` under ``out``."""
     base = f"{out}/views/{name}"
     query_id = current_query(spark, base)
-    view = View(spark, base, query_id).newest() if query_id else None
-    if view is None:
-        raise LookupError(f"{name} has no result under {out} yet")
-    return view
+    for kind in (View, DayView):
+        rows = kind(spark, base, query_id).newest() if query_id else None
+        if rows is not None:
+            return rows
+    raise LookupError(f"{name} has no result under {out} yet")
