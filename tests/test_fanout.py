@@ -1,0 +1,125 @@
+"""One query for all sinks: each message decoded once, replays, and readers of commits."""
+
+import json
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from tests.helpers import dicts
+from tests.test_streams import FILES, arrive, batch, feed_files, payloads, stream  # noqa: F401
+from tillstream.operators import ranking, sales, serving, trends
+from tillstream.streaming import (
+    await_streams,
+    committed_products,
+    committed_snapshot,
+    last_commit,
+    latest_view,
+    run_fan_out,
+    targets,
+)
+
+
+def run(spark, root, messages=None, **options):
+    source = stream(spark, root / "in") if messages is None else messages
+    query = run_fan_out(source, str(root / "out"), str(root / "c"), available_now=True, **options)
+    await_streams([query])
+    return query
+
+
+def products_of(rows):
+    return sorted(rows.drop("exact_revenue", "records").collect(), key=repr)
+
+
+def assert_as_batch(spark, out, whole):
+    commit = last_commit(spark, out)
+    assert products_of(committed_products(spark, out)) == sorted(sales.product_sales(whole).collect(), key=repr)
+    top = serving.product_rows(ranking.top_products(sales.product_sales(whole)))
+    assert dicts(commit.view("top_products").orderBy("position")) == dicts(top.orderBy("position"))
+    categories = serving.category_rows(sales.category_sales(whole))
+    assert dicts(commit.view("categories").orderBy("position")) == dicts(categories.orderBy("position"))
+    assert dicts(commit.view("totals")) == dicts(sales.order_totals(whole))
+    newest = commit.view("tempo").agg(F.max("moment")).scalar()
+    (document,) = dicts(committed_snapshot(spark, out, newest))
+    assert document["metrics"]["total_orders"] == whole.count()
+    assert document["metrics"]["orders_per_minute"] == trends.orders_last_minute(whole).first()[0]
+    newest_20 = serving.order_rows(ranking.latest_orders(whole, 20)).orderBy("position")
+    assert [r["order_id"] for r in document["recent_orders"]] == [r.order_id for r in newest_20.collect()]
+
+
+def test_each_message_is_decoded_once(spark, feed_files, tmp_path):  # noqa: F811
+    """However many sinks there are, and the results are those of the batch."""
+    arrive(feed_files, tmp_path / "in")
+    (tmp_path / "in" / "part-00009-bad.json").write_text(json.dumps({"key": "k", "value": "{"}))
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    messages = stream(spark, tmp_path / "in")
+    messages = messages.withColumn("value", counted.asNondeterministic()(F.col("value").cast("string")).cast("binary"))
+    run(spark, tmp_path, messages, buckets=3)
+    assert read.value == 1001
+    out = str(tmp_path / "out")
+    good = batch(spark, tmp_path / "in").where("order_id is not null")
+    assert good.count() == 1000
+    assert_as_batch(spark, out, good)
+    rejects = spark.read.parquet(f"{out}/rejected").collect()
+    assert len(rejects) == 1 and bytes(rejects[0].value) == b"{"
+    assert last_commit(spark, out).offsets
+    assert sorted(payloads(tmp_path, "raw_orders")) == list(range(FILES))
+
+
+@pytest.mark.parametrize("broken", ["categories", "raw_orders"])
+def test_crash_between_two_sinks(spark, feed_files, tmp_path, broken):  # noqa: F811
+    """Finished sinks are not run again, and readers see the last whole batch until the next one."""
+    arrive(feed_files, tmp_path / "in")
+    out = str(tmp_path / "out")
+    to_files = targets.to_files(f"{out}/payloads")
+    delivered = []
+
+    def failing(document, name, batch):
+        if name == broken and batch.number == 2:
+            raise RuntimeError("lost the executor")
+        delivered.append((name, batch.number))
+        to_files(document, name, batch)
+
+    with pytest.raises(StreamingQueryException, match="lost the executor"):
+        run(spark, tmp_path, deliver=failing)
+    assert ("top_products", 2) in delivered and (broken, 2) not in delivered
+    assert last_commit(spark, out).batch == 1
+    arrive(feed_files[:2], tmp_path / "two")
+    assert_as_batch(spark, out, batch(spark, tmp_path / "two"))
+    # Views that go by themselves are ahead of those that failed.
+    assert latest_view(spark, out, "top_products").agg(F.sum("order_count")).first()[0] >= (
+        last_commit(spark, out).view("top_products").agg(F.sum("order_count")).first()[0]
+    )
+
+    def again(document, name, batch):
+        delivered.append((name, batch.number))
+        to_files(document, name, batch)
+
+    run(spark, tmp_path, deliver=again)
+    assert sorted(delivered) == sorted(
+        (name, n) for name in ("categories", "raw_orders", "top_products") for n in range(FILES)
+    )
+    assert last_commit(spark, out).batch == FILES - 1
+    assert_as_batch(spark, out, batch(spark, tmp_path / "in"))
+
+
+def test_nothing_committed_yet(spark, tmp_path):
+    with pytest.raises(LookupError):
+        last_commit(spark, str(tmp_path))
+
+
+def test_commits_and_buckets_are_kept_in_bounds(spark, feed_files, tmp_path):  # noqa: F811
+    """A later start with another number of buckets goes on with the first one's."""
+    arrive(feed_files[:2], tmp_path / "in")
+    run(spark, tmp_path, buckets=2)
+    arrive(feed_files[2:], tmp_path / "in")
+    run(spark, tmp_path, buckets=7)
+    days = last_commit(spark, str(tmp_path / "out")).view("products")
+    assert {f.rsplit("_day=", 1)[1].split("/")[0] for f in days.inputFiles()} == {"2-0", "2-1"}
+    assert_as_batch(spark, str(tmp_path / "out"), batch(spark, tmp_path / "in"))

@@ -80,10 +80,52 @@ def rollup_columns() -> list[Column]:
     ]
 
 
-def category_sales_of_products(products: DataFrame, exact: bool = False) -> DataFrame:
+PRODUCT = ["product_id", "product_name", "category"]
+
+
+def product_totals(orders: DataFrame) -> DataFrame:
+    """What :func:`product_sales` follows from, in a form that adds up over batches of orders."""
+    return orders.groupBy(*PRODUCT).agg(
+        F.count("order_id").alias("order_count"),
+        F.sum("quantity").alias("total_quantity"),
+        exact_total(F.col("price")).alias("exact_price"),
+        F.count("price").alias("prices"),
+        F.max("timestamp_parsed").alias("last_order_time"),
+        *rollup_columns(),
+    )
+
+
+def merge_product_totals(totals: DataFrame) -> DataFrame:
+    """The totals of all batches from those of each, to the cent whatever the batches are."""
+    added = ["order_count", "total_quantity", "prices", "records"]
+    return totals.groupBy(*PRODUCT).agg(
+        *(F.sum(c).alias(c) for c in added),
+        *(total_of(F.col(c)).alias(c) for c in ("exact_price", "exact_revenue")),
+        F.max("last_order_time").alias("last_order_time"),
+    )
+
+
+def product_sales_of_totals(totals: DataFrame) -> DataFrame:
+    """:func:`product_sales` with the rollup columns, from the totals of all orders."""
+    return totals.select(
+        *PRODUCT,
+        "order_count",
+        "total_quantity",
+        as_double(F.col("exact_revenue")).alias("total_revenue"),
+        F.try_divide(as_double(F.col("exact_price")), F.col("prices")).alias("avg_price"),
+        "last_order_time",
+        "exact_revenue",
+        "records",
+    )
+
+
+def category_sales_of_products(
+    products: DataFrame, exact: bool = False, *further: Column
+) -> DataFrame:
     """:func:`category_sales` from product sales that have the rollup columns.
 
-    The estimate of distinct products is the very same, as repeats do not enter it.
+    The estimate of distinct products is the very same, as repeats do not enter it. ``further``
+    aggregates are added as columns.
     """
     distinct = F.count_distinct if exact else F.approx_count_distinct
     return products.groupBy("category").agg(
@@ -92,9 +134,18 @@ def category_sales_of_products(products: DataFrame, exact: bool = False) -> Data
         as_double(total_of(F.col("exact_revenue"))).alias("total_revenue"),
         distinct("product_id").alias("unique_products"),
         F.max("last_order_time").alias("last_order_time"),
+        *further,
     )
 
 
+def coarser_rollup_columns() -> list[Column]:
+    """:func:`rollup_columns` of a result that is made from one which has them."""
+    return [
+        total_of(F.col("exact_revenue")).alias("exact_revenue"),
+        F.sum("records").alias("records"),
+    ]
+
+
 def totals_of_sales(sales: DataFrame) -> DataFrame:
     """:func:`order_totals` from product or category sales with the rollup columns."""
     return sales.agg(

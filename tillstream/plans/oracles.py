@@ -227,6 +227,8 @@ ORACLES: dict[str, str] = {
     "stream_trend_hourly": TREND_HOURLY,
     "stream_throughput": THROUGHPUT,
     "stream_snapshot": snapshot(),
+    "stream_committed_snapshot": snapshot(),
+    "stream_committed_products": product_sales(EVENTS),
     "stream_restarted_totals": f"select count(*) total_orders, {money('total_value')} total_revenue from {EVENTS}",
     "stream_category_rank": f"""select rank() over (order by total_revenue desc) revenue_rank, category,
   total_revenue from ({category_sales(EVENTS)})""",

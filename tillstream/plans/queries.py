@@ -28,10 +28,13 @@ from tillstream.sources.tables import (
 from tillstream.streaming import (
     await_streams,
     batch_ledger,
+    committed_products,
+    committed_snapshot,
     deduplicate,
     land_orders,
     landed_orders,
     landed_rejects,
+    last_commit,
     latest_view,
     live_distinct_products,
     live_order_values,
@@ -40,6 +43,7 @@ from tillstream.streaming import (
     live_tempo,
     newest_moment,
     recorded_batches,
+    run_fan_out,
     run_streams,
     sinks,
     with_lateness,
@@ -684,6 +688,47 @@ def stream_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fanned(
+    spark: SparkSession, folder: str, result: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """Work off all events by the one query for all sinks, ended after two files and started
+    again, and take the result."""
+    root = shared_folder(spark)
+    for first, last in ((0, 2), (2, FILES)):
+        _arrive(spark, folder, f"{root}/feed", first, last)
+        orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+        started = run_fan_out(
+            encode_orders(orders),
+            f"{root}/out",
+            f"{root}/checkpoint",
+            available_now=True,
+            name=f"{os.path.basename(root)}-shop",
+        )
+        await_streams([started])
+    return _kept(spark, root, result(spark, f"{root}/out"))
+
+
+@query
+def stream_committed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The dashboard document as of the last batch that all sinks of one query have finished."""
+
+    def document(spark: SparkSession, out: str) -> DataFrame:
+        newest = last_commit(spark, out).view("tempo").agg(F.max("moment")).scalar()
+        return _unfold_snapshot(committed_snapshot(spark, out, newest))
+
+    return _fanned(spark, folder, document)
+
+
+@query
+def stream_committed_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales of all products, added up batch by batch."""
+
+    def products(spark: SparkSession, out: str) -> DataFrame:
+        return plain_times(committed_products(spark, out).drop("exact_revenue", "records"))
+
+    return _fanned(spark, folder, products)
+
+
 @query
 def stream_distinct_products(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct products of each day and category, from hourly sketches that a stream keeps, which

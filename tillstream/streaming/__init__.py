@@ -1,3 +1,9 @@
+from tillstream.streaming.fanout import (
+    committed_products,
+    committed_snapshot,
+    last_commit,
+    run_fan_out,
+)
 from tillstream.streaming.ledger import batch_ledger, recorded_batches
 from tillstream.streaming.lateness import ahead, deduplicate, not_ahead, with_lateness
 from tillstream.streaming.runner import (
@@ -28,10 +34,13 @@ __all__ = [
     "await_streams",
     "batch_ledger",
     "batch_sizes",
+    "committed_products",
+    "committed_snapshot",
     "deduplicate",
     "land_orders",
     "landed_orders",
     "landed_rejects",
+    "last_commit",
     "latest_view",
     "live_distinct_products",
     "live_metrics",
@@ -43,6 +52,7 @@ __all__ = [
     "newest_moment",
     "not_ahead",
     "recorded_batches",
+    "run_fan_out",
     "run_streams",
     "state_partitions_set",
     "stop_streams",

@@ -30,7 +30,8 @@ BatchFunction = Callable[[DataFrame, int], None]
 
 
 @contextmanager
-def _held(rows: DataFrame) -> Iterator[DataFrame]:
+def held(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows while they are read several times."""
     rows.persist()
     try:
         yield rows
@@ -60,7 +61,7 @@ def product_sink(results: Results, deliver: Deliver, k: int = 10) -> BatchFuncti
                 "left_anti",
             )
             fresh = fresh.unionByName(kept.drop("_key"))
-        with _held(ranked_products(fresh, k)) as rows:
+        with held(ranked_products(fresh, k)) as rows:
             if not rows.isEmpty():
                 deliver(
                     payload(rows, "products", batch_id),
@@ -76,17 +77,17 @@ def category_sink(results: Results, deliver: Deliver) -> BatchFunction:
     """Publish all categories so far, most revenue first, and keep the totals of all."""
 
     def write(categories: DataFrame, batch_id: int) -> None:
-        with _held(categories) as held:
-            if held.isEmpty():
+        with held(categories) as kept:
+            if kept.isEmpty():
                 return
-            with _held(category_rows(held)) as rows:
+            with held(category_rows(kept)) as rows:
                 deliver(
                     payload(rows, "categories", batch_id),
                     "categories",
                     Batch(results.query_id, batch_id),
                 )
                 results.view("categories").write(rows, batch_id)
-            results.view("totals").write(totals_of_sales(held).coalesce(1), batch_id)
+            results.view("totals").write(totals_of_sales(kept).coalesce(1), batch_id)
 
     return write
 
@@ -102,7 +103,7 @@ def order_sink(results: Results, deliver: Deliver, k: int = 50, ring: int = 20)
     def write(orders: DataFrame, batch_id: int) -> None:
         view = results.view("recent_orders")
         now = F.current_timestamp()
-        with _held(latest_orders(orders, max(k, ring), now)) as newest:
+        with held(latest_orders(orders, max(k, ring), now)) as newest:
             if newest.isEmpty():
                 return
             shown = newest if k >= ring else latest_orders(newest, k, now)
@@ -143,9 +144,9 @@ def tempo_sink(results: Results, keep: str = "10 minutes") -> BatchFunction:
                 .groupBy("moment")
                 .agg(F.sum("order_count").alias("order_count"))
             )
-        with _held(counts) as held:
-            newest = F.least(held.agg(F.max("moment")).scalar(), F.current_timestamp())
-            recent = held.where(F.col("moment") >= newest - F.expr(f"INTERVAL {keep}"))
+        with held(counts) as kept:
+            newest = F.least(kept.agg(F.max("moment")).scalar(), F.current_timestamp())
+            recent = kept.where(F.col("moment") >= newest - F.expr(f"INTERVAL {keep}"))
             view.write(recent, batch_id)
 
     return write
@@ -158,7 +159,7 @@ def window_sink(results: Results, name: str, keys: Sequence[str]) -> BatchFuncti
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        with _held(changed) as held:
-            results.day_view(name).merge(held, keys, batch_id)
+        with held(changed) as kept:
+            results.day_view(name).merge(kept, keys, batch_id)
 
     return write

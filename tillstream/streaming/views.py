@@ -8,11 +8,11 @@ that wrote last.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -84,21 +84,25 @@ class View:
 
     def _point(self) -> None:
         """Let readers find the results of this query."""
-        if current_query(self.spark, self.base) != self.query_id:
-            write_text(self.spark, f"{self.base}/{_POINTER}", self.query_id)
+        point_to(self.spark, self.base, self.query_id)
+
+    def newest_batch(self, before: int | None = None) -> int | None:
+        """The newest finished batch, of those before ``before``."""
+        finished = (
+            b for b, done in self.batches().items() if done and (before is None or b < before)
+        )
+        return max(finished, default=None)
 
     def newest(self, before: int | None = None, schema: StructType | None = None) -> DataFrame | None:
         """The newest finished result, of the batches before ``before``.
 
         A given ``schema`` spares the job that reads it from the files.
         """
-        finished = [
-            b for b, done in self.batches().items() if done and (before is None or b < before)
-        ]
-        if not finished:
+        newest = self.newest_batch(before)
+        if newest is None:
             return None
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(f"{self._home}/batch={max(finished)}")
+        return reader.parquet(f"{self._home}/batch={newest}")
 
 
 @dataclass
@@ -118,10 +122,7 @@ class DayView(View):
 
     def batches(self) -> dict[int, bool]:
         """The batches that have a manifest."""
-        path, files = _file_system(self.spark, self._manifests)
-        if not files.exists(path):
-            return {}
-        names = [status.getPath().getName() for status in files.listStatus(path)]
+        names = child_names(self.spark, self._manifests)
         return {int(n): True for n in names if n.isdigit()}
 
     def manifest(self, before: int | None = None) -> dict[str, int]:
@@ -129,7 +130,7 @@ class DayView(View):
         known = [b for b in self.batches() if before is None or b < before]
         if not known:
             return {}
-        return json.loads(_read_text(self.spark, f"{self._manifests}/{max(known)}"))
+        return json.loads(read_text(self.spark, f"{self._manifests}/{max(known)}"))
 
     def _read(self, days: dict[str, int], schema: StructType | None) -> DataFrame | None:
         if not days:
@@ -146,15 +147,55 @@ class DayView(View):
         Other rows of these days come from the batch before. Days that are not touched are neither
         read nor written, so a batch costs by what it changes, not by how long the shop is there.
         """
-        days = self.manifest(batch_id)
         day = F.to_date(keys[0]).cast("string")
-        touched = sorted(r[0] for r in changed.select(day).distinct().collect())
-        previous = self._read({d: days[d] for d in touched if d in days}, changed.schema)
-        rows = changed
-        if previous is not None:
+
+        def replaced(previous: DataFrame) -> DataFrame:
             same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-            rows = rows.unionByName(previous.alias("p").join(changed.alias("c"), same, "left_anti"))
-        # One file a day; a day's windows are few.
+            kept = previous.alias("p").join(changed.alias("c"), same, "left_anti")
+            return changed.unionByName(kept)
+
+        self._rewrite(changed, day, replaced, batch_id, keep)
+
+    def fold(
+        self,
+        added: DataFrame,
+        keys: Sequence[str],
+        merge: Callable[[DataFrame], DataFrame],
+        batch_id: int,
+        buckets: int = 16,
+        keep: int = 5,
+    ) -> list[str]:
+        """Add totals to those kept, in buckets by ``keys`` in place of days; gives the buckets.
+
+        ``merge`` makes one row of those with the same keys. The number of buckets is that of the
+        first batch for good.
+        """
+        before = next(iter(self.manifest(batch_id)), None)
+        buckets = int(before.split("-")[0]) if before else buckets
+        bucket = F.concat(F.lit(f"{buckets}-"), F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+        return self._rewrite(
+            added, bucket, lambda previous: merge(added.unionByName(previous)), batch_id, keep
+        )
+
+    def of_days(self, days: Sequence[str], batch_id: int, schema: StructType) -> DataFrame | None:
+        """All rows of the named days or buckets after batch ``batch_id``."""
+        named = self.manifest(batch_id + 1)
+        return self._read({d: named[d] for d in days}, schema)
+
+    def _rewrite(
+        self,
+        rows: DataFrame,
+        day: Column,
+        with_previous: Callable[[DataFrame], DataFrame],
+        batch_id: int,
+        keep: int,
+    ) -> list[str]:
+        days = self.manifest(batch_id)
+        touched = sorted(r[0] for r in rows.select(day).distinct().collect())
+        previous = self._read({d: days[d] for d in touched if d in days}, rows.schema)
+        if previous is not None:
+            rows = with_previous(previous)
+        # One file a day; a day's windows are few, and so is a bucket's share of the products.
         rows.withColumn(self.DAY, day).repartition(self.DAY).write.mode("overwrite").partitionBy(
             self.DAY
         ).parquet(f"{self._home}/data/batch={batch_id}")
@@ -162,6 +203,7 @@ class DayView(View):
         write_text(self.spark, f"{self._manifests}/{batch_id}", json.dumps(now))
         self._drop_old(batch_id, keep)
         self._point()
+        return touched
 
     def _drop_old(self, batch_id: int, keep: int) -> None:
         """Delete manifests more than ``keep`` batches older, and days that only these name."""
@@ -172,7 +214,7 @@ class DayView(View):
         kept = [b for b in older if b not in dropped] + [batch_id]
         named = {(d, b) for k in kept for d, b in self.manifest(k + 1).items()}
         for old in dropped:
-            for d, b in json.loads(_read_text(self.spark, f"{self._manifests}/{old}")).items():
+            for d, b in json.loads(read_text(self.spark, f"{self._manifests}/{old}")).items():
                 if (d, b) not in named:
                     path, files = _file_system(self.spark, f"{self._home}/data/batch={b}/{self.DAY}={d}")
                     files.delete(path, True)
@@ -193,7 +235,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     files.rename(part, target)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def read_text(spark: SparkSession, path: str) -> str | None:
     path, files = _file_system(spark, path)
     if not files.exists(path):
         return None
@@ -204,9 +246,28 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    path, files = _file_system(spark, path)
+    if not files.exists(path):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(path)]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    path, files = _file_system(spark, path)
+    files.delete(path, True)
+
+
+def point_to(spark: SparkSession, base: str, query_id: str) -> None:
+    """Let the pointer under ``base`` name the query."""
+    if current_query(spark, base) != query_id:
+        write_text(spark, f"{base}/{_POINTER}", query_id)
+
+
 def current_query(spark: SparkSession, base: str) -> str | None:
     """The id of the query that the pointer under ``base`` names."""
-    return _read_text(spark, f"{base}/{_POINTER}")
+    return read_text(spark, f"{base}/{_POINTER}")
 
 
 def latest_view(spark: SparkSession, out: str, name: str) -> DataFrame:
