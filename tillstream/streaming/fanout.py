@@ -8,8 +8,8 @@ of the source; readers that go by it see all views as of one batch.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,7 +153,7 @@ def fan_out(
 ) -> Callable[[DataFrame, int], None]:
     """The batch function over judged messages: all sinks, each once, then the commit.
 
-    Sinks that follow from one another run in their order, the others side by side.
+    Sinks run side by side, those that follow from the products' totals after them.
     """
     commits = Commits(results)
     newest = sinks.order_sink(results, deliver)
@@ -167,26 +167,33 @@ def fan_out(
         name, write = step
         return name, lambda judged, batch_id: write(accepted(judged), batch_id)
 
-    chains: list[Sequence[Step]] = [
-        [of_orders(step) for step in _products(results, deliver, buckets)],
-        [of_orders(("raw_orders", newest))],
-        [of_orders(("tempo", lambda orders, batch_id: tempo(orders.select(TIME), batch_id)))],
-        [("rejected", rejects)],
+    totals, *of_totals = (of_orders(step) for step in _products(results, deliver, buckets))
+    others = [
+        of_orders(("raw_orders", newest)),
+        of_orders(("tempo", lambda orders, batch_id: tempo(orders.select(TIME), batch_id))),
+        ("rejected", rejects),
     ]
 
     def write(judged: DataFrame, batch_id: int) -> None:
         finished = commits.finished(batch_id)
 
-        @inheritable_thread_target(results.spark)
-        def run(chain: Sequence[Step]) -> None:
-            for name, sink in chain:
+        def started(step: Step, after: Future | None = None) -> Future:
+            name, sink = step
+
+            @inheritable_thread_target(results.spark)
+            def run() -> None:
+                if after is not None:
+                    after.result()
                 if name not in finished:
                     sink(judged, batch_id)
                     commits.finish(name, batch_id)
 
+            return pool.submit(run)
+
         results.query_id  # read once, before the threads ask for it
-        with sinks.held(judged), ThreadPoolExecutor(len(chains)) as pool:
-            running = [pool.submit(run, chain) for chain in chains]
+        with sinks.held(judged), ThreadPoolExecutor(1 + len(others) + len(of_totals)) as pool:
+            first = started(totals)
+            running = [first, *map(started, others), *(started(s, first) for s in of_totals)]
             errors = [e for e in (f.exception() for f in running) if e is not None]
         if errors:
             raise errors[0]
