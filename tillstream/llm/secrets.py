@@ -47,8 +47,6 @@ for (_, _, _codes), (_, _alphabet) in zip(_SETS, ENCODINGS):
     _codes[[ord(c) for c in _alphabet]] = range(len(_alphabet))
 KINDS = [*BASE_KINDS, *(f"random_{name}" for name, _ in ENCODINGS)]
 
-#: Standard deviations beyond which a test finds a token not random.
-MOST_Z = 3.5
 #: Share of false findings that is allowed among the tokens found.
 FALSE_SHARE = 0.01
 #: Shortest tokens of each length class; each class is controlled by itself.
@@ -79,7 +77,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def transitions(docs: DataFrame) -> np.ndarray:
-    """How often each symbol follows each in the tokens of all texts, as probabilities.
+    """How often each symbol follows each in the tokens of all texts.
 
     One row for each pair of symbols comes to the driver. The last symbol stands for all that
     parts tokens; every pair counts once more than it is found.
@@ -101,9 +99,22 @@ def transitions(docs: DataFrame) -> np.ndarray:
     counts = np.ones(_SIZE * _SIZE)
     for row in rows.collect():
         counts[row["pair"]] += row["n"]
-    table = counts.reshape(_SIZE, _SIZE)
-    inside = table[:, :-1]
-    return np.log(inside / inside.sum(axis=1, keepdims=True))
+    return counts.reshape(_SIZE, _SIZE)[:, :-1]
+
+
+def ordinary_log(token: str, usual: np.ndarray, from_symbol: np.ndarray) -> float:
+    """Log probability of a token as ordinary text, by the transitions of all but itself.
+
+    ``from_symbol`` are the sums of the rows of ``usual``. A token that its own symbols had made
+    usual would be hidden by them in a small corpus.
+    """
+    code = _CODE[np.frombuffer(token.encode(), np.uint8)]
+    before = np.concatenate(([_SIZE - 1], code[:-1]))
+    _, place, own = np.unique(before * _SIZE + code, return_inverse=True, return_counts=True)
+    own_from = np.bincount(before, minlength=_SIZE)[before]
+    # Each pair counts once more than it is found, so what is left is never 0.
+    left = np.maximum(usual[before, code] - own[place], 1)
+    return float(np.log(left / np.maximum(from_symbol[before] - own_from, left)).sum())
 
 
 def infer_encoding(token: str) -> int:
@@ -153,40 +164,52 @@ def battery(token: str, encoding: int) -> tuple[float, float, float]:
     return z_chi, z_runs, z_serial
 
 
+def log_p(scores: tuple[float, ...]) -> float:
+    """Logarithm of the p-value that all tests give a random token, by Bonferroni, at most 0."""
+    x = max(map(abs, scores)) / math.sqrt(2)
+    # Far out erfc is 0 in floating point; there its asymptotic form is as good.
+    tail = math.log(math.erfc(x)) if x < 20 else -x * x - math.log(x * math.sqrt(math.pi))
+    return min(0.0, math.log(len(scores)) + tail)
+
+
 def candidates(text: str, usual: np.ndarray) -> list[dict]:
-    """Tokens that pass the battery, with the evidence against ordinary text in nats.
+    """All tokens that are tested, with the evidence against ordinary text in nats.
 
-    The evidence is the logarithm of how much likelier the token is if its symbols are drawn
-    evenly from its alphabet than as ordinary text, by the transitions. Under ordinary text the
-    ratio is at most 1 on average, whatever the length: it is an e-value.
+    The ratio is how much likelier the token is if its symbols are drawn evenly from its alphabet
+    than as ordinary text, by the transitions. As the alphabet goes by the token, ordinary text has
+    a mean ratio of up to the number of encodings; divided by that, it is at most 1, whatever the
+    length. Times the battery's p-value, which is at most 1, it is still an e-value: a token that
+    the tests find less random needs the more evidence, and one that fails them has none.
     """
     found = []
+    from_symbol = usual.sum(axis=1)
     for start, token in tokens_of(text):
         encoding = infer_encoding(token)
-        code = _CODE[np.frombuffer(token.encode(), np.uint8)]
-        ordinary = usual[np.concatenate(([_SIZE - 1], code[:-1])), code].sum()
-        evidence = -len(token) * math.log(len(ENCODINGS[encoding][1])) - ordinary
-        if max(map(abs, battery(token, encoding))) <= MOST_Z:
-            level = min(STEPS, max(0, int(evidence / STEP)))
-            group = sum(len(token) >= n for n in LENGTHS) - 1
-            found.append(
-                {
-                    "start": start,
-                    "end": start + len(token),
-                    "encoding": encoding,
-                    "group": group,
-                    "level": level,
-                }
-            )
+        ordinary = ordinary_log(token, usual, from_symbol)
+        likelier = -len(token) * math.log(len(ENCODINGS[encoding][1])) - ordinary
+        evidence = likelier - math.log(len(ENCODINGS)) + log_p(battery(token, encoding))
+        level = min(STEPS, max(0, int(evidence / STEP)))
+        group = sum(len(token) >= n for n in LENGTHS) - 1
+        found.append(
+            {
+                "start": start,
+                "end": start + len(token),
+                "encoding": encoding,
+                "group": group,
+                "level": level,
+            }
+        )
     return found
 
 
 def levels_needed(counts: dict[tuple[int, int], int], share: float) -> dict[int, int]:
     """For each length class the least level of evidence that is believed.
 
-    By the step-up rule for e-values: with k of m tokens at a level or above, it is believed if its
-    e-value is at least m / (share * k). That bounds the expected share of false findings in each
-    class under any dependence, copies of a token included.
+    By the step-up rule for e-values: with k of all m tested tokens at a level or above, it is
+    believed if its e-value is at least m / (share * k). If ordinary tokens follow the transitions,
+    that bounds the expected share of false findings in each class under any dependence, copies of
+    a token included. The transitions are estimated, from all texts but the token itself; the other
+    secrets in them make a secret look more ordinary, which errs towards finding less.
     """
     needed = {}
     for group in {g for g, _ in counts}:
