@@ -33,6 +33,11 @@ REMEMBERED = 200_000
 #: A character other than white space, ASCII, and letters of which lower case and normal form are
 #: one character each.
 _UNUSUAL = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]")
+#: Texts that tell whether a tokeniser cuts as is taken for granted below.
+_PROBES = [
+    "It's 3.14, we'll (say) \"a-b\" x2y... don't AB,cd. they're 1,000 #tags! plain words only",
+    "naïve\u00a0text in 漢字 and Ελληνικά, mixed3 with ascii's\tand\n\nlines",
+]
 #: What the tokeniser parts from letters, in its order of trial.
 _PARTED = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[0-9]|[!-/:-@\[-`{-~]+")
 #: Texts without these hold no parted runs but single commas and full stops.
@@ -53,7 +58,7 @@ class WordIds:
     Texts of usual characters are cut as the tokeniser cuts them, and the runs go to its model.
     In others the words between white space, which the tokeniser never joins, go to the tokeniser
     itself; a text with a special token goes there whole. What is remembered is bounded and only
-    saves time.
+    saves time. A vocabulary whose tokeniser cuts some of ``_PROBES`` otherwise gets all texts whole.
     """
 
     def __init__(self, path: str):
@@ -76,6 +81,17 @@ class WordIds:
         )
         self.runs = Memo(self._learn_runs, REMEMBERED)
         self.words = Memo(self._learn_words, REMEMBERED // 8)
+        self.alike = True
+        self.alike = self._cuts_alike()
+
+    def _cuts_alike(self) -> bool:
+        if not self.ends.any():
+            return False
+        whole = [self.whole.encode(t, add_special_tokens=False).ids for t in _PROBES]
+        try:
+            return self.encode(_PROBES) == [np.array(ids, dtype="<u4").tobytes() for ids in whole]
+        except KeyError:  # A run that did not end in a token that ends words.
+            return False
 
     def _learn_runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
         """Ids of runs, a hundred in one call. The last token of each ends it."""
@@ -104,7 +120,7 @@ class WordIds:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if any(s in text for s in self.special):
+            if not self.alike or any(s in text for s in self.special):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
                 encoded[i] = np.array(ids, dtype="<u4").tobytes()
             elif _UNUSUAL.search(text):
@@ -198,10 +214,14 @@ class Left:
             i -= 1
         return None
 
-    def fill(self, lengths: tuple[int, ...]) -> Filling:
-        """Fills as many bins this way as the counts allow, and takes the pieces out."""
+    def alike(self, lengths: tuple[int, ...]) -> int:
+        """How many bins the counts allow to be filled this way."""
+        return min(self.counts[n] // k for n, k in Counter(lengths).items())
+
+    def fill(self, lengths: tuple[int, ...], most: int | None = None) -> Filling:
+        """Fills as many bins this way as the counts allow, or ``most``, and takes the pieces out."""
         need = Counter(lengths)
-        bins = min(self.counts[n] // k for n, k in need.items())
+        bins = most or self.alike(lengths)
         for n, k in need.items():
             self.counts[n] -= k * bins
             if not self.counts[n]:
@@ -224,16 +244,22 @@ def best_fit(left: Left, capacity: int) -> list[Filling]:
     return plan
 
 
-def fillings(left: Left, capacity: int, most_waste: int) -> list[tuple[int, ...]]:
-    """Undominated fillings around the longest piece that waste at most ``most_waste``, least first.
+def fillings(
+    left: Left, capacity: int, most_waste: int
+) -> tuple[list[tuple[int, ...]], bool]:
+    """Undominated fillings around the longest piece that waste at most ``most_waste``, least first,
+    and whether these are all.
 
     A filling is dominated if another piece that is left fits on top, or one longer than one of its
     pieces fits in that one's place: the other filling leaves no harder a rest. The longest pieces
-    are tried first, so the first filling is the best fit.
+    are tried first, so the first filling met is the best fit. Where the search is cut before it has
+    met an undominated one, nothing is known of the rest, and the best fit stands in.
     """
     largest = left.order[-1]
     found: list[tuple[int, tuple[int, ...]]] = []
+    first: tuple[int, ...] | None = None
     steps = 0
+    cut = False
 
     def dominated(chosen: list[int], used: Counter, room: int) -> bool:
         for c in set(chosen):
@@ -245,14 +271,18 @@ def fillings(left: Left, capacity: int, most_waste: int) -> list[tuple[int, ...]
         return False
 
     def search(most: int, room: int, chosen: list[int], used: Counter) -> None:
-        nonlocal steps
+        nonlocal steps, first, cut
         n = left.fitting(min(most, room), used)
         if n is None:
             if room <= most_waste and left.fitting(room, used) is None:
+                first = first or (largest, *chosen)
                 if not dominated(chosen, used, room):
                     found.append((room, (largest, *chosen)))
             return
-        while n is not None and steps < STEPS and len(found) < FILLINGS:
+        while n is not None:
+            if steps >= STEPS or len(found) >= FILLINGS:
+                cut = True
+                return
             steps += 1
             used[n] += 1
             search(n, room - n, [*chosen, n], used)
@@ -260,28 +290,50 @@ def fillings(left: Left, capacity: int, most_waste: int) -> list[tuple[int, ...]
             n = left.fitting(min(n - 1, room), used)
 
     search(capacity, capacity - largest, [], Counter([largest]))
-    return [lengths for _, lengths in sorted(found, key=lambda f: f[0])]
+    if cut and not found and first:
+        return [first], False
+    return [lengths for _, lengths in sorted(found, key=lambda f: f[0])], not cut
 
 
 def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Filling]:
-    """A plan for all pieces with as few bins as the search finds.
-
-    Branch and bound: at each node the longest piece left is completed in every undominated way
-    found, least waste first, for as many alike bins as the counts allow. Best fit gives the first
-    incumbent, and again and again the rest below a node. A node is pruned if its bins and the bound
-    on its rest, total length over capacity rounded up, reach the incumbent. The search ends at the
-    lower bound or after ``nodes`` nodes, and returns the incumbent. What it costs goes by the
-    number of lengths, at most ``capacity``, not by that of pieces.
+    """The plan of :func:`search_plan`."""
+    return search_plan(counts, capacity, nodes)[0]
+
+
+def search_plan(
+    counts: dict[int, int], capacity: int, nodes: int = NODES
+) -> tuple[list[Filling], bool]:
+    """A plan for all pieces with as few bins as the search finds, and whether none has fewer.
+
+    Branch and bound: at each node the longest piece left is completed in every undominated way,
+    least waste first. A branch fills as many alike bins as the counts allow, one after these fills a
+    single one, so no plan is out of reach. Best fit gives the first incumbent, and again and again
+    the rest below a node. A node is pruned if its bins and the bound on its rest, total length over
+    capacity rounded up, reach the incumbent. The search ends at the lower bound, when nothing is
+    open, or after ``nodes`` nodes. The plan is proven least if it meets the bound, or if the search
+    has ended with all nodes' fillings known (``FILLINGS`` and ``STEPS`` bound these). What it costs
+    goes by the number of lengths, at most ``capacity``, not by that of pieces.
     """
-    bound = -(-sum(n * c for n, c in counts.items()) // capacity)
+    total = sum(n * c for n, c in counts.items())
+    bound = -(-total // capacity)
     best = best_fit(Left(counts), capacity)
     best_bins = sum(f.bins for f in best)
-    #: An entry: what is left, the plan so far as a linked list, its bins. The last goes first.
-    stack: list[tuple[Left, tuple | None, int]] = [(Left(counts), None, 0)]
+    whole = True
     seen = 0
-    while stack and best_bins > bound and seen < nodes:
-        left, plan, bins = stack.pop()
-        rest = left.total()
+    #: An entry: what was left before its filling, the filling and its bins (None: as many as there
+    #: can be), the plan before it as a linked list, its bins and rest. The last goes first.
+    stack: list[tuple[Left, tuple[int, ...], int | None, tuple | None, int, int]] = []
+    state: tuple[Left, tuple | None, int, int] | None = (Left(counts), None, 0, total)
+    while best_bins > bound and seen < nodes and (state or stack):
+        if state is None:
+            before, lengths, most, plan, bins, rest = stack.pop()
+            if bins + -(-rest // capacity) >= best_bins:
+                continue
+            left = before.copy()
+            filled = left.fill(lengths, most)
+            state = left, (filled, plan), bins + filled.bins, rest - filled.bins * sum(lengths)
+        left, plan, bins, rest = state
+        state = None
         if bins + -(-rest // capacity) >= best_bins:
             continue
         if not left.order:
@@ -290,16 +342,18 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
         seen += 1
         if seen % REFIT == 0:
             fitted = best_fit(left.copy(), capacity)
-            total = bins + sum(f.bins for f in fitted)
-            if total < best_bins:
-                best, best_bins = _unlinked(plan) + fitted, total
+            fitted_bins = bins + sum(f.bins for f in fitted)
+            if fitted_bins < best_bins:
+                best, best_bins = _unlinked(plan) + fitted, fitted_bins
         # The waste that all further bins can bear together, if the incumbent is to be beaten.
         bearable = (best_bins - 1 - bins) * capacity - rest
-        for lengths in reversed(fillings(left, capacity, bearable)[:4]):
-            after = left.copy()
-            filled = after.fill(lengths)
-            stack.append((after, (filled, plan), bins + filled.bins))
-    return best
+        ways, known = fillings(left, capacity, bearable)
+        whole = whole and known
+        for most in (1, None):
+            for lengths in reversed(ways):
+                if most is None or left.alike(lengths) > 1:
+                    stack.append((left, lengths, most, plan, bins, rest))
+    return best, best_bins <= bound or (whole and not stack and state is None)
 
 
 def _unlinked(plan: tuple | None) -> list[Filling]:
@@ -334,14 +388,13 @@ def slots(plan: list[Filling]) -> dict[int, np.ndarray]:
 def _ranked(rows: DataFrame) -> DataFrame:
     """Adds ``rank``, the place of a row among those of its length, from 0.
 
-    Rows of a length are dealt to so many groups by hash that a group has about ``NUMBERED``;
-    ranks are the place in the group and the sizes of the groups before, so one length may hold
+    Rows of a length are dealt to so many groups by a hash of ``uid``, their number, that a group has
+    about ``NUMBERED``, also of rows that are alike in all columns; ranks are the place in the group and the sizes of the groups before, so one length may hold
     any share of the rows.
     """
-    keys = ["doc_id", "piece", "start", "ids_crc32"]
     most = rows.groupBy("length").count().agg(F.max("count")).first()[0] or 0
     groups = max(1, -(-most // NUMBERED))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("uid"), F.lit(groups)))
     before = Window.partitionBy("length").orderBy("group").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -351,12 +404,12 @@ def _ranked(rows: DataFrame) -> DataFrame:
         .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
         .drop("size")
     )
-    place = F.row_number().over(Window.partitionBy("length", "group").orderBy(*keys)) - 1
+    place = F.row_number().over(Window.partitionBy("length", "group").orderBy("uid")) - 1
     return (
         dealt.withColumn("place", place)
         .join(sizes, ["length", "group"])
         .withColumn("rank", F.col("place") + F.col("before"))
-        .drop("group", "place", "before")
+        .drop("group", "place", "before", "uid")
     )
 
 
@@ -373,7 +426,9 @@ def pack(
     where the search runs; the pieces are then dealt to their places by their rank among those of
     their length.
     """
-    rows = durable(pieces(docs, vocabulary, capacity))
+    cut = pieces(docs, vocabulary, capacity)
+    # The numbers are kept with the rows, so they are the same in whatever reads these.
+    rows = durable(cut.withColumn("uid", F.monotonically_increasing_id()))
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     places = rows.sparkSession.sparkContext.broadcast(
         slots(bin_completion(counts, capacity, nodes))
