@@ -13,8 +13,10 @@ from tillstream.streaming import (
     await_streams,
     committed_products,
     committed_snapshot,
+    committed_trends,
     last_commit,
     latest_view,
+    reconciled,
     run_fan_out,
     targets,
 )
@@ -123,3 +125,98 @@ def test_commits_and_buckets_are_kept_in_bounds(spark, feed_files, tmp_path):  #
     days = last_commit(spark, str(tmp_path / "out")).view("products")
     assert {f.rsplit("_day=", 1)[1].split("/")[0] for f in days.inputFiles()} == {"2-0", "2-1"}
     assert_as_batch(spark, str(tmp_path / "out"), batch(spark, tmp_path / "in"))
+
+
+def sorted_rows(rows):
+    return sorted(dicts(rows), key=repr)
+
+
+def of_windows(spark, out):
+    """What there is of windows, as of the last commit."""
+    commit = last_commit(spark, out)
+    return [
+        sorted_rows(rows)
+        for rows in (
+            committed_trends(spark, out),
+            commit.view("throughput"),
+            commit.set_aside(),
+            reconciled(spark, out),
+        )
+    ]
+
+
+def test_windows_and_what_is_set_aside(spark, feed_files, tmp_path):  # noqa: F811
+    """Late, ahead and untimed orders are in no window, and together with it they are all."""
+    late = batch_of(spark, feed_files[:1], tmp_path / "first")
+    rest = batch_of(spark, feed_files[1:], tmp_path / "rest")
+    arrive(feed_files[1:], tmp_path / "in")
+    # The first file comes last, and with it one order dated ahead and one without a time.
+    template = json.loads(feed_files[0].read_text().splitlines()[0])
+    odd = []
+    for time in ("2999-01-01T00:00:00", "no time"):
+        value = json.loads(template["value"]) | {"timestamp": time}
+        odd.append(json.dumps(template | {"value": json.dumps(value)}))
+    run(spark, tmp_path, lateness="10 minutes")
+    last = tmp_path / "in" / "part-00009-last.json"
+    last.write_text(feed_files[0].read_text() + "".join(f"{line}\n" for line in odd))
+    run(spark, tmp_path, lateness="10 minutes")
+    out = str(tmp_path / "out")
+    assert dicts(reconciled(spark, out)) == [
+        {
+            "accepted": 1002,
+            "in_windows": rest.count(),
+            "late": late.count(),
+            "ahead": 1,
+            "untimed": 1,
+            "balanced": True,
+        }
+    ]
+    assert sorted_rows(committed_trends(spark, out)) == sorted_rows(trends.trend(rest, "1 hour", "category"))
+    assert sorted_rows(committed_trends(spark, out, late=True)) == sorted_rows(
+        trends.trend(rest.unionByName(late), "1 hour", "category")
+    )
+    commit = last_commit(spark, out)
+    assert sorted_rows(commit.view("throughput")) == sorted_rows(trends.throughput(rest))
+    kept = commit.set_aside().where("place = 'late'").drop("place")
+    assert sorted_rows(kept) == sorted_rows(late.select(kept.columns))
+
+
+def batch_of(spark, files, folder):
+    arrive(files, folder)
+    return batch(spark, folder)
+
+
+def test_windows_of_a_batch_that_runs_again(spark, feed_files, tmp_path):  # noqa: F811
+    """A crash within the windows' sink leaves nothing twice; days that a batch does not touch are
+    not written by it."""
+    (tmp_path / "sound").mkdir()
+    arrive(feed_files, tmp_path / "sound" / "in")
+    run(spark, tmp_path / "sound", lateness="10 minutes")
+    arrive(feed_files, tmp_path / "in")
+    out = str(tmp_path / "out")
+    to_files = targets.to_files(f"{out}/payloads")
+
+    def failing(document, name, batch):
+        if name == "categories" and batch.number == 3:
+            raise RuntimeError("lost the executor")
+        to_files(document, name, batch)
+
+    with pytest.raises(StreamingQueryException, match="lost the executor"):
+        run(spark, tmp_path, deliver=failing, lateness="10 minutes")
+    (marks,) = (tmp_path / "out" / "commits").glob("query=*/sinks/3/periods")
+    marks.unlink()
+    run(spark, tmp_path, lateness="10 minutes")
+    assert of_windows(spark, out) == of_windows(spark, str(tmp_path / "sound" / "out"))
+    written = {
+        f.rsplit("/batch=", 1)[1].split("/")[0]
+        for f in last_commit(spark, out).view("trends").inputFiles()
+    }
+    assert len(written) > 1
+
+
+def test_no_windows_unless_asked_for(spark, feed_files, tmp_path):  # noqa: F811
+    arrive(feed_files[:1], tmp_path / "in")
+    run(spark, tmp_path)
+    with pytest.raises(LookupError):
+        committed_trends(spark, str(tmp_path / "out"))
+    assert last_commit(spark, str(tmp_path / "out")).set_aside().isEmpty()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import as_double, exact_total, money_sum
+from tillstream.functions.money import as_double, exact_total, money_sum, total_of
 from tillstream.functions.times import within_trailing
 
 TIME = "timestamp_parsed"
@@ -98,6 +98,32 @@ def trend(orders: DataFrame, every: str = "1 hour", *by: str) -> DataFrame:
     )
 
 
+def trend_totals(orders: DataFrame, every: str = "1 hour", *by: str) -> DataFrame:
+    """What :func:`trend` follows from, in a form that adds up over batches of orders."""
+    return (
+        orders.groupBy(F.window(TIME, every), *by)
+        .agg(
+            F.count("order_id").alias("order_count"),
+            exact_total(F.col("total_value")).alias("exact_revenue"),
+        )
+        .select(F.col("window.start").alias("period_start"), *by, "order_count", "exact_revenue")
+    )
+
+
+def merge_trend_totals(totals: DataFrame, *by: str) -> DataFrame:
+    """The totals of all batches from those of each, to the cent whatever the batches are."""
+    return totals.groupBy("period_start", *by).agg(
+        F.sum("order_count").alias("order_count"),
+        total_of(F.col("exact_revenue")).alias("exact_revenue"),
+    )
+
+
+def trend_of_totals(totals: DataFrame) -> DataFrame:
+    """:func:`trend` from the totals of all orders."""
+    revenue = as_double(F.col("exact_revenue")).alias("total_revenue")
+    return totals.select("*", revenue).drop("exact_revenue")
+
+
 def hour_of_day(orders: DataFrame, *by: str) -> DataFrame:
     """Orders and revenue by hour of the day, all days taken together.
 

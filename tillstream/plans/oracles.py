@@ -126,6 +126,10 @@ AVG_VALUE = f"""count(order_id) transactions, {money("total_value")} total_reven
 TREND_HOURLY = f"""select date_trunc('hour', timestamp_parsed) period_start, category,
   count(order_id) order_count, {money("total_value")} total_revenue from {EVENTS} group by 1, 2"""
 
+# The first of five spans of time of equal length, which arrives last.
+FIRST_FIFTH = """epoch_us(timestamp_parsed) < (select min(epoch_us(ts))
+  + cast(round_even((max(epoch_us(ts)) - min(epoch_us(ts))) / 5.0, 0) as bigint) from events)"""
+
 THROUGHPUT = """select date_trunc('minute', ts) "minute", count(*) order_count from events group by 1"""
 
 # The position of the metrics row stands for orders_per_minute.
@@ -229,6 +233,10 @@ ORACLES: dict[str, str] = {
     "stream_snapshot": snapshot(),
     "stream_committed_snapshot": snapshot(),
     "stream_committed_products": product_sales(EVENTS),
+    "stream_reconciled": f"""select count(*) accepted, count(*) filter (not {FIRST_FIFTH}) in_windows,
+  count(*) filter ({FIRST_FIFTH}) late, 0 ahead, 0 untimed, true balanced from {EVENTS}""",
+    "stream_late_orders": f"select {PARSED} from {EVENTS} where {FIRST_FIFTH}",
+    "stream_committed_trends": TREND_HOURLY,
     "stream_restarted_totals": f"select count(*) total_orders, {money('total_value')} total_revenue from {EVENTS}",
     "stream_category_rank": f"""select rank() over (order by total_revenue desc) revenue_rank, category,
   total_revenue from ({category_sales(EVENTS)})""",

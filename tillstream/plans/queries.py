@@ -30,6 +30,7 @@ from tillstream.streaming import (
     batch_ledger,
     committed_products,
     committed_snapshot,
+    committed_trends,
     deduplicate,
     land_orders,
     landed_orders,
@@ -42,6 +43,7 @@ from tillstream.streaming import (
     live_snapshot,
     live_tempo,
     newest_moment,
+    reconciled,
     recorded_batches,
     run_fan_out,
     run_streams,
@@ -689,12 +691,16 @@ def stream_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fanned(
-    spark: SparkSession, folder: str, result: Callable[[SparkSession, str], DataFrame]
+    spark: SparkSession,
+    folder: str,
+    result: Callable[[SparkSession, str], DataFrame],
+    parts: Sequence[tuple[int, int]] = ((0, 2), (2, FILES)),
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Work off all events by the one query for all sinks, ended after two files and started
-    again, and take the result."""
+    """Work off all events by the one query for all sinks, ended after each of ``parts`` of the files
+    and started again, and take the result."""
     root = shared_folder(spark)
-    for first, last in ((0, 2), (2, FILES)):
+    for first, last in parts:
         _arrive(spark, folder, f"{root}/feed", first, last)
         orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
         started = run_fan_out(
@@ -702,6 +708,7 @@ def _fanned(
             f"{root}/out",
             f"{root}/checkpoint",
             available_now=True,
+            lateness=lateness,
             name=f"{os.path.basename(root)}-shop",
         )
         await_streams([started])
@@ -729,6 +736,40 @@ def stream_committed_products(spark: SparkSession, folder: str) -> DataFrame:
     return _fanned(spark, folder, products)
 
 
+#: The first file arrives last, so that its orders are late.
+_LATE = {"parts": ((1, FILES), (0, 1)), "lateness": "10 minutes"}
+
+
+@query
+def stream_reconciled(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the orders of a feed are whose first fifth comes after the rest."""
+    return _fanned(spark, folder, reconciled, **_LATE)
+
+
+@query
+def stream_late_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders that came too late for their windows, whole."""
+    return _fanned(
+        spark,
+        folder,
+        lambda spark, out: plain_times(
+            last_commit(spark, out).set_aside().where(F.col("place") == "late").drop("place")
+        ),
+        **_LATE,
+    )
+
+
+@query
+def stream_committed_trends(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours and categories with the late orders added to them."""
+    return _fanned(
+        spark,
+        folder,
+        lambda spark, out: plain_times(committed_trends(spark, out, late=True)),
+        **_LATE,
+    )
+
+
 @query
 def stream_distinct_products(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct products of each day and category, from hourly sketches that a stream keeps, which

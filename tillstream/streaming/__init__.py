@@ -1,7 +1,9 @@
 from tillstream.streaming.fanout import (
     committed_products,
     committed_snapshot,
+    committed_trends,
     last_commit,
+    reconciled,
     run_fan_out,
 )
 from tillstream.streaming.ledger import batch_ledger, recorded_batches
@@ -36,6 +38,7 @@ __all__ = [
     "batch_sizes",
     "committed_products",
     "committed_snapshot",
+    "committed_trends",
     "deduplicate",
     "land_orders",
     "landed_orders",
@@ -51,6 +54,7 @@ __all__ = [
     "live_update",
     "newest_moment",
     "not_ahead",
+    "reconciled",
     "recorded_batches",
     "run_fan_out",
     "run_streams",

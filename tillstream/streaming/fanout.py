@@ -27,8 +27,15 @@ from tillstream.operators.sales import (
     product_totals,
 )
 from tillstream.operators.serving import metrics_row, order_rows, snapshot
-from tillstream.operators.trends import TIME, orders_last_minute_of_counts
+from tillstream.operators.trends import (
+    TIME,
+    merge_trend_totals,
+    orders_last_minute_of_counts,
+    trend_of_totals,
+    trend_totals,
+)
 from tillstream.streaming import sinks
+from tillstream.streaming.periods import ASIDE, IN_WINDOWS, aside_of, period_sink
 from tillstream.streaming.targets import Deliver, to_files
 from tillstream.streaming.views import (
     DayView,
@@ -43,7 +50,17 @@ from tillstream.streaming.views import (
 )
 
 #: The views that a commit ties together.
-VIEWS = ("products", "top_products", "categories", "totals", "recent_orders", "tempo")
+VIEWS = (
+    "products",
+    "top_products",
+    "categories",
+    "totals",
+    "recent_orders",
+    "tempo",
+    "trends",
+    "throughput",
+)
+_BY_DAYS = {"products", "trends", "throughput"}
 
 Step = tuple[str, Callable[[DataFrame, int], None]]
 
@@ -96,14 +113,20 @@ class Committed:
     offsets: list[str]
 
     def view(self, name: str) -> DataFrame:
-        batch = self.views[name]
-        if batch is None:
+        batch = self.views.get(name)
+        view = _view(self.spark, self.out, self.query_id, name)
+        rows = None if batch is None else view.newest(batch + 1)
+        if rows is None:
             raise LookupError(f"{name} has no result under {self.out} yet")
-        return _view(self.spark, self.out, self.query_id, name).newest(batch + 1)
+        return rows
+
+    def set_aside(self) -> DataFrame:
+        """The orders that are in no window, with their ``place``: late, ahead or untimed."""
+        return aside_of(self.spark, self.out, self.query_id, self.batch)
 
 
 def _view(spark: SparkSession, out: str, query_id: str, name: str) -> View:
-    kind = DayView if name == "products" else View
+    kind = DayView if name in _BY_DAYS else View
     return kind(spark, f"{out}/views/{name}", query_id)
 
 
@@ -149,9 +172,10 @@ def _products(results: Results, deliver: Deliver, buckets: int) -> list[Step]:
 
 
 def fan_out(
-    results: Results, deliver: Deliver, buckets: int = 16
+    results: Results, deliver: Deliver, buckets: int = 16, lateness: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """The batch function over judged messages: all sinks, each once, then the commit.
+    """The batch function over judged messages: all sinks, each once, then the commit. There are
+    windows if there is a ``lateness``.
 
     Sinks run side by side, those that follow from the products' totals after them.
     """
@@ -173,6 +197,8 @@ def fan_out(
         of_orders(("tempo", lambda orders, batch_id: tempo(orders.select(TIME), batch_id))),
         ("rejected", rejects),
     ]
+    if lateness is not None:
+        others.append(of_orders(("periods", period_sink(results, lateness))))
 
     def write(judged: DataFrame, batch_id: int) -> None:
         finished = commits.finished(batch_id)
@@ -211,6 +237,7 @@ def run_fan_out(
     available_now: bool = False,
     deliver: Deliver | None = None,
     buckets: int = 16,
+    lateness: str | None = None,
     name: str = "shop",
 ) -> StreamingQuery:
     """Start one query over a stream of messages that gives the leaderboard, the categories, the
@@ -220,11 +247,15 @@ def run_fan_out(
     the sales of all products so far are a further view, ``products``, of which a batch writes the
     buckets it changes. A batch costs by its orders and the number of products, not by the orders
     before it. Rejected messages are in a folder for each batch under ``out/rejected``.
+
+    With ``lateness``, such as ``"10 minutes"``, there are also the orders and revenue of each hour
+    and category and the orders of each minute. Orders that are further behind the newest of the
+    batches before, as far ahead of the present, or without a time are in no window but set aside.
     """
     judged = judge_orders(messages)
     raw = {c: F.when(F.col("reject_reason").isNotNull(), F.col(c)) for c in ("key", "value")}
     results = Results(messages.sparkSession, out, checkpoint)
-    write = fan_out(results, deliver or to_files(f"{out}/payloads"), buckets)
+    write = fan_out(results, deliver or to_files(f"{out}/payloads"), buckets, lateness)
     writer = judged.withColumns(raw).writeStream.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -238,6 +269,42 @@ def committed_products(spark: SparkSession, out: str) -> DataFrame:
     return product_sales_of_totals(last_commit(spark, out).view("products"))
 
 
+def committed_trends(spark: SparkSession, out: str, late: bool = False) -> DataFrame:
+    """Orders and revenue of each hour and category up to the last commit.
+
+    With ``late``, the late orders are added to the hours they are of.
+    """
+    commit = last_commit(spark, out)
+    totals = commit.view("trends")
+    if late:
+        missed = commit.set_aside().where(F.col("place") == "late")
+        more = trend_totals(missed, "1 hour", "category")
+        totals = merge_trend_totals(totals.unionByName(more), "category")
+    return trend_of_totals(totals)
+
+
+def reconciled(spark: SparkSession, out: str) -> DataFrame:
+    """One row: ``accepted`` orders up to the last commit, and how many of them are ``in_windows``,
+    ``late``, ``ahead`` and ``untimed``, each counted from what is kept; ``balanced`` if these make
+    up all."""
+    commit = last_commit(spark, out)
+
+    def counted(rows: DataFrame, name: str, count: Column) -> DataFrame:
+        return rows.agg(count.alias("n")).select(F.lit(name).alias("part"), "n")
+
+    parts = [
+        counted(commit.view("totals"), "accepted", F.sum("total_orders")),
+        counted(commit.view("throughput"), IN_WINDOWS, F.sum("order_count")),
+        commit.set_aside().groupBy(F.col("place").alias("part")).agg(F.count("*").alias("n")),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    names = ("accepted", IN_WINDOWS, *ASIDE)
+    number = {p: F.coalesce(F.sum(F.when(F.col("part") == p, F.col("n"))), F.lit(0)) for p in names}
+    row = rows.agg(*(n.alias(p) for p, n in number.items()))
+    whole = sum((F.col(p) for p in names[2:]), F.col(IN_WINDOWS))
+    return row.withColumn("balanced", F.col("accepted") == whole)
+
+
 def committed_snapshot(spark: SparkSession, out: str, as_of: Column | None = None) -> DataFrame:
     """The dashboard document, all four sections as of the last commit.
 

@@ -177,6 +177,23 @@ class DayView(View):
             added, bucket, lambda previous: merge(added.unionByName(previous)), batch_id, keep
         )
 
+    def fold_days(
+        self,
+        added: DataFrame,
+        merge: Callable[[DataFrame], DataFrame],
+        keys: Sequence[str],
+        batch_id: int,
+        keep: int = 5,
+    ) -> list[str]:
+        """Add totals to those kept of the same days; gives the days.
+
+        The first of ``keys`` is a time, and ``merge`` makes one row of those with the same keys.
+        """
+        day = F.to_date(keys[0]).cast("string")
+        return self._rewrite(
+            added, day, lambda previous: merge(added.unionByName(previous)), batch_id, keep
+        )
+
     def of_days(self, days: Sequence[str], batch_id: int, schema: StructType) -> DataFrame | None:
         """All rows of the named days or buckets after batch ``batch_id``."""
         named = self.manifest(batch_id + 1)
