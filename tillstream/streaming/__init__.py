@@ -8,6 +8,7 @@ from tillstream.streaming.fanout import (
 )
 from tillstream.streaming.ledger import batch_ledger, recorded_batches
 from tillstream.streaming.lateness import ahead, deduplicate, not_ahead, with_lateness
+from tillstream.streaming.pulse import run_pulse
 from tillstream.streaming.runner import (
     Intervals,
     await_streams,
@@ -57,6 +58,7 @@ __all__ = [
     "reconciled",
     "recorded_batches",
     "run_fan_out",
+    "run_pulse",
     "run_streams",
     "state_partitions_set",
     "stop_streams",

@@ -122,7 +122,9 @@ def order_sink(results: Results, deliver: Deliver, k: int = 50, ring: int = 20)
     return write
 
 
-def tempo_sink(results: Results, keep: str = "10 minutes") -> BatchFunction:
+def tempo_sink(
+    results: Results, keep: str = "10 minutes", name: str = "tempo"
+) -> BatchFunction:
     """Keep how many orders there were at each exact time of the last minutes.
 
     The orders per minute are counted from these when they are read, at any moment. What is older
@@ -131,7 +133,7 @@ def tempo_sink(results: Results, keep: str = "10 minutes") -> BatchFunction:
     """
 
     def write(orders: DataFrame, batch_id: int) -> None:
-        view = results.view("tempo")
+        view = results.view(name)
         counts = (
             orders.where(F.col(TIME).isNotNull())
             .groupBy(F.col(TIME).alias("moment"))
