@@ -16,11 +16,26 @@ from tillstream.schema import ORDER_FIELDS
 _SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+#: Lines that a task joins at most. Sorting them, and a row of each product they are of, is what it holds.
+TASK_LINES = 1_000_000
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _in_tasks(lines: DataFrame) -> DataFrame:
+    """The lines in as many parts by order as keep the memory of a task alike for any table.
+
+    A table of at most ``TASK_LINES`` for each core is left to the planner. Beyond that its tasks
+    would grow with the table: to the advised size, or without end where partitions are few.
+    """
+    tasks = -(-lines.count() // TASK_LINES)
+    if tasks <= lines.sparkSession.sparkContext.defaultParallelism:
+        return lines
+    return lines.repartition(tasks, "l_orderkey")
+
+
 def lineitem_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One order per lineitem: the ten columns of a parsed order, without the JSON.
 
@@ -29,7 +44,7 @@ def lineitem_orders(spark: SparkSession, folder: str) -> DataFrame:
     widen the rows after the large join only; large, they leave the lines of a product
     together, so that grouping by product sends one row of it from a task.
     """
-    lines = _table(spark, folder, "lineitem")
+    lines = _in_tasks(_table(spark, folder, "lineitem"))
     parts = _table(spark, folder, "part").select(
         "p_partkey",
         F.format_string("PROD-%03d", "p_partkey").alias("product_id"),
