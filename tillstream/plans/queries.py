@@ -50,7 +50,7 @@ from tillstream.streaming import (
     sinks,
     with_lateness,
 )
-from tillstream.streaming.views import Results
+from tillstream.streaming.views import Results, child_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -460,24 +460,42 @@ def message_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 # Streams ---------------------------------------------------------------------------
 
 
-#: Files that the event feed arrives in, one for each micro-batch.
-FILES = 5
+#: Spans of time that the event feed arrives in, one for each micro-batch.
+SPANS = 5
+#: Events in one file of a span at most. A file is decoded by one task.
+FILE_ROWS = 250_000
 
 
-def _arrive(spark: SparkSession, folder: str, feed: str, first: int, last: int) -> None:
-    """Lets the events of some of ``FILES`` spans of time arrive, a file for each.
+def _arrive(spark: SparkSession, folder: str, feed: str, first: int, last: int) -> int:
+    """Lets the events of some of ``SPANS`` spans of time arrive, and gives the files of each.
 
-    Spans are of equal length. Each is written by itself, so that a file is newer than those
-    before it.
+    Spans are of equal length. Each is written by itself, so that its files are newer than those
+    before it. All have as many files, so that a micro-batch of that many is a span.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    low, high, rows = events.agg(F.min("ts"), F.max("ts"), F.count("ts")).first()
+    files = max(1, -(-rows // FILE_ROWS))
     for number in range(first, last):
-        start, end = (low + (high - low) * n / FILES for n in (number, number + 1))
+        start, end = (low + (high - low) * n / SPANS for n in (number, number + 1))
         # The last span has its end too.
-        before = F.col("ts") <= F.lit(end) if number == FILES - 1 else F.col("ts") < F.lit(end)
+        before = F.col("ts") <= F.lit(end) if number == SPANS - 1 else F.col("ts") < F.lit(end)
         span = events.where((F.col("ts") >= F.lit(start)) & before)
-        span.coalesce(1).write.mode("append").parquet(feed)
+        there = _files_in(spark, feed)
+        dealt = span.repartition(files) if files > 1 else span.coalesce(1)
+        dealt.write.mode("append").parquet(feed)
+        # A task without rows has written none.
+        for _ in range(there + files - _files_in(spark, feed)):
+            span.limit(0).coalesce(1).write.mode("append").parquet(feed)
+    return files
+
+
+def _files_in(spark: SparkSession, feed: str) -> int:
+    return sum(name.startswith("part-") for name in child_names(spark, feed))
+
+
+def _feed(spark: SparkSession, folder: str, feed: str, files: int) -> DataFrame:
+    """The orders of a feed as a stream, ``files`` of them in a micro-batch."""
+    return stream_event_orders(spark, folder, feed, maxFilesPerTrigger=str(files))
 
 
 def _kept(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
@@ -493,18 +511,18 @@ def _streamed(
     *streams: str,
     result: Callable[[SparkSession, str], DataFrame],
     spoiled: bool = False,
-    stops: tuple[int, ...] = (FILES,),
+    stops: tuple[int, ...] = (SPANS,),
 ) -> DataFrame:
-    """Run streams over all events, a file in each micro-batch, and take the result.
+    """Run streams over all events, a span in each micro-batch, and take the result.
 
-    With several ``stops``, the streams end after so many files and are started again.
+    With several ``stops``, the streams end after so many spans and are started again.
     """
     root = shared_folder(spark)
     arrived = 0
     for stop in stops:
-        _arrive(spark, folder, f"{root}/feed", arrived, stop)
+        files = _arrive(spark, folder, f"{root}/feed", arrived, stop)
         arrived = stop
-        orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+        orders = _feed(spark, folder, f"{root}/feed", files)
         messages = spoiled_event_messages(orders) if spoiled else encode_orders(orders)
         queries = run_streams(
             messages,
@@ -527,8 +545,8 @@ def _landed(
 ) -> DataFrame:
     """Land all messages of the spoiled feed and take the result."""
     root = shared_folder(spark)
-    _arrive(spark, folder, f"{root}/feed", 0, FILES)
-    orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+    files = _arrive(spark, folder, f"{root}/feed", 0, SPANS)
+    orders = _feed(spark, folder, f"{root}/feed", files)
     landing = land_orders(
         spoiled_event_messages(orders),
         f"{root}/out",
@@ -565,7 +583,7 @@ def stream_totals(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_restarted_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The totals of a stream that was ended after two micro-batches and started again."""
-    return _streamed(spark, folder, "categories", result=_view("totals"), stops=(2, FILES))
+    return _streamed(spark, folder, "categories", result=_view("totals"), stops=(2, SPANS))
 
 
 @query
@@ -606,10 +624,8 @@ def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
 def stream_deduplicated(spark: SparkSession, folder: str) -> DataFrame:
     """The event feed sent twice over, with the repeats dropped."""
     root = shared_folder(spark)
-    _arrive(spark, folder, f"{root}/feed", 0, FILES)
-    messages = encode_orders(
-        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
-    )
+    files = _arrive(spark, folder, f"{root}/feed", 0, SPANS)
+    messages = encode_orders(_feed(spark, folder, f"{root}/feed", files))
     result = deduplicate(parse.parse_orders(messages.unionAll(messages)))
     stream = (
         result.writeStream.format("parquet")
@@ -646,10 +662,8 @@ def landed_reject_counts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_orders_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     """Every hopping window, those still open too."""
     root = shared_folder(spark)
-    _arrive(spark, folder, f"{root}/feed", 0, FILES)
-    messages = encode_orders(
-        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
-    )
+    files = _arrive(spark, folder, f"{root}/feed", 0, SPANS)
+    messages = encode_orders(_feed(spark, folder, f"{root}/feed", files))
     orders = with_lateness(parse.parse_orders(messages, parse.CATEGORY_FIELDS))
     results = Results(spark, f"{root}/out", f"{root}/checkpoints")
     stream = (
@@ -694,15 +708,15 @@ def _fanned(
     spark: SparkSession,
     folder: str,
     result: Callable[[SparkSession, str], DataFrame],
-    parts: Sequence[tuple[int, int]] = ((0, 2), (2, FILES)),
+    parts: Sequence[tuple[int, int]] = ((0, 2), (2, SPANS)),
     lateness: str | None = None,
 ) -> DataFrame:
-    """Work off all events by the one query for all sinks, ended after each of ``parts`` of the files
+    """Work off all events by the one query for all sinks, ended after each of ``parts`` of the spans
     and started again, and take the result."""
     root = shared_folder(spark)
     for first, last in parts:
-        _arrive(spark, folder, f"{root}/feed", first, last)
-        orders = stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
+        files = _arrive(spark, folder, f"{root}/feed", first, last)
+        orders = _feed(spark, folder, f"{root}/feed", files)
         started = run_fan_out(
             encode_orders(orders),
             f"{root}/out",
@@ -736,8 +750,8 @@ def stream_committed_products(spark: SparkSession, folder: str) -> DataFrame:
     return _fanned(spark, folder, products)
 
 
-#: The first file arrives last, so that its orders are late.
-_LATE = {"parts": ((1, FILES), (0, 1)), "lateness": "10 minutes"}
+#: The first span arrives last, so that its orders are late.
+_LATE = {"parts": ((1, SPANS), (0, 1)), "lateness": "10 minutes"}
 
 
 @query
@@ -779,7 +793,7 @@ def stream_distinct_products(spark: SparkSession, folder: str) -> DataFrame:
         spark,
         folder,
         "sketches",
-        stops=(2, FILES),
+        stops=(2, SPANS),
         result=lambda spark, out: live_distinct_products(spark, out, day, F.col("category")),
     )
     counted = (
@@ -797,10 +811,8 @@ def stream_distinct_products(spark: SparkSession, folder: str) -> DataFrame:
 def stream_batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """What the ledger has of two streams: batches with rows, rows read, and rows too late."""
     root = shared_folder(spark)
-    _arrive(spark, folder, f"{root}/feed", 0, FILES)
-    messages = encode_orders(
-        stream_event_orders(spark, folder, f"{root}/feed", maxFilesPerTrigger="1")
-    )
+    files = _arrive(spark, folder, f"{root}/feed", 0, SPANS)
+    messages = encode_orders(_feed(spark, folder, f"{root}/feed", files))
     prefix = f"{os.path.basename(root)}-"
     with batch_ledger(spark, f"{root}/out") as ledger:
         started = run_streams(
